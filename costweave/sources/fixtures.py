@@ -86,3 +86,269 @@ def focus(spark: SparkSession, root: str) -> DataFrame:
         status.alias("CommitmentDiscountStatus"),
         F.col("r_name").alias("RegionName"),
     )
+
+
+# --------------------------------------------------------------- usage
+USAGE_SNAPSHOTS = 3        # snapshot_date = hour's day + 0..2
+RESTATE_MOD = 50           # events with event_id % 50 = 0 are restated x1.01 in the last snapshot
+
+
+def usage_hourly(spark: SparkSession, root: str) -> DataFrame:
+    """Hourly eligible usage per subscription, landed in three overlapping
+    daily snapshots; the last snapshot restates some hours (x1.01).
+    Events are aggregated to user x hour first (map-side partial
+    aggregate), and only the small hourly result is replicated."""
+    ev = _t(spark, root, "events", "event_id", "ts", "user_id", "value")
+    v = F.col("value").cast("decimal(12,2)")
+    restated = F.when(F.col("event_id") % RESTATE_MOD == 0, v * F.lit("1.01").cast("decimal(3,2)")).otherwise(v)
+    hourly = (ev.groupBy("user_id", F.date_trunc("hour", "ts").alias("hour_utc"))
+              .agg(F.sum(v).alias("_c0"), F.sum(restated).alias("_c2")))
+    snaps = hourly.select("*", F.explode(F.sequence(F.lit(0), F.lit(USAGE_SNAPSHOTS - 1))).alias("_k"))
+    snap_date = F.date_add(F.to_date("hour_utc"), F.col("_k"))
+    return snaps.select(
+        F.concat(F.lit("tenant-"), (F.col("user_id") % 3).cast("string")).alias("tenant_id"),
+        F.concat(F.lit("sub-"), F.col("user_id").cast("string")).alias("subscription_id"),
+        F.col("hour_utc").cast("timestamp_ntz").alias("hour_utc"),
+        F.when(F.col("_k") == USAGE_SNAPSHOTS - 1, F.col("_c2")).otherwise(F.col("_c0"))
+        .cast(MONEY4).alias("hourly_charge"),
+        F.lit("USD").alias("currency_code"),
+        snap_date.alias("snapshot_date"),
+        (snap_date.cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")).alias("ingestion_timestamp"),
+    )
+
+
+# --------------------------------------------------------------- seats
+SEATS_NOW = "2001-08-02 00:00:00"
+
+
+def seats(spark: SparkSession, root: str) -> DataFrame:
+    """One seat per customer; last activity = newest '2-HIGH' order."""
+    cust = customer_dim(spark, root).select("c_custkey", "c_mktsegment", "n_name", "r_name")
+    orders = _t(spark, root, "orders", "o_custkey", "o_orderdate", "o_orderpriority")
+    last = (orders.filter(F.col("o_orderpriority") == "2-HIGH")
+            .groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_activity_at")))
+    s = cust.join(last, cust.c_custkey == last.o_custkey, "left")
+    key = F.col("c_custkey").cast("string")
+    return s.select(
+        F.concat(F.lit("user-"), key).alias("user_login"),
+        F.concat(F.lit("User "), key).alias("user_name"),
+        F.concat(F.lit("user"), key, F.lit("@example.com")).alias("user_email"),
+        F.lit("1995-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+        F.col("last_activity_at").cast("timestamp_ntz").alias("last_activity_at"),
+        F.col("c_mktsegment").alias("last_activity_editor"),
+        F.col("n_name").alias("assigning_team"),
+        F.col("r_name").alias("organization"),
+        F.lit(SEATS_NOW[:10]).cast("date").alias("snapshot_date"),
+    )
+
+
+# --------------------------------------------------------------- two grains
+def grains(spark: SparkSession, root: str) -> DataFrame:
+    """Same cost at two grains in one table: per order ('subscription') and
+    per order x line ('environment', line 7 never attributed)."""
+    li = _t(spark, root, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
+    price = F.col("l_extendedprice").cast(MONEY)
+    sub = li.groupBy("l_orderkey").agg(F.sum(price).alias("cost_value"), F.count(F.lit(1)).alias("rows"))
+    env = (li.filter(F.col("l_linenumber") != 7).groupBy("l_orderkey", "l_linenumber")
+           .agg(F.sum(price).alias("cost_value"), F.count(F.lit(1)).alias("rows")))
+    sid = F.concat(F.lit("sub-"), F.col("l_orderkey").cast("string"))
+    a = sub.select(sid.alias("subscription_uuid"), F.lit(None).cast("string").alias("environment_id"),
+                   F.lit("subscription").alias("grain"), "cost_value", "rows")
+    b = env.select(sid.alias("subscription_uuid"),
+                   F.concat(F.lit("env-"), F.col("l_linenumber").cast("string")).alias("environment_id"),
+                   F.lit("environment").alias("grain"), "cost_value", "rows")
+    return a.unionByName(b)
+
+
+# --------------------------------------------------------------- capacity telemetry
+CAPACITY_AS_OF = "2001-11-04"
+
+
+def capacity_fact(spark: SparkSession, root: str) -> DataFrame:
+    li = _t(spark, root, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    op = (F.when(F.col("l_returnflag") == "A", F.lit("Query"))
+          .when(F.col("l_returnflag") == "N", F.lit("Refresh")).otherwise(F.lit("Copy")))
+    return li.select(
+        F.concat(F.lit("cap-"), (F.col("l_suppkey") % 4).cast("string")).alias("capacity_id"),
+        F.concat(F.lit("ws-"), F.col("l_suppkey").cast("string")).alias("workspace_id"),
+        F.concat(F.lit("item-"), F.col("l_partkey").cast("string")).alias("item_id"),
+        op.alias("operation_name"),
+        F.to_date("l_shipdate").alias("usage_date"),
+        F.col("l_quantity").cast(MONEY).alias("cu_s"),
+        F.col("l_extendedprice").cast(MONEY).alias("duration_s"),
+        F.lit(1).cast("long").alias("operation_count"),
+        (F.col("l_linestatus") == "F").cast("long").alias("success_count"),
+        (F.col("l_linestatus") == "O").cast("long").alias("failure_count"),
+        F.col("l_tax").cast("decimal(6,2)").alias("throttling_s"),
+        F.col("l_linenumber").cast("long").alias("user_count"),
+    )
+
+
+def capacity_dims(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    sup = _t(spark, root, "supplier", "s_suppkey", "s_name")
+    part = _t(spark, root, "part", "p_partkey", "p_name", "p_type")
+    caps = (sup.select((F.col("s_suppkey") % 4).alias("k")).distinct()
+            .select(F.concat(F.lit("cap-"), F.col("k").cast("string")).alias("capacity_id"),
+                    F.concat(F.lit("Capacity "), F.col("k").cast("string")).alias("capacity_name"),
+                    F.concat(F.lit("F"), (F.col("k") * 2 + 2).cast("string")).alias("sku")))
+    ws = sup.select(F.concat(F.lit("ws-"), F.col("s_suppkey").cast("string")).alias("workspace_id"),
+                    F.col("s_name").alias("workspace_name"))
+    item = F.concat(F.lit("item-"), F.col("p_partkey").cast("string"))
+    cur = part.select(item.alias("item_id"), F.col("p_name").alias("item_name"),
+                      F.col("p_type").alias("item_kind"),
+                      F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("Timestamp"))
+    old = part.filter(F.col("p_partkey") % 10 == 0).select(
+        item.alias("item_id"), F.concat(F.col("p_name"), F.lit(" (old)")).alias("item_name"),
+        F.col("p_type").alias("item_kind"),
+        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("Timestamp"))
+    return {"capacities": caps, "workspaces": ws, "items": cur.unionByName(old)}
+
+
+# --------------------------------------------------------------- inventories
+CONTAINER_TYPES = {
+    # Container type strings (matched case-insensitively).
+    "management_group": "Microsoft.Management/managementGroups",
+    "subscription": "Microsoft.Resources/subscriptions",
+    "resource_group": "Microsoft.Resources/subscriptions/resourceGroups",
+}
+
+
+def containers(spark: SparkSession, root: str) -> DataFrame:
+    region = _t(spark, root, "region", "r_regionkey", "r_name")
+    nation = _t(spark, root, "nation", "n_nationkey", "n_name")
+    cust = _t(spark, root, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    mg = region.select(
+        F.concat(F.lit("/providers/Microsoft.Management/managementGroups/"), F.col("r_name")).alias("id"),
+        F.col("r_name").alias("name"),
+        F.when(F.col("r_regionkey") < 3, F.lit(CONTAINER_TYPES["management_group"]))
+        .otherwise(F.lit(None).cast("string")).alias("type"),
+        F.lit(None).cast("string").alias("subscriptionId"),
+        F.lit(None).cast("string").alias("resourceGroup"),
+        F.lit(None).cast("string").alias("tags"))
+    odd = region.select(
+        F.concat(F.lit("/providers/Other/"), F.col("r_name")).alias("id"),
+        F.col("r_name").alias("name"),
+        F.when(F.col("r_regionkey") < 3, F.concat(F.lit("Microsoft.Unknown/type"), F.col("r_regionkey").cast("string")))
+        .alias("type"),
+        F.lit(None).cast("string").alias("subscriptionId"),
+        F.lit(None).cast("string").alias("resourceGroup"),
+        F.lit(None).cast("string").alias("tags")).filter(F.col("type").isNotNull())
+    subs = nation.select(
+        F.concat(F.lit("/subscriptions/sub-"), F.col("n_nationkey").cast("string")).alias("id"),
+        F.col("n_name").alias("name"),
+        F.lower(F.lit(CONTAINER_TYPES["subscription"])).alias("type"),
+        F.concat(F.lit("sub-"), F.col("n_nationkey").cast("string")).alias("subscriptionId"),
+        F.lit(None).cast("string").alias("resourceGroup"),
+        F.lit('{"owner":"finance"}').alias("tags"))
+    rg_type = F.when(F.col("c_custkey") % 2 == 0, F.upper(F.lit(CONTAINER_TYPES["resource_group"]))) \
+        .otherwise(F.lit(CONTAINER_TYPES["resource_group"]))
+    rgs = cust.select(
+        F.concat(F.lit("/subscriptions/sub-"), F.col("c_nationkey").cast("string"),
+                 F.lit("/resourceGroups/rg-"), F.col("c_custkey").cast("string")).alias("id"),
+        F.concat(F.lit("rg-"), F.col("c_custkey").cast("string")).alias("name"),
+        rg_type.alias("type"),
+        F.concat(F.lit("sub-"), F.col("c_nationkey").cast("string")).alias("subscriptionId"),
+        F.concat(F.lit("rg-"), F.col("c_custkey").cast("string")).alias("resourceGroup"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit(None).cast("string"))
+        .when(F.col("c_custkey") % 3 == 1, F.lit("{}"))
+        .otherwise(F.concat(F.lit('{"env":"'), F.lower("c_mktsegment"), F.lit('"}'))).alias("tags"))
+    return mg.unionByName(odd).unionByName(subs).unionByName(rgs)
+
+
+def emissions(spark: SparkSession, root: str) -> DataFrame:
+    """Carbon rows: lineitem by month of shipdate; tenant = linestatus."""
+    li = _t(spark, root, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+            "l_linestatus", "l_shipdate")
+    return li.select(
+        F.col("l_linestatus").alias("tenant_id"),
+        F.concat(F.lit("Tenant "), F.col("l_linestatus")).alias("tenant_label"),
+        F.to_date(F.date_trunc("month", "l_shipdate")).alias("report_month"),
+        F.lit("Resource").alias("category_type"),
+        F.concat(F.lit("sub-"), F.col("l_suppkey").cast("string")).alias("subscription_id"),
+        F.concat(F.lit("res-"), F.col("l_partkey").cast("string")).alias("resource_id"),
+        F.concat(F.lit("region-"), (F.col("l_partkey") % 5).cast("string")).alias("location"),
+        F.col("l_returnflag").alias("resource_type"),
+        F.col("l_quantity").alias("latest_month_emissions"),
+    )
+
+
+def pipeline_items(spark: SparkSession, root: str) -> DataFrame:
+    """Pipeline run (order) x work item (lineitem)."""
+    o = _t(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    li = _t(spark, root, "lineitem", "l_orderkey", "l_partkey", "l_returnflag")
+    j = o.join(li, o.o_orderkey == li.l_orderkey)
+    return j.select(
+        F.col("o_orderkey").alias("run_id"),
+        (F.col("o_custkey") % 25).alias("pipeline_id"),
+        F.concat(F.lit("pipeline-"), (F.col("o_custkey") % 25).cast("string")).alias("pipeline_name"),
+        F.col("o_orderpriority").alias("folder"),
+        F.col("o_orderstatus").alias("result"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_date"),
+        F.col("l_partkey").alias("work_item_id"),
+        F.col("l_returnflag").alias("work_item_type"),
+    )
+
+
+def directory(spark: SparkSession, root: str) -> DataFrame:
+    """Hosting directory: one ServiceID per nation, padded and mixed case."""
+    n = _t(spark, root, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = _t(spark, root, "region", "r_regionkey", "r_name")
+    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    sid = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" "))) \
+        .otherwise(F.col("n_name"))
+    return j.select(sid.alias("ServiceID"),
+                    F.concat(F.lit("plat-"), F.col("n_regionkey").cast("string")).alias("PlatformID"),
+                    F.col("r_name").alias("DivisionID"),
+                    F.concat(F.lit("CC"), F.lpad(F.col("n_nationkey").cast("string"), 4, "0")).alias("CostCentre"))
+
+
+def service_requests(spark: SparkSession, root: str) -> DataFrame:
+    """Deployment requests (customer x nation name), some to unknown ids."""
+    c = _t(spark, root, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    n = _t(spark, root, "nation", "n_nationkey", "n_name")
+    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    sid = F.when(F.col("c_custkey") % 50 == 0, F.concat(F.lit("unknown-"), F.col("c_nationkey").cast("string"))) \
+        .otherwise(F.col("n_name"))
+    env = (F.when(F.col("c_custkey") % 7 == 0, F.lit(" Production"))
+           .when(F.col("c_mktsegment") == "BUILDING", F.lit(" PROD "))
+           .when(F.col("c_mktsegment") == "MACHINERY", F.lit("dev"))
+           .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("Test"))
+           .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("qa"))
+           .otherwise(F.lit("staging")))
+    return j.select(F.col("c_custkey").alias("request_id"), sid.alias("service_id"), env.alias("environment"))
+
+
+def edge_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Bronze extracts feeding the edge specs (one per relationship)."""
+    li = _t(spark, root, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    o = _t(spark, root, "orders", "o_orderkey", "o_custkey")
+    c = _t(spark, root, "customer", "c_custkey", "c_nationkey")
+    n = _t(spark, root, "nation", "n_nationkey", "n_regionkey")
+    line_id = F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    cust_t = (F.when(F.col("o_orderkey") % 97 == 0, F.lit(""))
+              .when(F.col("o_orderkey") % 89 == 0, F.lit(None).cast("string"))
+              .otherwise(F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string"))))
+    return {
+        "lineitems": li.select(line_id.alias("line_id"),
+                               F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("order_id"),
+                               F.concat(F.lit("PART-"), F.col("l_partkey").cast("string")).alias("part_id"),
+                               F.concat(F.lit("SUPP-"), F.col("l_suppkey").cast("string")).alias("supplier_id")),
+        "orders": o.select(F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("order_id"),
+                           cust_t.alias("customer_id")),
+        "customers": c.select(F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"),
+                              F.concat(F.lit("NAT-"), F.col("c_nationkey").cast("string")).alias("nation_id")),
+        "nations": n.select(F.concat(F.lit("NAT-"), F.col("n_nationkey").cast("string")).alias("nation_id"),
+                            F.concat(F.lit("REG-"), F.col("n_regionkey").cast("string")).alias("region_id")),
+    }
+
+
+def two_clouds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Provider 1 = orders, provider 2 = events, each with its own names."""
+    o = _t(spark, root, "orders", "o_orderdate", "o_orderpriority", "o_totalprice")
+    e = _t(spark, root, "events", "ts", "event_type", "value")
+    p1 = o.select(F.col("o_orderdate").alias("UsageDate"), F.col("o_orderpriority").alias("ServiceName"),
+                  F.col("o_totalprice").cast(MONEY).alias("PreTaxCost"))
+    p2 = e.select(F.col("ts").alias("usage_start_time"), F.col("event_type").alias("product_code"),
+                  F.col("value").cast(MONEY).alias("unblended_cost"))
+    return {"cloud_a": p1, "cloud_b": p2}
