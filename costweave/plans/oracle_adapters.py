@@ -89,15 +89,15 @@ USAGE_HOURLY = """
 SELECT 'tenant-' || CAST(user_id % 3 AS VARCHAR) AS tenant_id,
        'sub-' || CAST(user_id AS VARCHAR) AS subscription_id,
        hour_utc,
-       CAST(CASE WHEN k = 2 THEN c2 ELSE c0 END AS DECIMAL(18,4)) AS hourly_charge,
+       CASE WHEN k = 2 THEN CAST(c2 AS DECIMAL(18,4)) ELSE CAST(c0 AS DECIMAL(18,4)) END AS hourly_charge,
        'USD' AS currency_code,
        CAST(hour_utc AS DATE) + k AS snapshot_date,
        CAST(CAST(hour_utc AS DATE) + k AS TIMESTAMP) + INTERVAL 6 HOUR AS ingestion_timestamp
 FROM (
   SELECT user_id, date_trunc('hour', ts) AS hour_utc,
          sum(CAST(value AS DECIMAL(12,2))) AS c0,
-         sum(CASE WHEN event_id % 50 = 0 THEN CAST(value AS DECIMAL(12,2)) * CAST(1.01 AS DECIMAL(3,2))
-                  ELSE CAST(value AS DECIMAL(12,2)) END) AS c2
+         sum(CAST(value AS DECIMAL(12,2)) * CASE WHEN event_id % 50 = 0 THEN CAST(1.01 AS DECIMAL(3,2))
+                                                 ELSE CAST(1.00 AS DECIMAL(3,2)) END) AS c2
   FROM events GROUP BY 1, 2
 ) h, (SELECT unnest([0, 1, 2]) AS k) s
 """

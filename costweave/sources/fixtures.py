@@ -100,7 +100,8 @@ def usage_hourly(spark: SparkSession, root: str) -> DataFrame:
     aggregate), and only the small hourly result is replicated."""
     ev = _t(spark, root, "events", "event_id", "ts", "user_id", "value")
     v = F.col("value").cast("decimal(12,2)")
-    restated = F.when(F.col("event_id") % RESTATE_MOD == 0, v * F.lit("1.01").cast("decimal(3,2)")).otherwise(v)
+    factor = F.when(F.col("event_id") % RESTATE_MOD == 0, F.lit("1.01")).otherwise(F.lit("1.00")).cast("decimal(3,2)")
+    restated = v * factor
     hourly = (ev.groupBy("user_id", F.date_trunc("hour", "ts").alias("hour_utc"))
               .agg(F.sum(v).alias("_c0"), F.sum(restated).alias("_c2")))
     snaps = hourly.select("*", F.explode(F.sequence(F.lit(0), F.lit(USAGE_SNAPSHOTS - 1))).alias("_k"))
