@@ -236,7 +236,27 @@ FROM orders
 """
 EDGE_CUSTOMERS = """
 SELECT 'CUST-' || CAST(c_custkey AS VARCHAR) AS customer_id, 'NAT-' || CAST(c_nationkey AS VARCHAR) AS nation_id FROM customer
+WHERE c_custkey % 100 <> 1
 """
 EDGE_NATIONS = """
 SELECT 'NAT-' || CAST(n_nationkey AS VARCHAR) AS nation_id, 'REG-' || CAST(n_regionkey AS VARCHAR) AS region_id FROM nation
 """
+
+USAGE_PACKED = """
+SELECT tenant_id, subscription_id, usage_day, CAST(usage_day AS TIMESTAMP) AS first_hour,
+       list(CAST(coalesce(hourly_charge, 0) AS DECIMAL(18,4)) ORDER BY h) AS charges,
+       CASE WHEN CAST(regexp_extract(subscription_id, '(\\d+)$', 1) AS INTEGER) % 7 = 0 AND usage_day = DATE '2024-01-15'
+            THEN 23 ELSE 24 END AS total_hours
+FROM (
+  SELECT d.tenant_id, d.subscription_id, d.usage_day, s.h, l.hourly_charge
+  FROM (SELECT DISTINCT tenant_id, subscription_id, CAST(hour_utc AS DATE) AS usage_day FROM latest) d
+  CROSS JOIN (SELECT unnest(range(0, 24)) AS h) s
+  LEFT JOIN latest l ON l.subscription_id = d.subscription_id
+                    AND l.hour_utc = CAST(d.usage_day AS TIMESTAMP) + to_hours(s.h)
+) GROUP BY 1, 2, 3
+"""
+
+USAGE_LATEST = """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id, hour_utc ORDER BY snapshot_date DESC) AS rn
+               FROM usage) WHERE rn = 1
+"""

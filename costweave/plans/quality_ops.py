@@ -1 +1,270 @@
-"""Registered queries."""
+"""Edges, gates, rule reports and packed-array landing, with oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.tags import service_id
+from ..operators import edges as E
+from ..operators import gates as G
+from ..operators import landing as L
+from ..operators.hierarchy import hierarchy_series
+from ..operators.joins import schema_contract, schema_frame
+from ..sources import fixtures as X
+from . import oracle_adapters as O
+from .registry import query
+
+w = O.with_ctes
+BATCH = "batch_20011104_060000"
+OBSERVED = "2001-11-04 06:00:00"
+
+
+def _d(c):
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
+
+
+# ------------------------------------------------------------------ edges
+def _edge_sql(spec: E.EdgeSpec, clean: bool) -> str:
+    src = {"lineitems": "el", "orders": "eo", "customers": "ec", "nations": "en"}[spec.extract]
+    base = f"""SELECT CASE WHEN {spec.source_col} IS NOT NULL AND {spec.target_col} IS NOT NULL
+                     THEN sha256('{spec.relationship_type}|' || lower({spec.source_col}) || '|' || lower({spec.target_col})) END AS edge_id,
+       '{spec.source_label}' AS source_label, {spec.source_col} AS source_id, '{spec.relationship_type}' AS relationship_type,
+       '{spec.target_label}' AS target_label, {spec.target_col} AS target_id, CAST({spec.confidence} AS DOUBLE) AS confidence,
+       '{{"edge":"{spec.name}","extract":"{spec.extract}"}}' AS properties_json,
+       lower({spec.source_col}) AS source_id_normalized, lower({spec.target_col}) AS target_id_normalized,
+       '{BATCH}' AS batch_id, TIMESTAMP '{OBSERVED}' AS observed_at, '{spec.name}' AS edge_table
+FROM {src}"""
+    if not clean:
+        return base
+    return f"""SELECT edge_id, min(source_label) AS source_label, min(source_id) AS source_id,
+       min(relationship_type) AS relationship_type, min(target_label) AS target_label, min(target_id) AS target_id,
+       min(confidence) AS confidence, min(properties_json) AS properties_json,
+       min(source_id_normalized) AS source_id_normalized, min(target_id_normalized) AS target_id_normalized,
+       min(batch_id) AS batch_id, min(observed_at) AS observed_at, min(edge_table) AS edge_table
+FROM ({base}) WHERE source_id IS NOT NULL AND source_id <> '' AND target_id IS NOT NULL AND target_id <> ''
+GROUP BY edge_id"""
+
+
+def _edges_cte(clean: bool) -> str:
+    return w(("el", O.EDGE_LINEITEMS), ("eo", O.EDGE_ORDERS), ("ec", O.EDGE_CUSTOMERS), ("en", O.EDGE_NATIONS),
+             ("edges", " UNION ALL ".join(f"({_edge_sql(s, clean)})" for s in E.EDGE_SPECS)))
+
+
+_REPORT_SQL = """
+SELECT edge_table, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(null_source) AS BIGINT) AS null_source,
+       CAST(sum(null_target) AS BIGINT) AS null_target,
+       CAST(sum(CASE WHEN edge_id IS NOT NULL AND n > 1 THEN n - 1 ELSE 0 END) AS BIGINT) AS duplicate_edge_ids
+FROM (SELECT edge_table, edge_id, count(*) AS n,
+             count_if(source_id IS NULL OR source_id = '') AS null_source,
+             count_if(target_id IS NULL OR target_id = '') AS null_target
+      FROM edges GROUP BY 1, 2) GROUP BY 1"""
+
+
+def _built(spark, root, clean=True):
+    return E.build_all(X.edge_sources(spark, root), BATCH, OBSERVED, clean=clean)
+
+
+@query("build_edges", _edges_cte(True) + "SELECT * EXCLUDE (edge_table) FROM edges WHERE edge_table = 'order_customer'")
+def q_build_edges(spark, root):
+    return _built(spark, root)["order_customer"]
+
+
+@query("edge_catalogue", _edges_cte(True) + """
+SELECT edge_table, min(source_label) AS source_label, min(relationship_type) AS relationship_type,
+       min(target_label) AS target_label, count(*) AS edges FROM edges GROUP BY 1""")
+def q_edge_catalogue(spark, root):
+    u = E.tagged_union(_built(spark, root))
+    return u.groupBy("edge_table").agg(F.min("source_label").alias("source_label"),
+                                       F.min("relationship_type").alias("relationship_type"),
+                                       F.min("target_label").alias("target_label"),
+                                       F.count(F.lit(1)).alias("edges"))
+
+
+@query("edge_report", _edges_cte(True) + _REPORT_SQL)
+def q_edge_report(spark, root):
+    return E.edge_report(_built(spark, root))
+
+
+@query("edge_gate_raw", _edges_cte(False) + f"""
+SELECT * FROM ({_REPORT_SQL}) WHERE null_source > 0 OR null_target > 0 OR duplicate_edge_ids > 0""")
+def q_edge_gate_raw(spark, root):
+    """The gate applied to un-cleaned edges: seeded empty / null endpoints and
+    duplicate lineitem keys must show up."""
+    return E.edge_gate(E.edge_report(_built(spark, root, clean=False)))
+
+
+@query("orphan_edges", _edges_cte(True) + """
+, nodes AS (
+  SELECT DISTINCT 'lineitem' AS label, lower(line_id) AS node_id FROM el
+  UNION SELECT DISTINCT 'order', lower(order_id) FROM eo
+  UNION SELECT DISTINCT 'customer', lower(customer_id) FROM ec
+  UNION SELECT DISTINCT 'nation', lower(nation_id) FROM en)
+SELECT edge_table, edge_id, 'source' AS endpoint, source_label AS label, source_id_normalized AS node_id FROM edges e
+WHERE source_label IN (SELECT label FROM nodes)
+  AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.label = e.source_label AND n.node_id = e.source_id_normalized)
+UNION ALL
+SELECT edge_table, edge_id, 'target', target_label, target_id_normalized FROM edges e
+WHERE target_label IN (SELECT label FROM nodes)
+  AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.label = e.target_label AND n.node_id = e.target_id_normalized)""")
+def q_orphan_edges(spark, root):
+    src = X.edge_sources(spark, root)
+    return E.orphan_edges(E.build_all(src, BATCH, OBSERVED), E.node_ids(src))
+
+
+@query("busiest_edge_table", _edges_cte(True) + """
+SELECT edge_table, count(*) AS rows FROM edges GROUP BY 1 ORDER BY rows DESC, edge_table LIMIT 1""")
+def q_busiest(spark, root):
+    r = E.tagged_union(_built(spark, root)).groupBy("edge_table").agg(F.count(F.lit(1)).alias("rows"))
+    return r.orderBy(F.col("rows").desc(), "edge_table").limit(1)
+
+
+@query("table_summary", _edges_cte(True) + """
+SELECT edge_table AS table_name, count(*) AS rows, count(DISTINCT batch_id) AS distinct_batches, 12 AS column_count
+FROM edges GROUP BY 1""")
+def q_table_summary(spark, root):
+    built = _built(spark, root)
+    u = E.tagged_union(built)
+    ncols = len(next(iter(built.values())).columns)
+    return u.groupBy(F.col("edge_table").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("batch_id").alias("distinct_batches"),
+        F.lit(ncols).alias("column_count"))
+
+
+@query("all_empty_gate", _edges_cte(True) + """
+SELECT edge_table AS table_name, count(*) AS rows FROM edges GROUP BY 1""")
+def q_all_empty_gate(spark, root):
+    return G.all_empty_gate(_built(spark, root))
+
+
+# ------------------------------------------------------------------ usage gates
+_UL = w(("usage", O.USAGE_HOURLY), ("latest", O.USAGE_LATEST), ("packed", O.USAGE_PACKED))
+
+
+@query("continuity_gate", w(("usage", O.USAGE_HOURLY)) + """
+SELECT p.subscription_id, p.prior_max, n.new_min
+FROM (SELECT subscription_id, max(hour_utc) AS prior_max FROM usage
+      WHERE snapshot_date < (SELECT max(snapshot_date) FROM usage) GROUP BY 1) p
+JOIN (SELECT subscription_id, min(hour_utc) AS new_min FROM usage
+      WHERE snapshot_date = (SELECT max(snapshot_date) FROM usage) GROUP BY 1) n
+  ON p.subscription_id = n.subscription_id
+WHERE n.new_min > p.prior_max + INTERVAL 1 HOUR""")
+def q_continuity_gate(spark, root):
+    u = X.usage_hourly(spark, root)
+    latest = u.agg(F.max("snapshot_date")).scalar()
+    return G.continuity_gate(u.filter(F.col("snapshot_date") < latest), u.filter(F.col("snapshot_date") == latest),
+                             ["subscription_id"], "hour_utc", "1 HOUR")
+
+
+@query("length_gate", _UL + """
+SELECT subscription_id, usage_day, total_hours, len(charges) AS array_length FROM packed WHERE total_hours <> len(charges)""")
+def q_length_gate(spark, root):
+    return G.length_gate(X.usage_packed(spark, root), "total_hours", "charges", ["subscription_id", "usage_day"])
+
+
+@query("hourly_from_array", _UL + """
+SELECT subscription_id, first_hour + to_hours(CAST(pos - 1 AS BIGINT)) AS hour_utc, CAST(charge AS DOUBLE) AS hourly_charge
+FROM (SELECT subscription_id, first_hour, unnest(charges) AS charge, unnest(range(1, len(charges) + 1)) AS pos
+      FROM packed WHERE total_hours = len(charges))""")
+def q_hourly_from_array(spark, root):
+    p = X.usage_packed(spark, root).filter(F.col("total_hours") == F.size("charges"))
+    out = L.hourly_from_array(p, ["subscription_id"], "first_hour", "charges", "total_hours")
+    return out.select("subscription_id", "hour_utc", _d("hourly_charge").alias("hourly_charge"))
+
+
+# ------------------------------------------------------------------ capacity gates
+@query("freshness_gate", w(("fact", O.CAPACITY_FACT)) + f"""
+SELECT 'capacity' AS source, max(usage_date) AS newest_date, DATE '{X.CAPACITY_AS_OF}' AS snapshot_date,
+       CAST(DATE '{X.CAPACITY_AS_OF}' - max(usage_date) AS INTEGER) AS lag_days,
+       CASE WHEN max(usage_date) IS NULL OR DATE '{X.CAPACITY_AS_OF}' - max(usage_date) > 2 THEN 'STALE' ELSE 'FRESH' END AS status
+FROM fact""")
+def q_freshness_gate(spark, root):
+    return G.freshness_gate(X.capacity_fact(spark, root), "usage_date", X.CAPACITY_AS_OF, 2, "capacity")
+
+
+# Expected capacity fact contract; one expected name differs from the live
+# schema on purpose ("cu_seconds" vs "cu_s") so the gate has a finding.
+CAPACITY_CONTRACT = ["capacity_id", "workspace_id", "item_id", "operation_name", "usage_date", "cu_seconds",
+                     "duration_s", "operation_count", "success_count", "failure_count", "throttling_s", "user_count"]
+
+
+@query("schema_contract", w(("fact", O.CAPACITY_FACT)) + """
+SELECT e.table_name, e.column_name FROM (SELECT 'capacity_fact' AS table_name, unnest(['""" +
+       "', '".join(CAPACITY_CONTRACT) + """']) AS column_name) e
+WHERE e.column_name NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM fact))""")
+def q_schema_contract(spark, root):
+    expected = spark.createDataFrame([("capacity_fact", c) for c in CAPACITY_CONTRACT],
+                                     "table_name string, column_name string")
+    live = schema_frame(spark, {"capacity_fact": X.capacity_fact(spark, root)}).drop("data_type")
+    return schema_contract(expected, live)
+
+
+# ------------------------------------------------------------------ rule reports
+def _bronze_rules():
+    return {
+        "cost_not_null": F.col("BilledCost").isNull(),
+        "date_in_range": ~F.col("ChargePeriodStart").between(F.lit("1990-01-01").cast("timestamp_ntz"),
+                                                             F.lit("2030-12-31").cast("timestamp_ntz")),
+        "id_length_36": F.coalesce(F.length("SubAccountId") != 36, F.lit(True)),
+        "non_empty": F.lit(False),
+    }
+
+
+@query("bronze_rules", w(("focus", O.FOCUS)) + """
+SELECT rule, rows, violations, violations = 0 AS passed FROM (
+  SELECT count(*) AS rows, count_if(BilledCost IS NULL) AS cost_not_null,
+         count_if(NOT (ChargePeriodStart BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2030-12-31')) AS date_in_range,
+         count_if(coalesce(length(SubAccountId) <> 36, true)) AS id_length_36, 0 AS non_empty FROM focus)
+UNPIVOT (violations FOR rule IN (cost_not_null, date_in_range, id_length_36, non_empty))""".replace(
+    "SELECT rule, rows, violations, violations = 0 AS passed", "SELECT rule, rows, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed"))
+def q_bronze_rules(spark, root):
+    return G.rule_report(X.focus(spark, root), _bronze_rules())
+
+
+@query("silver_rules", w(("focus", O.FOCUS)) + """
+SELECT error, count(*) AS rows FROM (
+  SELECT unnest(list_filter([CASE WHEN BilledCost < 0 THEN 'negative_cost' END,
+                             CASE WHEN RegionName IS NULL THEN 'missing_department' END,
+                             CASE WHEN CommitmentDiscountId IS NULL THEN 'missing_cost_centre' END], lambda x: x IS NOT NULL)) AS error
+  FROM focus) GROUP BY 1""")
+def q_silver_rules(spark, root):
+    rules = {"negative_cost": F.col("BilledCost") < 0, "missing_department": F.col("RegionName").isNull(),
+             "missing_cost_centre": F.col("CommitmentDiscountId").isNull()}
+    f = X.focus(spark, root).select(G.error_array(rules).alias("validation_errors"))
+    return f.select(F.explode("validation_errors").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("gold_rules", w(*O.FLAGSHIP_CTES) + """
+SELECT t.ds, t.y AS total, c.y AS components, abs(t.y - c.y) < 0.005 AS total_equals_parts
+FROM (SELECT ds, y FROM hier WHERE level = 'total') t
+JOIN (SELECT ds, sum(y) AS y FROM hier WHERE level = 'component' GROUP BY ds) c ON t.ds = c.ds
+WHERE NOT (abs(t.y - c.y) < 0.005)""")
+def q_gold_rules(spark, root):
+    """Total equals the sum of its components on every day (violations only)."""
+    h = hierarchy_series(X.focus(spark, root))
+    t = h.filter(F.col("level") == "total").select("ds", F.col("y").alias("total"))
+    c = h.filter(F.col("level") == "component").groupBy("ds").agg(F.sum("y").alias("components"))
+    j = t.join(c, "ds").withColumn("total_equals_parts", F.abs(F.col("total") - F.col("components")) < 0.005)
+    return j.filter(~F.col("total_equals_parts"))
+
+
+@query("lineage_counts", w(("focus", O.FOCUS), ("usage", O.USAGE_HOURLY), ("containers", O.CONTAINERS)) + f"""
+SELECT 'bronze' AS layer, 'usage' AS table_name, count(*) AS rows, max(ingestion_timestamp) AS latest FROM usage
+UNION ALL
+SELECT 'silver', 'containers', count(*), NULL FROM containers WHERE lower(type) IN
+  ('microsoft.management/managementgroups', 'microsoft.resources/subscriptions', 'microsoft.resources/subscriptions/resourcegroups')
+UNION ALL
+SELECT 'gold', 'daily_service', count(*), CAST(max(ds) AS TIMESTAMP) FROM (
+  SELECT DISTINCT CAST(ChargePeriodStart AS DATE) AS ds, {O.SERVICE_ID_EXPR} AS sid FROM focus)""")
+def q_lineage_counts(spark, root):
+    u = X.usage_hourly(spark, root)
+    c = X.containers(spark, root)
+    known = [t.lower() for t in X.CONTAINER_TYPES.values()]
+    d = X.focus(spark, root).select(F.to_date("ChargePeriodStart").alias("ds"), service_id("Tags").alias("sid")).distinct()
+    a = u.agg(F.count(F.lit(1)).alias("rows"), F.max("ingestion_timestamp").alias("latest")) \
+        .select(F.lit("bronze").alias("layer"), F.lit("usage").alias("table_name"), "rows", "latest")
+    b = c.filter(F.lower("type").isin(*known)).agg(F.count(F.lit(1)).alias("rows")) \
+        .select(F.lit("silver").alias("layer"), F.lit("containers").alias("table_name"), "rows",
+                F.lit(None).cast("timestamp_ntz").alias("latest"))
+    g = d.agg(F.count(F.lit(1)).alias("rows"), F.max("ds").cast("timestamp_ntz").alias("latest")) \
+        .select(F.lit("gold").alias("layer"), F.lit("daily_service").alias("table_name"), "rows", "latest")
+    return a.unionByName(b).unionByName(g)

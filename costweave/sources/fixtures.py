@@ -337,7 +337,8 @@ def edge_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
                                F.concat(F.lit("SUPP-"), F.col("l_suppkey").cast("string")).alias("supplier_id")),
         "orders": o.select(F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("order_id"),
                            cust_t.alias("customer_id")),
-        "customers": c.select(F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"),
+        # customers with custkey % 100 = 1 are missing from the extract (inventory lag)
+        "customers": c.filter(F.col("c_custkey") % 100 != 1).select(F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"),
                               F.concat(F.lit("NAT-"), F.col("c_nationkey").cast("string")).alias("nation_id")),
         "nations": n.select(F.concat(F.lit("NAT-"), F.col("n_nationkey").cast("string")).alias("nation_id"),
                             F.concat(F.lit("REG-"), F.col("n_regionkey").cast("string")).alias("region_id")),
@@ -353,3 +354,24 @@ def two_clouds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     p2 = e.select(F.col("ts").alias("usage_start_time"), F.col("event_type").alias("product_code"),
                   F.col("value").cast(MONEY).alias("unblended_cost"))
     return {"cloud_a": p1, "cloud_b": p2}
+
+
+def usage_packed(spark: SparkSession, root: str) -> DataFrame:
+    """Latest-snapshot usage per subscription-day packed as a 24-slot
+    charges array (gaps filled with 0) + first hour + declared hours.
+    The declared count is seeded wrong (23) for users % 7 = 0 on 2024-01-15.
+    Groups are bounded: at most 24 values per subscription-day."""
+    u = usage_hourly(spark, root)
+    latest = u.groupBy("subscription_id", "hour_utc").agg(F.max("snapshot_date").alias("snapshot_date"))
+    u = u.join(latest, ["subscription_id", "hour_utc", "snapshot_date"])
+    days = u.select("tenant_id", "subscription_id", F.to_date("hour_utc").alias("usage_day")).distinct()
+    slots = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
+    slots = slots.withColumn("hour_utc", F.col("usage_day").cast("timestamp_ntz") + F.make_interval(hours=F.col("h")))
+    filled = slots.join(u.select("subscription_id", "hour_utc", "hourly_charge"), ["subscription_id", "hour_utc"], "left")
+    packed = filled.groupBy("tenant_id", "subscription_id", "usage_day").agg(
+        F.sort_array(F.collect_list(F.struct("h", F.coalesce("hourly_charge", F.lit(0)).cast(MONEY4).alias("c")))).alias("_s"))
+    uid = F.regexp_extract("subscription_id", r"(\d+)$", 1).cast("int")
+    declared = F.when((uid % 7 == 0) & (F.col("usage_day") == F.lit("2024-01-15").cast("date")), 23).otherwise(24)
+    return packed.select("tenant_id", "subscription_id", "usage_day",
+                         F.col("usage_day").cast("timestamp_ntz").alias("first_hour"),
+                         F.transform("_s", lambda x: x["c"]).alias("charges"), declared.alias("total_hours"))
