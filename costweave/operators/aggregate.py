@@ -69,17 +69,25 @@ def grain_reconcile(df: DataFrame, key: str = "subscription_uuid", grain: str =
                     _dbl(gap).alias("unattributed"), (F.abs(gap) > tol).alias("flagged"))
 
 
+def _exact(c, scale=6) -> Column:
+    """Per-row double -> decimal so that sums are exact and order-free."""
+    return c.cast(f"decimal(38,{scale})")
+
+
 def wape(df: DataFrame, keys: list[str], y: str = "y", yhat: str = "yhat") -> DataFrame:
     """sum|yhat - y| / sum|y|; null when every actual is zero."""
-    return df.groupBy(*keys).agg(
-        F.try_divide(F.sum(F.abs(F.col(yhat) - F.col(y))), F.sum(F.abs(F.col(y)))).alias("wape"))
+    num = F.sum(_exact(F.abs(F.col(yhat) - F.col(y)))).cast("double")
+    den = F.sum(_exact(F.abs(F.col(y)))).cast("double")
+    return df.groupBy(*keys).agg(F.when(den != 0, num / den).alias("wape"))
 
 
 def mape_rmse(df: DataFrame, keys: list[str], y: str = "y", yhat: str = "yhat") -> DataFrame:
+    """Pooled MAPE (rows with zero actuals are skipped) and RMSE."""
     err = F.col(yhat) - F.col(y)
+    ape = F.try_divide(F.abs(err), F.abs(F.col(y)))
     return df.groupBy(*keys).agg(
-        F.avg(F.try_divide(F.abs(err), F.abs(F.col(y)))).alias("mape"),
-        F.sqrt(F.avg(err * err)).alias("rmse"))
+        (F.sum(_exact(ape, 10)).cast("double") / F.count(ape)).alias("mape"),
+        F.sqrt(F.sum(_exact(err * err)).cast("double") / F.count(F.lit(1))).alias("rmse"))
 
 
 def period_bounds(df: DataFrame, date_col: str, distinct_cols: list[str]) -> DataFrame:

@@ -1 +1,370 @@
-"""Registered queries."""
+"""Forecast, backtest, accuracy, reconciliation and budget products over the
+hierarchy series, each with DuckDB oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..forecast import baseline as B
+from ..functions.rules import HORIZON_BUCKETS
+from ..functions.tags import LEVELS, with_hierarchy_cols
+from ..operators import aggregate as A
+from ..operators import windows as W
+from ..operators.hierarchy import daily_by_key, hierarchy_bridge, hierarchy_series, daily_by_service
+from ..sources.fixtures import focus
+from . import oracle_adapters as O
+from .registry import query
+
+RUN_DATE = "2001-11-05"
+BIAS = 1.1
+BUCKET_SQL = "CASE " + " ".join(f"WHEN days_ahead BETWEEN {lo} AND {hi} THEN '{lab}'"
+                                for lo, hi, lab in HORIZON_BUCKETS) + " END"
+
+
+def _d(c):
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
+
+
+def _hist(spark, root):
+    return hierarchy_series(focus(spark, root))
+
+
+def _two_models(spark, root):
+    """Base seasonal naive plus a biased copy as the second model."""
+    h = _hist(spark, root).select("unique_id", "ds", "y")
+    sn = B.seasonal_naive(h)
+    biased = sn.select("unique_id", "ds", F.lit("SeasonalNaiveBiased").alias("model_id"),
+                       (F.col("yhat") * BIAS).alias("yhat"))
+    return sn.unionByName(biased)
+
+
+_SN_SQL = f"""
+, hist AS (SELECT unique_id, ds, y FROM hier)
+, last AS (SELECT unique_id, max(ds) AS cutoff FROM hist GROUP BY 1)
+, tail AS (SELECT h.unique_id, h.ds, h.y, l.cutoff FROM hist h JOIN last l ON h.unique_id = l.unique_id
+           WHERE h.ds > l.cutoff - 7 AND h.ds <= l.cutoff)
+, sn AS (SELECT unique_id, CAST(cutoff + CAST(step AS INTEGER) AS DATE) AS ds, 'SeasonalNaive' AS model_id, y AS yhat
+         FROM (SELECT *, unnest(range(date_diff('day', cutoff - 7, ds), {B.HORIZON_DAYS + 1}, 7)) AS step FROM tail))
+, fc AS (SELECT * FROM sn UNION ALL SELECT unique_id, ds, 'SeasonalNaiveBiased', yhat * {BIAS} FROM sn)
+"""
+_FC = O.with_ctes(*O.FLAGSHIP_CTES) + _SN_SQL
+
+_BT_SQL = f"""
+, gmax AS (SELECT max(ds) AS m FROM hist)
+, cuts AS (SELECT CAST((SELECT m FROM gmax) - CAST({B.BT_HORIZON_DAYS} + 28 * k AS INTEGER) AS DATE) AS cutoff
+           FROM (SELECT unnest(range(0, {B.N_WINDOWS})) AS k))
+, bt AS (SELECT unique_id, cutoff, CAST(cutoff + CAST(step AS INTEGER) AS DATE) AS ds, 'SeasonalNaive' AS model_id, y AS yhat
+         FROM (SELECT h.unique_id, h.y, c.cutoff, unnest(range(date_diff('day', c.cutoff - 7, h.ds), {B.BT_HORIZON_DAYS + 1}, 7)) AS step
+               FROM hist h JOIN cuts c ON h.ds > c.cutoff - 7 AND h.ds <= c.cutoff))
+, bt2 AS (SELECT * FROM bt UNION ALL SELECT unique_id, cutoff, ds, 'SeasonalNaiveBiased', yhat * {BIAS} FROM bt)
+, cv AS (SELECT b.*, h.y, date_diff('day', b.cutoff, b.ds) AS days_ahead FROM bt2 b
+         LEFT JOIN hist h ON b.unique_id = h.unique_id AND b.ds = h.ds)
+, cvl AS (SELECT *, {BUCKET_SQL} AS horizon_bucket,
+                 CASE length(unique_id) - length(replace(unique_id, '/', '')) WHEN 0 THEN 'total' WHEN 1 THEN 'division'
+                      WHEN 2 THEN 'platform' WHEN 3 THEN 'workload' ELSE 'component' END AS level FROM cv)
+"""
+_BT = _FC + _BT_SQL
+
+
+def _backtest(spark, root):
+    h = _hist(spark, root).select("unique_id", "ds", "y")
+    bt = B.backtest_seasonal_naive(h)
+    bt = bt.unionByName(bt.select("unique_id", "cutoff", "ds", F.lit("SeasonalNaiveBiased").alias("model_id"),
+                                  (F.col("yhat") * BIAS).alias("yhat")))
+    cv = B.attach_actuals(bt, h)
+    return with_hierarchy_cols(cv).drop(*LEVELS)
+
+
+@query("seasonal_naive", _FC + "SELECT unique_id, ds, model_id, yhat FROM sn")
+def q_seasonal_naive(spark, root):
+    return B.seasonal_naive(_hist(spark, root).select("unique_id", "ds", "y"))
+
+
+@query("unpivot_models", _FC + """
+SELECT unique_id, ds, model_id, yhat FROM (
+  SELECT unique_id, ds, max(CASE WHEN model_id = 'SeasonalNaive' THEN yhat END) AS SeasonalNaive,
+         max(CASE WHEN model_id = 'SeasonalNaiveBiased' THEN yhat END) AS SeasonalNaiveBiased FROM fc GROUP BY 1, 2)
+UNPIVOT (yhat FOR model_id IN (SeasonalNaive, SeasonalNaiveBiased))""")
+def q_unpivot_models(spark, root):
+    """Wide model columns (one per model) -> long (model_id, yhat)."""
+    fc = _two_models(spark, root)
+    wide = fc.groupBy("unique_id", "ds").pivot("model_id", ["SeasonalNaive", "SeasonalNaiveBiased"]).agg(F.max("yhat"))
+    return wide.unpivot(["unique_id", "ds"], ["SeasonalNaive", "SeasonalNaiveBiased"], "model_id", "yhat")
+
+
+@query("bottom_up", _FC + """
+SELECT anc AS unique_id, ds, model_id || '/BottomUp' AS model_id, CAST(sum(CAST(yhat AS DECIMAL(38,6))) AS DOUBLE) AS yhat
+FROM (SELECT unnest(['total', 'total/' || split_part(unique_id, '/', 2),
+                     'total/' || split_part(unique_id, '/', 2) || '/' || split_part(unique_id, '/', 3),
+                     'total/' || split_part(unique_id, '/', 2) || '/' || split_part(unique_id, '/', 3) || '/' || split_part(unique_id, '/', 4),
+                     unique_id]) AS anc, ds, model_id, yhat
+      FROM sn WHERE length(unique_id) - length(replace(unique_id, '/', '')) = 4)
+GROUP BY 1, 2, 3""")
+def q_bottom_up(spark, root):
+    h = _hist(spark, root)
+    fc = B.seasonal_naive(h.select("unique_id", "ds", "y"))
+    leaves = fc.filter(F.regexp_count("unique_id", F.lit("/")) == 4)
+    bridge = hierarchy_bridge(daily_by_service(focus(spark, root)))
+    out = B.bottom_up(leaves.withColumn("yhat", F.col("yhat").cast("decimal(38,6)")), bridge)
+    return out.withColumn("yhat", _d("yhat"))
+
+
+@query("backtest_windows", _BT + """
+SELECT c.cutoff, count(DISTINCT h.unique_id) AS series,
+       count_if(h.ds <= c.cutoff) AS train_rows, count_if(h.ds > c.cutoff AND h.ds <= c.cutoff + 182) AS test_rows
+FROM cuts c, hist h GROUP BY 1""".replace("FROM cuts c, hist h", "FROM cuts c JOIN hist h ON h.ds <= c.cutoff + 182"))
+def q_backtest_windows(spark, root):
+    """Per cutoff: series and train / test row counts (the split itself)."""
+    h = _hist(spark, root).select("unique_id", "ds")
+    rows = h.select("*", F.explode(B.backtest_cutoffs(h)).alias("cutoff"))
+    rows = rows.filter(F.col("ds") <= F.date_add("cutoff", B.BT_HORIZON_DAYS))
+    return rows.groupBy("cutoff").agg(F.count_distinct("unique_id").alias("series"),
+                                      F.count_if(F.col("ds") <= F.col("cutoff")).alias("train_rows"),
+                                      F.count_if(F.col("ds") > F.col("cutoff")).alias("test_rows"))
+
+
+@query("backtest_actuals", _BT + "SELECT unique_id, cutoff, ds, model_id, yhat, y, days_ahead, horizon_bucket, level FROM cvl")
+def q_backtest_actuals(spark, root):
+    return _backtest(spark, root).select("unique_id", "cutoff", "ds", "model_id", "yhat", "y", "days_ahead",
+                                         "horizon_bucket", "level")
+
+
+_WAPE_SQL = """CASE WHEN sum(CAST(abs(y) AS DECIMAL(38,6))) <> 0 THEN
+  CAST(sum(CAST(abs(yhat - y) AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(abs(y) AS DECIMAL(38,6))) AS DOUBLE) END"""
+
+
+@query("wape", _BT + f"SELECT level, model_id, {_WAPE_SQL} AS wape FROM cvl GROUP BY 1, 2")
+def q_wape(spark, root):
+    return A.wape(_backtest(spark, root), ["level", "model_id"])
+
+
+@query("wape_by_bucket", _BT + f"SELECT level, model_id, horizon_bucket, {_WAPE_SQL} AS wape FROM cvl GROUP BY 1, 2, 3")
+def q_wape_by_bucket(spark, root):
+    return A.wape(_backtest(spark, root), ["level", "model_id", "horizon_bucket"])
+
+
+@query("mape_rmse", _BT + """
+SELECT level, model_id,
+       CAST(sum(CAST(CASE WHEN y <> 0 THEN abs(yhat - y) / abs(y) END AS DECIMAL(38,10))) AS DOUBLE)
+         / count(CASE WHEN y <> 0 THEN 1 END) AS mape,
+       sqrt(CAST(sum(CAST((yhat - y) * (yhat - y) AS DECIMAL(38,6))) AS DOUBLE) / count(*)) AS rmse
+FROM cvl GROUP BY 1, 2""")
+def q_mape_rmse(spark, root):
+    return A.mape_rmse(_backtest(spark, root), ["level", "model_id"])
+
+
+@query("pivot_metric", _BT + f"""
+SELECT level, max(CASE WHEN model_id = 'SeasonalNaive' THEN wape END) AS SeasonalNaive,
+       max(CASE WHEN model_id = 'SeasonalNaiveBiased' THEN wape END) AS SeasonalNaiveBiased
+FROM (SELECT level, model_id, {_WAPE_SQL} AS wape FROM cvl GROUP BY 1, 2) GROUP BY 1""")
+def q_pivot_metric(spark, root):
+    w = A.wape(_backtest(spark, root), ["level", "model_id"])
+    return w.groupBy("level").pivot("model_id", ["SeasonalNaive", "SeasonalNaiveBiased"]).agg(F.first("wape"))
+
+
+@query("best_per_level", _BT + f"""
+SELECT level, model_id, wape FROM (
+  SELECT *, row_number() OVER (PARTITION BY level ORDER BY wape, model_id) AS rn
+  FROM (SELECT level, model_id, {_WAPE_SQL} AS wape FROM cvl GROUP BY 1, 2) WHERE wape IS NOT NULL)
+WHERE rn = 1""")
+def q_best_per_level(spark, root):
+    w = A.wape(_backtest(spark, root), ["level", "model_id"])
+    return W.best_per_group(w, ["level"], "wape", "model_id")
+
+
+@query("accuracy_table", _BT + f"""
+SELECT level, model_id, 'wape' AS metric, CAST(NULL AS VARCHAR) AS horizon_bucket, {_WAPE_SQL} AS value,
+       DATE '{RUN_DATE}' AS run_date, {B.BT_HORIZON_DAYS} AS bt_horizon_days, {B.N_WINDOWS} AS n_windows,
+       {B.STEP_SIZE_DAYS} AS step_size_days FROM cvl GROUP BY 1, 2
+UNION ALL
+SELECT level, model_id, 'wape', horizon_bucket, {_WAPE_SQL}, DATE '{RUN_DATE}', {B.BT_HORIZON_DAYS}, {B.N_WINDOWS},
+       {B.STEP_SIZE_DAYS} FROM cvl WHERE horizon_bucket IS NOT NULL GROUP BY 1, 2, 4""")
+def q_accuracy_table(spark, root):
+    """Overall rows (null bucket = all horizons) stacked over bucket rows,
+    stamped with the run parameters; persisted by run_date."""
+    cv = _backtest(spark, root)
+    overall = A.wape(cv, ["level", "model_id"]).withColumn("horizon_bucket", F.lit(None).cast("string"))
+    buckets = A.wape(cv.filter(F.col("horizon_bucket").isNotNull()), ["level", "model_id", "horizon_bucket"])
+    stacked = overall.unionByName(buckets)
+    return stacked.select("level", "model_id", F.lit("wape").alias("metric"), "horizon_bucket",
+                          F.col("wape").alias("value"), F.lit(RUN_DATE).cast("date").alias("run_date"),
+                          F.lit(B.BT_HORIZON_DAYS).alias("bt_horizon_days"), F.lit(B.N_WINDOWS).alias("n_windows"),
+                          F.lit(B.STEP_SIZE_DAYS).alias("step_size_days"))
+
+
+@query("coherence_gap", _FC + """
+SELECT t.model_id, max(abs(t.yhat - c.s)) AS max_gap,
+       CAST(sum(CAST(abs(t.yhat - c.s) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mean_gap
+FROM (SELECT model_id, ds, yhat FROM fc WHERE unique_id = 'total') t
+JOIN (SELECT model_id, ds, CAST(sum(CAST(yhat AS DECIMAL(38,6))) AS DOUBLE) AS s FROM fc
+      WHERE length(unique_id) - length(replace(unique_id, '/', '')) = 4 GROUP BY 1, 2) c
+  ON t.model_id = c.model_id AND t.ds = c.ds GROUP BY 1""")
+def q_coherence_gap(spark, root):
+    """Per model: max and mean |total - sum of components| over days
+    (inner join of total rows with component sums on model x day)."""
+    fc = _two_models(spark, root)
+    t = fc.filter(F.col("unique_id") == "total").select("model_id", "ds", "yhat")
+    c = (fc.filter(F.regexp_count("unique_id", F.lit("/")) == 4).groupBy("model_id", "ds")
+         .agg(_d(F.sum(F.col("yhat").cast("decimal(38,6)"))).alias("s")))
+    gap = F.abs(F.col("yhat") - F.col("s"))
+    return t.join(c, ["model_id", "ds"]).groupBy("model_id").agg(
+        F.max(gap).alias("max_gap"), (_d(F.sum(gap.cast("decimal(38,6)"))) / F.count(F.lit(1))).alias("mean_gap"))
+
+
+@query("mean_forecast", _FC + """
+SELECT unique_id, model_id, CAST(sum(CAST(yhat AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mean_yhat FROM fc GROUP BY 1, 2""")
+def q_mean_forecast(spark, root):
+    fc = _two_models(spark, root)
+    return fc.groupBy("unique_id", "model_id").agg(
+        (_d(F.sum(F.col("yhat").cast("decimal(38,6)"))) / F.count(F.lit(1))).alias("mean_yhat"))
+
+
+@query("unified_view", _FC + f"""
+SELECT 'actual' AS record_type, unique_id, ds, y, CAST(NULL AS DOUBLE) AS yhat, CAST(NULL AS VARCHAR) AS model_id,
+       level, division, platform, workload, component FROM hier
+UNION ALL
+SELECT 'forecast', f.unique_id, f.ds, CAST(NULL AS DOUBLE), f.yhat, f.model_id, n.level, n.division, n.platform,
+       n.workload, n.component
+FROM fc f JOIN (SELECT DISTINCT unique_id, level, division, platform, workload, component FROM hier) n
+  ON f.unique_id = n.unique_id""")
+def q_unified_view(spark, root):
+    h = _hist(spark, root)
+    fc = with_hierarchy_cols(_two_models(spark, root))
+    a = h.select(F.lit("actual").alias("record_type"), "unique_id", "ds", "y", F.lit(None).cast("double").alias("yhat"),
+                 F.lit(None).cast("string").alias("model_id"), "level", *LEVELS)
+    f = fc.select(F.lit("forecast").alias("record_type"), "unique_id", "ds", F.lit(None).cast("double").alias("y"),
+                  "yhat", "model_id", "level", *LEVELS)
+    return a.unionByName(f)
+
+
+@query("unified_view_account", O.with_ctes(("focus", O.FOCUS)) + f"""
+, acc AS (SELECT SubAccountId AS subscription_id, CAST(ChargePeriodStart AS DATE) AS ds, CAST(sum(BilledCost) AS DOUBLE) AS y
+          FROM focus GROUP BY 1, 2)
+, last AS (SELECT subscription_id, max(ds) AS cutoff FROM acc GROUP BY 1)
+, tail AS (SELECT a.*, l.cutoff FROM acc a JOIN last l ON a.subscription_id = l.subscription_id
+           WHERE a.ds > l.cutoff - 7 AND a.ds <= l.cutoff)
+SELECT 'actual' AS record_type, subscription_id, ds AS date, y AS cost, CAST(NULL AS VARCHAR) AS model_id FROM acc
+UNION ALL
+SELECT 'forecast', subscription_id, CAST(cutoff + CAST(step AS INTEGER) AS DATE), y, 'SeasonalNaive'
+FROM (SELECT *, unnest(range(date_diff('day', cutoff - 7, ds), {B.HORIZON_DAYS + 1}, 7)) AS step FROM tail)""")
+def q_unified_view_account(spark, root):
+    """Subscription version (no zero fill, as the account path has none);
+    ordered by subscription_id, date."""
+    acc = daily_by_key(focus(spark, root), "SubAccountId", key_name="subscription_id") \
+        .withColumn("y", _d("y"))
+    fc = B.seasonal_naive(acc, key="subscription_id")
+    a = acc.select(F.lit("actual").alias("record_type"), "subscription_id", F.col("ds").alias("date"),
+                   F.col("y").alias("cost"), F.lit(None).cast("string").alias("model_id"))
+    f = fc.select(F.lit("forecast").alias("record_type"), "subscription_id", F.col("ds").alias("date"),
+                  F.col("yhat").alias("cost"), "model_id")
+    return a.unionByName(f).orderBy("subscription_id", "date")
+
+
+# ------------------------------------------------------------------ budgets
+_MONTHLY_SQL = """
+, monthly AS (SELECT unique_id, CAST(date_trunc('month', ds) AS DATE) AS month, sum(CAST(y AS DECIMAL(38,6))) AS actual
+              FROM hier GROUP BY 1, 2)
+, budgets AS (SELECT unique_id, month, actual,
+                     avg(actual) OVER (PARTITION BY unique_id ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS prev3,
+                     count(*) OVER (PARTITION BY unique_id ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS n_prev
+              FROM monthly)
+"""
+
+
+def _monthly_budgets(spark, root):
+    """Per node-month: budget = mean of the previous three months' actuals
+    x 1.05, i.e. their sum x 0.35 (months with three predecessors only)."""
+    from pyspark.sql import Window
+    h = _hist(spark, root)
+    m = h.groupBy("unique_id", F.to_date(F.date_trunc("month", "ds")).alias("month")).agg(
+        F.sum(F.col("y").cast("decimal(38,6)")).alias("actual"))
+    w = Window.partitionBy("unique_id").orderBy("month").rowsBetween(-3, -1)
+    m = m.select("*", F.sum("actual").over(w).alias("_s3"), F.count(F.lit(1)).over(w).alias("_n"))
+    return m.filter(F.col("_n") == 3).select(
+        "unique_id", "month", "actual", (F.col("_s3") * F.lit("0.35").cast("decimal(2,2)")).alias("budget"))
+
+
+_BUDGET_SQL = """
+, bud AS (SELECT unique_id, month, actual, sum(actual) OVER w AS s3, count(*) OVER w AS n
+          FROM monthly WINDOW w AS (PARTITION BY unique_id ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+, b AS (SELECT unique_id, month, actual, s3 * CAST(0.35 AS DECIMAL(2,2)) AS budget FROM bud WHERE n = 3)
+"""
+_MONTHLY = """
+, monthly AS (SELECT unique_id, CAST(date_trunc('month', ds) AS DATE) AS month, sum(CAST(y AS DECIMAL(38,6))) AS actual
+              FROM hier GROUP BY 1, 2)
+"""
+
+
+@query("budget_targets", O.with_ctes(*O.FLAGSHIP_CTES) + _MONTHLY + _BUDGET_SQL + """
+SELECT unique_id, month, CAST(round(budget, 2) AS DOUBLE) AS budget FROM b""")
+def q_budget_targets(spark, root):
+    b = _monthly_budgets(spark, root)
+    return b.select("unique_id", "month", _d(F.round("budget", 2)).alias("budget"))
+
+
+@query("budget_variance", O.with_ctes(*O.FLAGSHIP_CTES) + _MONTHLY + _BUDGET_SQL + """
+SELECT unique_id, month, CAST(round(actual, 2) AS DOUBLE) AS actual, CAST(round(budget, 2) AS DOUBLE) AS budget,
+       CAST(round(actual, 2) - round(budget, 2) AS DOUBLE) AS variance,
+       round(CAST(round(actual, 2) - round(budget, 2) AS DOUBLE) * 100 / CAST(round(budget, 2) AS DOUBLE), 2) AS variance_pct
+FROM b WHERE month = DATE '2001-10-01' AND round(budget, 2) <> 0""")
+def q_budget_variance(spark, root):
+    """actual - budget and percent (round 2) for one month."""
+    b = _monthly_budgets(spark, root).filter(F.col("month") == F.lit("2001-10-01").cast("date"))
+    b = b.select("unique_id", "month", F.round("actual", 2).alias("a"), F.round("budget", 2).alias("bu"))
+    b = b.filter(F.col("bu") != 0)
+    v = F.col("a") - F.col("bu")
+    return b.select("unique_id", "month", _d("a").alias("actual"), _d("bu").alias("budget"), _d(v).alias("variance"),
+                    F.round(_d(v) * 100 / _d("bu"), 2).alias("variance_pct"))
+
+
+@query("budget_vs_forecast", _FC + _MONTHLY + _BUDGET_SQL + """
+, fm AS (SELECT unique_id, CAST(date_trunc('month', ds) AS DATE) AS month, sum(CAST(yhat AS DECIMAL(38,6))) AS forecast
+         FROM sn GROUP BY 1, 2)
+, lastb AS (SELECT unique_id, budget FROM b WHERE month = (SELECT max(month) FROM b))
+SELECT coalesce(f.unique_id, l.unique_id) AS unique_id, f.month, CAST(round(f.forecast, 2) AS DOUBLE) AS forecast,
+       CAST(round(l.budget, 2) AS DOUBLE) AS budget, round(f.forecast, 2) > round(l.budget, 2) AS predicted_breach
+FROM fm f FULL OUTER JOIN lastb l ON f.unique_id = l.unique_id""")
+def q_budget_vs_forecast(spark, root):
+    """Rolling forecast per node-month against the latest monthly budget
+    (full outer join, so nodes without a forecast or budget stay visible)."""
+    b = _monthly_budgets(spark, root)
+    last = b.filter(F.col("month") == b.agg(F.max("month")).scalar()).select("unique_id", "budget")
+    fc = B.seasonal_naive(_hist(spark, root).select("unique_id", "ds", "y"))
+    fm = fc.groupBy("unique_id", F.to_date(F.date_trunc("month", "ds")).alias("month")).agg(
+        F.sum(F.col("yhat").cast("decimal(38,6)")).alias("forecast"))
+    j = fm.join(last, "unique_id", "full_outer")
+    return j.select("unique_id", "month", _d(F.round("forecast", 2)).alias("forecast"),
+                    _d(F.round("budget", 2)).alias("budget"),
+                    (F.round("forecast", 2) > F.round("budget", 2)).alias("predicted_breach"))
+
+
+# ------------------------------------------------------------------ anomalies
+@query("cost_anomalies", O.with_ctes(*O.FLAGSHIP_CTES) + """
+SELECT unique_id, ds, y, mean_28, std_28, (y - mean_28) / std_28 AS anomaly_score, y - mean_28 AS impact,
+       CASE WHEN abs((y - mean_28) / std_28) > 5 THEN 'high' ELSE 'medium' END AS severity
+FROM (SELECT unique_id, ds, y,
+             CAST(sum(CAST(y AS DECIMAL(38,6))) OVER w AS DOUBLE) / count(*) OVER w AS mean_28,
+             sqrt(greatest(CAST(sum(CAST(y AS DECIMAL(38,6)) * CAST(y AS DECIMAL(38,6))) OVER w AS DOUBLE) / count(*) OVER w
+                  - power(CAST(sum(CAST(y AS DECIMAL(38,6))) OVER w AS DOUBLE) / count(*) OVER w, 2), 0)) AS std_28,
+             count(*) OVER w AS n
+      FROM hier WHERE level IN ('total', 'division')
+      WINDOW w AS (PARTITION BY unique_id ORDER BY ds ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING))
+WHERE n = 28 AND std_28 > 0 AND abs((y - mean_28) / std_28) > 3""")
+def q_cost_anomalies(spark, root):
+    """Daily anomaly score against the trailing 28 days (population std),
+    impact and severity, for the total and division series."""
+    from pyspark.sql import Window
+    h = _hist(spark, root).filter(F.col("level").isin("total", "division"))
+    w = Window.partitionBy("unique_id").orderBy("ds").rowsBetween(-28, -1)
+    yd = F.col("y").cast("decimal(38,6)")
+    n = F.count(F.lit(1)).over(w)
+    mean = _d(F.sum(yd).over(w)) / n
+    var = _d(F.sum(yd * yd).over(w)) / n - F.pow(mean, 2)
+    s = h.select("unique_id", "ds", "y", mean.alias("mean_28"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("std_28"),
+                 n.alias("n"))
+    s = s.filter((F.col("n") == 28) & (F.col("std_28") > 0))
+    score = (F.col("y") - F.col("mean_28")) / F.col("std_28")
+    s = s.filter(F.abs(score) > 3)
+    return s.select("unique_id", "ds", "y", "mean_28", "std_28", score.alias("anomaly_score"),
+                    (F.col("y") - F.col("mean_28")).alias("impact"),
+                    F.when(F.abs(score) > 5, F.lit("high")).otherwise(F.lit("medium")).alias("severity"))
