@@ -34,9 +34,15 @@ def daily_by_service(fact: DataFrame, date_col="ChargePeriodStart", cost_col="Bi
 
 
 def scaffold(daily: DataFrame, key: str = "service_id") -> DataFrame:
-    """Every day from each key's own first day to the global last day."""
+    """Every day from each key's own first day to the global last day.
+
+    The per-key start rows are few (one per series) but explode into
+    series x days rows, so they are spread over the shuffle width first
+    (an explicit count, which adaptive coalescing leaves alone); otherwise
+    one task would generate and aggregate the whole calendar."""
     global_end = daily.agg(F.max("ds")).scalar()
-    starts = daily.groupBy(key).agg(F.min("ds").alias("_start"))
+    width = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = daily.groupBy(key).agg(F.min("ds").alias("_start")).repartition(width, key)
     return starts.select(key, F.explode(F.sequence(F.col("_start"), global_end)).alias("ds"))
 
 
@@ -49,22 +55,36 @@ def zero_fill(daily: DataFrame, key: str = "service_id") -> DataFrame:
 
 def hierarchy_rollup(filled: DataFrame, key: str = "service_id") -> DataFrame:
     """The five prefix levels of the path (not a cube), one row per node-day."""
-    cols = ["ds", "y"]
-    parts = filled.select(*cols, *split_path(key, LEVELS))
+    # Money is carried as exact integer units (10^-scale) through the
+    # 5x Expand: long sums stay on the fast codegen path, while wide
+    # decimal sums would box every value.
+    ytype = filled.schema["y"].dataType
+    scale = getattr(ytype, "scale", None)
+    units = (F.col("y") * (10 ** scale)).cast("long") if scale is not None else F.col("y")
+    parts = filled.select("ds", units.alias("y"), *split_path(key, LEVELS))
     sets = [["ds"] + LEVELS[:i] for i in range(len(LEVELS), -1, -1)]
     g = parts.groupingSets(sets, "ds", *LEVELS)
     rolled = sum(F.grouping(c) for c in LEVELS)
     level = F.element_at(F.create_map(*[x for k, v in LEVEL_BY_ROLLED.items()
                                         for x in (F.lit(k), F.lit(v))]), rolled.cast("int"))
     out = g.agg(F.sum("y").alias("y"), level.alias("level"))
+    y = F.col("y") / (10 ** scale) if scale is not None else F.col("y")
     return out.select(
         F.concat_ws("/", F.lit(TOTAL_LABEL), *LEVELS).alias("unique_id"),
-        "ds", F.col("y").cast("double").alias("y"), "level", *LEVELS)
+        "ds", y.cast("double").alias("y"), "level", *LEVELS)
 
 
 def hierarchy_series(fact: DataFrame, date_col="ChargePeriodStart", cost_col="BilledCost") -> DataFrame:
-    """Every level's zero-filled daily series (gold.forecast_input)."""
-    return hierarchy_rollup(zero_fill(daily_by_service(fact, date_col, cost_col)))
+    """Every level's zero-filled daily series (gold.forecast_input).
+
+    Same result as ``hierarchy_rollup(zero_fill(daily))`` without the join:
+    the scaffold contributes zero-valued rows, the facts their sums, and a
+    single grouping-sets aggregate over the union both fills and rolls up
+    (a missing day only needs to *exist*; adding 0 does not change sums)."""
+    daily = daily_by_service(fact, date_col, cost_col)
+    zero = F.lit(0).cast(daily.schema["y"].dataType)
+    filled = scaffold(daily).select("service_id", "ds", zero.alias("y")).unionByName(daily.select("service_id", "ds", "y"))
+    return hierarchy_rollup(filled)
 
 
 def hierarchy_bridge(leaves: DataFrame, key: str = "service_id") -> DataFrame:
