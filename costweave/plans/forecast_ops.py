@@ -368,3 +368,36 @@ def q_cost_anomalies(spark, root):
     return s.select("unique_id", "ds", "y", "mean_28", "std_28", score.alias("anomaly_score"),
                     (F.col("y") - F.col("mean_28")).alias("impact"),
                     F.when(F.abs(score) > 5, F.lit("high")).otherwise(F.lit("medium")).alias("severity"))
+
+
+# ------------------------------------------------------------------ kernels (rows-checked)
+def _bridge(spark, root):
+    return hierarchy_bridge(daily_by_service(focus(spark, root)))
+
+
+@query("wls_reconcile")
+def q_wls_reconcile(spark, root):
+    """Seasonal-naive base forecasts of all levels reconciled by structural
+    WLS on the tree (unit test checks coherence and the dense GLS answer)."""
+    from ..forecast.reconcile import structural_weights, wls_tree
+    fc = _two_models(spark, root)
+    return wls_tree(fc, structural_weights(_bridge(spark, root)))
+
+
+@query("changepoints")
+def q_changepoints(spark, root):
+    """PELT change points on every hierarchy series, classified."""
+    from ..forecast.changepoint import classify_changes, segments
+    return classify_changes(segments(_hist(spark, root)))
+
+
+@query("segments")
+def q_segments(spark, root):
+    from ..forecast.changepoint import segments
+    return segments(_hist(spark, root))
+
+
+@query("top_movers")
+def q_top_movers(spark, root):
+    from ..forecast.changepoint import classify_changes, segments, top_movers
+    return top_movers(classify_changes(segments(_hist(spark, root))))
