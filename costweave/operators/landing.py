@@ -101,10 +101,11 @@ def hourly_from_array(df: DataFrame, keys: list[str], first_hour: str, charges:
     """Packed hourly array + first timestamp -> (hour_utc, charge) rows.
     A declared length that disagrees with the array fails the job."""
     if total_hours is not None:
-        df = df.withColumn("_chk", F.assert_true(F.col(total_hours) == F.size(charges),
-                                                 F.lit("totalHours does not match the charges array length")))
-    e = df.select(*keys, first_hour, F.posexplode(charges).alias("_pos", "hourly_charge"),
-                  *(["_chk"] if total_hours is not None else []))
+        # a filter on the assertion keeps it in the plan (a projected-away
+        # column would be pruned by the optimizer and never evaluated)
+        df = df.filter(F.assert_true(F.col(total_hours) == F.size(charges),
+                                     F.lit("totalHours does not match the charges array length")).isNull())
+    e = df.select(*keys, first_hour, F.posexplode(charges).alias("_pos", "hourly_charge"))
     return e.select(*keys, (F.col(first_hour) + F.make_interval(hours=F.col("_pos").cast("int"))).alias("hour_utc"),
                     "hourly_charge")
 
