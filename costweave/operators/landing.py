@@ -38,7 +38,7 @@ def add_audit(df: DataFrame, run_ts: str, source_file: str | Column | None = Non
     """ingestion_timestamp / source_file / snapshot_date.  ``run_ts`` is passed
     in once per run (never ``current_timestamp()`` per call), so a rerun of
     the same run writes identical rows."""
-    cols = {"ingestion_timestamp": F.lit(run_ts).cast("timestamp")}
+    cols = {"ingestion_timestamp": F.lit(run_ts).cast("timestamp_ntz")}
     if source_file is not None:
         cols["source_file"] = F.lit(source_file) if isinstance(source_file, str) else source_file
     cols["snapshot_date"] = F.lit(snapshot_date or run_ts[:10]).cast("date")

@@ -375,3 +375,63 @@ def usage_packed(spark: SparkSession, root: str) -> DataFrame:
     return packed.select("tenant_id", "subscription_id", "usage_day",
                          F.col("usage_day").cast("timestamp_ntz").alias("first_hour"),
                          F.transform("_s", lambda x: x["c"]).alias("charges"), declared.alias("total_hours"))
+
+
+# --------------------------------------------------------------- commitments
+TERMS = [("P1Y", "1.00", 6), ("P3Y", "0.80", 4)]   # term, amount factor, recommended level
+
+
+def alternatives_pages(spark: SparkSession, root: str) -> DataFrame:
+    """One recommendation page (JSON text) per region x term, carrying ten
+    alternative commitment levels on an equal-width ladder between the
+    region's smallest and largest order total.  A page holds at most ten
+    alternatives, so the per-page collect is bounded."""
+    o = _t(spark, root, "orders", "o_custkey", "o_totalprice")
+    cust = customer_dim(spark, root).select("c_custkey", "r_name")
+    j = o.join(cust, o.o_custkey == cust.c_custkey)
+    price = F.col("o_totalprice").cast(MONEY)
+    b = j.groupBy("r_name").agg(F.min(price).alias("lo"), F.max(price).alias("hi"))
+    terms = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(f).alias("factor"), F.lit(r).alias("rec"))
+                      for t, f, r in TERMS])
+    b = b.select("*", F.explode(terms).alias("_t")).select("r_name", "lo", "hi", "_t.*")
+    lv = b.select("*", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i"))
+    step = F.col("i").cast("decimal(3,0)") * F.lit("0.1").cast("decimal(2,1)")
+    amount = F.round((F.col("lo") + (F.col("hi") - F.col("lo")) * step) * F.lit("0.001").cast("decimal(4,3)")
+                     * F.col("factor").cast("decimal(3,2)"), 2)
+    alt = F.struct(amount.alias("commitmentAmount"), (F.col("i") * 10).alias("coveragePercentage"),
+                   (F.col("i").cast("decimal(4,1)") * F.lit("2.5").cast("decimal(2,1)")).alias("savingsPercentage"),
+                   (amount * F.greatest(F.col("i") - 5, F.lit(0))).alias("wastageCost"))
+    lv = lv.withColumn("alt", alt)
+    rec_amount = F.max(F.when(F.col("i") == F.col("rec"), F.col("alt.commitmentAmount")))
+    pages = lv.groupBy("r_name", "term").agg(F.sort_array(F.collect_list(F.struct("i", "alt"))).alias("_alts"),
+                                             rec_amount.alias("rec_amount"))
+    props = F.struct(F.col("term"), F.lit("Shared").alias("scope"), F.lit("Last30Days").alias("lookBackPeriod"),
+                     F.lit("USD").alias("currencyCode"),
+                     F.struct(F.col("rec_amount").alias("commitmentAmount")).alias("recommendationDetails"),
+                     F.struct(F.transform("_alts", lambda x: x["alt"]).alias("value")).alias("allRecommendationDetails"))
+    return pages.select(F.col("r_name").alias("tenant_label"),
+                        F.to_json(F.struct(F.array(F.struct(props.alias("properties"))).alias("value"))).alias("page"))
+
+
+# --------------------------------------------------------------- inventory pages
+def resource_pages(spark: SparkSession, root: str) -> DataFrame:
+    """Graph-inventory result pages (JSON text, <= 1000 records each) built
+    from ``part``: nested sku / identity objects, a zones array and tags."""
+    p = _t(spark, root, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    zones = F.slice(F.array(F.lit("1"), F.lit("2"), F.lit("3")), 1, F.col("p_size") % 3)
+    rec = F.struct(
+        F.concat(F.lit("/subscriptions/sub-"), (F.col("p_partkey") % 7).cast("string"), F.lit("/res-"),
+                 F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_name").alias("name"), F.col("p_type").alias("type"),
+        F.concat(F.lit("region-"), (F.col("p_partkey") % 5).cast("string")).alias("location"),
+        F.concat(F.lit("sub-"), (F.col("p_partkey") % 7).cast("string")).alias("subscriptionId"),
+        F.struct(F.col("p_brand").alias("name")).alias("sku"),
+        zones.alias("zones"),
+        F.struct(F.when(F.col("p_size") % 2 == 0, F.lit("SystemAssigned")).alias("type")).alias("identity"),
+        F.when(F.col("p_size") % 4 == 0, F.struct(F.lit("prod").alias("env"))).alias("tags"),
+        F.col("p_size").cast("string").alias("size"),
+    )
+    page_no = (F.col("p_partkey") / 1000).cast("long")
+    tenant = F.when(F.col("p_partkey") % 2 == 0, F.lit("tenant-a")).otherwise(F.lit("tenant-b"))
+    pages = p.groupBy(tenant.alias("tenant"), page_no.alias("page_no")).agg(F.collect_list(rec).alias("data"))
+    return pages.select("tenant", "page_no", F.to_json(F.struct("data")).alias("page"))
