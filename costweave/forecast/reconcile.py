@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 MAX_DEPTH = 4
 KEYS = ["ds", "model_id"]
 
@@ -41,9 +43,8 @@ def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS") -> DataFra
     # The base forecasts feed all eight steps: checkpoint them (reliable
     # storage under spark.checkpoint.dir) so each step does not replay the
     # whole upstream plan, and the lineage stays short if executors are lost.
-    base = (fc.join(weights, "unique_id")
-            .select("unique_id", *KEYS, "yhat", "w", _depth().alias("depth"), _parent().alias("parent"))
-            .checkpoint())
+    base = cut_lineage(fc.join(weights, "unique_id")
+                       .select("unique_id", *KEYS, "yhat", "w", _depth().alias("depth"), _parent().alias("parent")))
     levels: dict[int, DataFrame] = {}
     up = base.filter(F.col("depth") == MAX_DEPTH).select(
         "unique_id", "parent", *KEYS, F.col("yhat").alias("est"), F.col("w").alias("v"))
@@ -55,7 +56,7 @@ def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS") -> DataFra
         v = F.when(F.col("sv").isNull(), F.col("w")).otherwise(1.0 / (1.0 / F.col("w") + 1.0 / F.col("sv")))
         est = F.when(F.col("sv").isNull(), F.col("yhat")).otherwise(
             v * (F.col("yhat") / F.col("w") + F.col("se") / F.col("sv")))
-        up = node.select("unique_id", "parent", *KEYS, est.alias("est"), v.alias("v")).checkpoint()
+        up = cut_lineage(node.select("unique_id", "parent", *KEYS, est.alias("est"), v.alias("v")))
         levels[d] = up
     final = levels[0].select("unique_id", *KEYS, F.col("est").alias("yhat"))
     out = [final]

@@ -3,8 +3,10 @@
 Plan shape (the expensive part runs once, on the raw fact):
   fact --(partial+final hash aggregate on day x service_id)--> daily rows
   daily --(min per key, global max as a scalar subquery)--> scaffold
-  scaffold LEFT JOIN daily --> zero-filled leaves
+  scaffold zero rows UNION ALL daily rows
   GROUP BY ds, ROLLUP(division, platform, workload, component) --> 5 levels
+(``zero_fill`` keeps the explicit scaffold LEFT JOIN form for callers that
+need the filled leaves themselves.)
 
 The first aggregate shrinks the fact (billions of rows) to days x
 components (~2,500 x 300), so a hot key such as Untagged is absorbed by
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tags import LEVELS, TOTAL_LABEL, service_id, split_path
+from ..session import cut_lineage
 
 LEVEL_BY_ROLLED = {0: "component", 1: "workload", 2: "platform", 3: "division", 4: "total"}
 
@@ -80,8 +83,12 @@ def hierarchy_series(fact: DataFrame, date_col="ChargePeriodStart", cost_col="Bi
     Same result as ``hierarchy_rollup(zero_fill(daily))`` without the join:
     the scaffold contributes zero-valued rows, the facts their sums, and a
     single grouping-sets aggregate over the union both fills and rolls up
-    (a missing day only needs to *exist*; adding 0 does not change sums)."""
-    daily = daily_by_service(fact, date_col, cost_col)
+    (a missing day only needs to *exist*; adding 0 does not change sums).
+
+    The day x component sums (small: days x series, whatever the fact size)
+    feed three branches - global end, per-key start and the values - so they
+    are checkpointed once instead of re-running the fact scan and joins."""
+    daily = cut_lineage(daily_by_service(fact, date_col, cost_col))
     zero = F.lit(0).cast(daily.schema["y"].dataType)
     filled = scaffold(daily).select("service_id", "ds", zero.alias("y")).unionByName(daily.select("service_id", "ds", "y"))
     return hierarchy_rollup(filled)

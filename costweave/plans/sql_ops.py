@@ -149,9 +149,13 @@ FROM (SELECT CAST(date_trunc('month', ChargePeriodStart) AS DATE) AS month, Effe
       FROM (SELECT *, {SERVICE_ID_EXPR} AS sid FROM focus))
 GROUP BY month, ROLLUP(division, platform, workload, component)""")
 def q_chargeback_monthly(spark, root):
+    # Pre-aggregate to month x Service_ID before the 5x grouping-sets Expand,
+    # so the expand runs over months x series rows, not over the fact.
     f = focus(spark, root)
-    p = f.select(F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month"), "EffectiveCost",
-                 "BilledCost", *split_path(service_id("Tags"), LEVELS))
+    m = f.groupBy(F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month"),
+                  service_id("Tags").alias("sid")).agg(F.sum("EffectiveCost").alias("EffectiveCost"),
+                                                       F.sum("BilledCost").alias("BilledCost"))
+    p = m.select("month", "EffectiveCost", "BilledCost", *split_path("sid", LEVELS))
     sets = [["month"] + LEVELS[:i] for i in range(len(LEVELS), -1, -1)]
     rolled = sum(F.grouping(c) for c in LEVELS)
     names = ["component", "workload", "platform", "division", "total"]

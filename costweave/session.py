@@ -50,8 +50,7 @@ def get_spark(app: str = "costweave", master: str | None = None,
 def local_spark(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench: local mode, small shuffle width."""
     return get_spark(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,
-                     extra={"spark.driver.memory": os.environ.get("COSTWEAVE_DRIVER_MEM", "8g"),
-                            "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)})
+                     extra={"spark.driver.memory": os.environ.get("COSTWEAVE_DRIVER_MEM", "8g")})
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -75,3 +74,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="costweave-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def cut_lineage(df):
+    """Eager reliable checkpoint into the session's checkpoint folder.
+
+    Used where a small intermediate (e.g. day x series sums) feeds several
+    branches of a plan: the branches then read the written result instead of
+    re-running the scan and joins, and a lost executor costs a re-read, not
+    a replay of the lineage.  Never a local (executor-memory) checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
