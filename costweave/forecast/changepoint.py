@@ -41,32 +41,47 @@ def _trend(y: np.ndarray, w: int = 7) -> np.ndarray:
 def pelt_rbf(x: np.ndarray, pen: float = PENALTY, min_size: int = MIN_SIZE, jump: int = JUMP) -> list[int]:
     """Breakpoint indexes (segment ends, exclusive; last = n)."""
     n = len(x)
-    d2 = (x[:, None] - x[None, :]) ** 2
-    med = np.median(d2[np.triu_indices(n, 1)]) if n > 1 else 0.0
-    gamma = 1.0 / med if med > 0 else 1.0
-    K = np.exp(-gamma * d2)
+    d2 = np.subtract.outer(x, x)
+    np.square(d2, out=d2)
+    gamma = 1.0
+    if n > 1:
+        # median over pairs i < j, read off the full symmetric matrix: sorted,
+        # it is n zeros (diagonal) followed by every pair value twice
+        m = n * (n - 1) // 2
+        flat = d2.ravel()
+        lo = n + 2 * ((m - 1) // 2)
+        hi = n + 2 * (m // 2)
+        part = np.partition(flat, [lo, hi])
+        med = 0.5 * (part[lo] + part[hi])
+        gamma = 1.0 / med if med > 0 else 1.0
+    np.multiply(d2, -gamma, out=d2)
+    np.exp(d2, out=d2)
     S = np.zeros((n + 1, n + 1))
-    S[1:, 1:] = K.cumsum(0).cumsum(1)
+    np.cumsum(d2, axis=0, out=S[1:, 1:])
+    np.cumsum(S[1:, 1:], axis=1, out=S[1:, 1:])
+    diag = np.diagonal(S).copy()
 
-    def cost(a, b):
-        blk = S[b, b] - S[a, b] - S[b, a] + S[a, a]
-        return (b - a) - blk / (b - a)
-
-    grid = [t for t in range(0, n, jump) if t >= min_size or t == 0] + [n]
-    grid = sorted(set(grid))
+    grid = sorted(set([t for t in range(0, n, jump) if t >= min_size or t == 0] + [n]))
     best = {0: -pen}
     prev = {0: None}
-    cands = [0]
+    cands = np.array([0])
     for t in grid[1:]:
-        vals = [(best[s] + cost(s, t) + pen, s) for s in cands if t - s >= min_size]
-        if not vals:
+        ok = cands[t - cands >= min_size]
+        if ok.size == 0:
+            cands = np.append(cands, t)
             continue
-        f, s_star = min(vals)
-        best[t], prev[t] = f, s_star
-        cands = [s for s in cands if t - s < min_size or best[s] + cost(s, t) <= f] + [t]
-    bkps, t = [], n
+        blk = diag[t] - S[ok, t] - S[t, ok] + diag[ok]
+        c = (t - ok) - blk / (t - ok)
+        vals = np.array([best[s] for s in ok]) + c + pen
+        i = int(np.argmin(vals))
+        f = float(vals[i])
+        best[t], prev[t] = f, int(ok[i])
+        keep = (t - cands < min_size)
+        keep[t - cands >= min_size] = (vals - pen) <= f
+        cands = np.append(cands[keep], t)
     if n not in best:
         return [n]
+    bkps, t = [], n
     while t:
         bkps.append(t)
         t = prev[t]

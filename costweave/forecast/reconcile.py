@@ -56,7 +56,7 @@ def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS") -> DataFra
         v = F.when(F.col("sv").isNull(), F.col("w")).otherwise(1.0 / (1.0 / F.col("w") + 1.0 / F.col("sv")))
         est = F.when(F.col("sv").isNull(), F.col("yhat")).otherwise(
             v * (F.col("yhat") / F.col("w") + F.col("se") / F.col("sv")))
-        up = cut_lineage(node.select("unique_id", "parent", *KEYS, est.alias("est"), v.alias("v")))
+        up = node.select("unique_id", "parent", *KEYS, est.alias("est"), v.alias("v"))
         levels[d] = up
     final = levels[0].select("unique_id", *KEYS, F.col("est").alias("yhat"))
     out = [final]

@@ -11,6 +11,7 @@ from ..functions.tags import LEVELS, with_hierarchy_cols
 from ..operators import aggregate as A
 from ..operators import windows as W
 from ..operators.hierarchy import daily_by_key, hierarchy_bridge, hierarchy_series, daily_by_service
+from ..session import cut_lineage
 from ..sources.fixtures import focus
 from . import oracle_adapters as O
 from .registry import query
@@ -26,7 +27,10 @@ def _d(c):
 
 
 def _hist(spark, root):
-    return hierarchy_series(focus(spark, root))
+    """gold.forecast_input: every level's zero-filled daily series, written
+    once (checkpoint) and read by every forecast step of the query, as the
+    reference writes the actuals table before fitting."""
+    return cut_lineage(hierarchy_series(focus(spark, root)))
 
 
 def _two_models(spark, root):
@@ -271,11 +275,11 @@ _MONTHLY_SQL = """
 """
 
 
-def _monthly_budgets(spark, root):
+def _monthly_budgets(spark, root, h=None):
     """Per node-month: budget = mean of the previous three months' actuals
     x 1.05, i.e. their sum x 0.35 (months with three predecessors only)."""
     from pyspark.sql import Window
-    h = _hist(spark, root)
+    h = _hist(spark, root) if h is None else h
     m = h.groupBy("unique_id", F.to_date(F.date_trunc("month", "ds")).alias("month")).agg(
         F.sum(F.col("y").cast("decimal(38,6)")).alias("actual"))
     w = Window.partitionBy("unique_id").orderBy("month").rowsBetween(-3, -1)
@@ -327,9 +331,10 @@ FROM fm f FULL OUTER JOIN lastb l ON f.unique_id = l.unique_id""")
 def q_budget_vs_forecast(spark, root):
     """Rolling forecast per node-month against the latest monthly budget
     (full outer join, so nodes without a forecast or budget stay visible)."""
-    b = _monthly_budgets(spark, root)
+    h = _hist(spark, root)
+    b = _monthly_budgets(spark, root, h)
     last = b.filter(F.col("month") == b.agg(F.max("month")).scalar()).select("unique_id", "budget")
-    fc = B.seasonal_naive(_hist(spark, root).select("unique_id", "ds", "y"))
+    fc = B.seasonal_naive(h.select("unique_id", "ds", "y"))
     fm = fc.groupBy("unique_id", F.to_date(F.date_trunc("month", "ds")).alias("month")).agg(
         F.sum(F.col("yhat").cast("decimal(38,6)")).alias("forecast"))
     j = fm.join(last, "unique_id", "full_outer")
