@@ -406,3 +406,56 @@ def q_segments(spark, root):
 def q_top_movers(spark, root):
     from ..forecast.changepoint import classify_changes, segments, top_movers
     return top_movers(classify_changes(segments(_hist(spark, root))))
+
+
+# ------------------------------------------------------------------ MSTL + ARIMA (rows-checked)
+@query("mstl_decompose")
+def q_mstl_decompose(spark, root):
+    """Trend + weekly + yearly seasonal + remainder of every hierarchy series
+    (yearly only where two full years exist)."""
+    from ..forecast.mstl_forecast import components
+    return components(_hist(spark, root), periods=(7, 365))
+
+
+def _mstl(spark, root, h=B.HORIZON_DAYS):
+    from ..forecast.mstl_forecast import mstl_arima
+    return mstl_arima(_hist(spark, root).select("unique_id", "ds", "y"), h)
+
+
+@query("mstl_forecast")
+def q_mstl_forecast(spark, root):
+    """365-day MSTL forecasts: ARIMA (order by AICc) on the seasonally
+    adjusted series plus the last weekly season repeated."""
+    fc, _ = _mstl(spark, root)
+    return fc.drop("cutoff")
+
+
+@query("fitted_values")
+def q_fitted_values(spark, root):
+    _, fit = _mstl(spark, root)
+    h = _hist(spark, root).select("unique_id", "ds", "y")
+    return fit.drop("cutoff").join(h, ["unique_id", "ds"]).withColumn("residual", F.col("y") - F.col("fitted"))
+
+
+@query("mstl_backtest_accuracy")
+def q_mstl_backtest_accuracy(spark, root):
+    """Walk-forward MSTL backtest (6 cutoffs x 182 days, training up to each
+    cutoff only) scored next to seasonal naive: WAPE by level, model and
+    horizon bucket, stacked with the overall rows (null bucket)."""
+    from ..forecast.mstl_forecast import mstl_arima
+    h = _hist(spark, root).select("unique_id", "ds", "y")
+    fc, _ = mstl_arima(h, B.BT_HORIZON_DAYS, cutoffs=B.backtest_cutoffs(h))
+    sn = B.backtest_seasonal_naive(h)
+    bt = fc.select("unique_id", "cutoff", "ds", "model_id", "yhat").unionByName(sn)
+    cv = with_hierarchy_cols(B.attach_actuals(bt, h)).drop(*LEVELS)
+    overall = A.wape(cv, ["level", "model_id"]).withColumn("horizon_bucket", F.lit(None).cast("string"))
+    buckets = A.wape(cv.filter(F.col("horizon_bucket").isNotNull()), ["level", "model_id", "horizon_bucket"])
+    return overall.unionByName(buckets)
+
+
+@query("mstl_reconciled")
+def q_mstl_reconciled(spark, root):
+    """MSTL base forecasts of all levels reconciled on the tree (WLS)."""
+    from ..forecast.reconcile import structural_weights, wls_tree
+    fc, _ = _mstl(spark, root)
+    return wls_tree(fc.select("unique_id", "ds", "model_id", "yhat"), structural_weights(_bridge(spark, root)))
