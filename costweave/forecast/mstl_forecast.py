@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import arima
 from .stl import mstl
 
@@ -107,7 +108,9 @@ def mstl_arima(history: DataFrame, h: int, cutoffs=None, model_id: str = "MSTL")
         series = history.withColumn("cutoff", F.lit(None).cast("date"))
     else:
         series = history.select("*", F.explode(cutoffs).alias("cutoff")).filter(F.col("ds") <= F.col("cutoff"))
-    best = best_orders(order_search(decompose(series), h))
+    # the winners (one row per series, arrays of days) feed both outputs:
+    # written once so the order search is not run twice
+    best = cut_lineage(best_orders(order_search(decompose(series), h)))
     return forecast_rows(best, model_id), fitted_rows(best)
 
 

@@ -459,3 +459,18 @@ def q_mstl_reconciled(spark, root):
     from ..forecast.reconcile import structural_weights, wls_tree
     fc, _ = _mstl(spark, root)
     return wls_tree(fc.select("unique_id", "ds", "model_id", "yhat"), structural_weights(_bridge(spark, root)))
+
+
+@query("mint_shrink")
+def q_mint_shrink(spark, root):
+    """MSTL forecasts reconciled by MinT with a shrunk covariance of the
+    in-sample residuals (training data only)."""
+    from ..forecast.mint import apply_mint, mint_weights, residual_gram
+    from ..forecast.mstl_forecast import mstl_arima
+    h = _hist(spark, root)
+    fc, fit = mstl_arima(h.select("unique_id", "ds", "y"), B.HORIZON_DAYS)
+    resid = fit.join(h.select("unique_id", "ds", "y"), ["unique_id", "ds"]).select(
+        "unique_id", "ds", (F.col("y") - F.col("fitted")).alias("residual"))
+    bridge = _bridge(spark, root)
+    weights = cut_lineage(mint_weights(residual_gram(resid), bridge))
+    return apply_mint(fc.select("unique_id", "ds", "model_id", "yhat"), weights, bridge)

@@ -109,3 +109,35 @@ def test_mstl_arima_pipeline(spark):
     # 2020-07-19 is day 200 -> phase 200 % 7 = 4 of the weekly pattern
     assert all(abs(r.yhat - (50 + pat[200 % 7])) < 1.0 for r in first.values())
     assert fit.filter("fitted IS NULL").count() == 0
+
+
+def test_mint_shrink_matches_dense_and_is_coherent(spark):
+    from costweave.forecast.mint import apply_mint, mint_weights, projection, residual_gram, shrunk_covariance
+    ids = ["total", "total/a", "total/b", "total/a/l1", "total/a/l2", "total/b/l3"]
+    leaves = ["total/a/l1", "total/a/l2", "total/b/l3"]
+    links = [(u, l) for l in leaves for u in ids if l == u or l.startswith(u + "/")]
+    rng = np.random.default_rng(5)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(90)]
+    E = rng.normal(size=(90, 6)) * np.array([3, 2, 2, 1, 1, 1.5])
+    resid = spark.createDataFrame([(u, d, float(E[t, k])) for t, d in enumerate(days) for k, u in enumerate(ids)],
+                                  "unique_id string, ds date, residual double")
+    bridge = spark.createDataFrame(links, "unique_id string, bottom_id string")
+    gram = residual_gram(resid)
+    W = mint_weights(gram, bridge).toPandas()
+    # dense reference from the full residual matrix
+    import pandas as pd
+    g = pd.DataFrame([(ids[i], ids[j], float(E[:, i] @ E[:, j]), float((E[:, i] * E[:, j]) @ (E[:, i] * E[:, j])), 90)
+                      for i in range(6) for j in range(6)], columns=["node_i", "node_j", "sxy", "sxy2", "n"])
+    nodes = sorted(ids)
+    P = projection(nodes, sorted(leaves), pd.DataFrame(links, columns=["unique_id", "bottom_id"]),
+                   shrunk_covariance(nodes, g))
+    got = {(r.bottom_id, r.node_id): r.weight for r in W.itertuples()}
+    for bi, b in enumerate(sorted(leaves)):
+        for ni, n in enumerate(nodes):
+            assert abs(got[(b, n)] - P[bi, ni]) < 1e-9
+    yhat = {"total": 10.0, "total/a": 6.0, "total/b": 3.0, "total/a/l1": 2.0, "total/a/l2": 3.5, "total/b/l3": 3.2}
+    fc = spark.createDataFrame([(u, dt.date(2024, 4, 1), "m", v) for u, v in yhat.items()],
+                               "unique_id string, ds date, model_id string, yhat double")
+    out = {r.unique_id: r.yhat for r in apply_mint(fc, mint_weights(gram, bridge), bridge).collect()}
+    assert abs(out["total"] - sum(out[l] for l in leaves)) < 1e-9
+    assert abs(out["total/a"] - out["total/a/l1"] - out["total/a/l2"]) < 1e-9
