@@ -1,9 +1,10 @@
 """Per-key ordering operators.
 
-"Latest row per key" uses ``max_by`` over a struct (a hash aggregate with a
-partial map-side step) instead of ``row_number`` over a window, which
-would sort every key's rows inside one task; a key holding a third of the
-rows would then be one giant sort.
+"Latest row per key" uses ``max_by`` over a struct - a two-phase aggregate
+whose map-side step keeps one row per key per task - instead of
+``row_number`` over a window, which would shuffle every row of a key to
+one task and sort them there; a key holding a third of the rows would then
+be one giant sort.
 """
 
 from __future__ import annotations
