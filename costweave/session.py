@@ -77,11 +77,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Eager reliable checkpoint into the session's checkpoint folder.
+    """Write an intermediate as a Parquet table under the session's shared
+    checkpoint folder and continue from the written table.
 
     Used where a small intermediate (e.g. day x series sums) feeds several
     branches of a plan: the branches then read the written result instead of
     re-running the scan and joins, and a lost executor costs a re-read, not
-    a replay of the lineage.  Never a local (executor-memory) checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    a replay of the lineage.  A columnar table (rather than an RDD
+    checkpoint of serialized rows) is faster to write and lets later reads
+    prune columns.  Never a local (executor-memory) checkpoint."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
