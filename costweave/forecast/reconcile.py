@@ -39,33 +39,40 @@ def structural_weights(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("unique_id").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS") -> DataFrame:
+def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS", extra_keys: list[str] | None = None) -> DataFrame:
+    """``extra_keys`` (e.g. ``["cutoff"]``) reconcile every backtest window on
+    its own, as further group keys rather than a loop."""
+    keys = KEYS + list(extra_keys or [])
+    return _wls_tree(fc, weights, suffix, keys)
+
+
+def _wls_tree(fc: DataFrame, weights: DataFrame, suffix: str, keys: list[str]) -> DataFrame:
     # The base forecasts feed all eight steps: checkpoint them (reliable
     # storage under spark.checkpoint.dir) so each step does not replay the
     # whole upstream plan, and the lineage stays short if executors are lost.
     base = cut_lineage(fc.join(weights, "unique_id")
-                       .select("unique_id", *KEYS, "yhat", "w", _depth().alias("depth"), _parent().alias("parent")))
+                       .select("unique_id", *keys, "yhat", "w", _depth().alias("depth"), _parent().alias("parent")))
     levels: dict[int, DataFrame] = {}
     up = base.filter(F.col("depth") == MAX_DEPTH).select(
-        "unique_id", "parent", *KEYS, F.col("yhat").alias("est"), F.col("w").alias("v"))
+        "unique_id", "parent", *keys, F.col("yhat").alias("est"), F.col("w").alias("v"))
     levels[MAX_DEPTH] = up
     for d in range(MAX_DEPTH - 1, -1, -1):
-        kids = up.groupBy(F.col("parent").alias("unique_id"), *KEYS).agg(
+        kids = up.groupBy(F.col("parent").alias("unique_id"), *keys).agg(
             F.sum("est").alias("se"), F.sum("v").alias("sv"))
-        node = base.filter(F.col("depth") == d).join(kids, ["unique_id", *KEYS], "left")
+        node = base.filter(F.col("depth") == d).join(kids, ["unique_id", *keys], "left")
         v = F.when(F.col("sv").isNull(), F.col("w")).otherwise(1.0 / (1.0 / F.col("w") + 1.0 / F.col("sv")))
         est = F.when(F.col("sv").isNull(), F.col("yhat")).otherwise(
             v * (F.col("yhat") / F.col("w") + F.col("se") / F.col("sv")))
-        up = node.select("unique_id", "parent", *KEYS, est.alias("est"), v.alias("v"))
+        up = node.select("unique_id", "parent", *keys, est.alias("est"), v.alias("v"))
         levels[d] = up
-    final = levels[0].select("unique_id", *KEYS, F.col("est").alias("yhat"))
+    final = levels[0].select("unique_id", *keys, F.col("est").alias("yhat"))
     out = [final]
     for d in range(1, MAX_DEPTH + 1):
         lv = levels[d]
-        sib = lv.groupBy("parent", *KEYS).agg(F.sum("est").alias("se"), F.sum("v").alias("sv"))
-        pf = final.select(F.col("unique_id").alias("parent"), *KEYS, F.col("yhat").alias("pf"))
-        j = lv.join(sib, ["parent", *KEYS]).join(pf, ["parent", *KEYS])
-        final = j.select("unique_id", *KEYS,
+        sib = lv.groupBy("parent", *keys).agg(F.sum("est").alias("se"), F.sum("v").alias("sv"))
+        pf = final.select(F.col("unique_id").alias("parent"), *keys, F.col("yhat").alias("pf"))
+        j = lv.join(sib, ["parent", *keys]).join(pf, ["parent", *keys])
+        final = j.select("unique_id", *keys,
                          (F.col("est") + F.col("v") / F.col("sv") * (F.col("pf") - F.col("se"))).alias("yhat"))
         out.append(final)
     res = out[0]

@@ -127,3 +127,33 @@ def resolve_months(df: DataFrame, mode: str, month_col: str = "report_month") ->
     if not re.match(MONTH_RE, mode):
         raise ValueError(f"month must be YYYY-MM, got {mode!r}")
     return months.filter(F.date_format(month_col, "yyyy-MM") == mode)
+
+
+def normalise_headers(df: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
+    """``Table[Column]`` / ``[alias]`` headers -> bare names, then an optional
+    rename map.  Works on the name list only (no data pass)."""
+    names = [re.sub(r"^.*\[(.+)\]$", r"\1", c) for c in df.columns]
+    names = [(rename or {}).get(n, n) for n in names]
+    return df.toDF(*names)
+
+
+def select_available(df: DataFrame, wanted: list[str]) -> DataFrame:
+    """Keep the listed columns that exist, in the listed order."""
+    return df.select(*[c for c in wanted if c in df.columns])
+
+
+PLACEHOLDER_ID = "00000000-0000-0000-0000-000000000000"
+
+
+def select_tenants(config: DataFrame, requested: list[str] | None = None) -> DataFrame:
+    """Configured tenants with a real id (not the placeholder GUID), filtered
+    to the requested labels; an unknown requested label is an error.
+    ``config`` has (tenant_id, label)."""
+    usable = config.filter(F.col("tenant_id").isNotNull() & (F.col("tenant_id") != PLACEHOLDER_ID))
+    if not requested:
+        return usable
+    req = usable.sparkSession.createDataFrame([(r,) for r in requested], "label string")
+    unknown = [r.label for r in req.join(config, "label", "left_anti").collect()]   # a handful of names
+    if unknown:
+        raise ValueError(f"unknown tenants: {sorted(unknown)}")
+    return usable.join(req, "label", "left_semi")

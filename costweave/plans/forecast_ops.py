@@ -474,3 +474,35 @@ def q_mint_shrink(spark, root):
     bridge = _bridge(spark, root)
     weights = cut_lineage(mint_weights(residual_gram(resid), bridge))
     return apply_mint(fc.select("unique_id", "ds", "model_id", "yhat"), weights, bridge)
+
+
+@query("reconcile_windows")
+def q_reconcile_windows(spark, root):
+    """Walk-forward seasonal-naive forecasts reconciled per cutoff (WLS on
+    the tree with the cutoff as a group key), scored by WAPE next to the
+    base forecasts."""
+    from ..forecast.reconcile import structural_weights, wls_tree
+    h = _hist(spark, root).select("unique_id", "ds", "y")
+    bt = B.backtest_seasonal_naive(h)
+    rec = wls_tree(bt.select("unique_id", "cutoff", "ds", "model_id", "yhat"),
+                   structural_weights(_bridge(spark, root)), extra_keys=["cutoff"])
+    cv = with_hierarchy_cols(B.attach_actuals(bt.unionByName(rec), h)).drop(*LEVELS)
+    return A.wape(cv, ["level", "model_id"])
+
+
+@query("coherence_gate")
+def q_coherence_gate(spark, root):
+    """Models whose total differs from the sum of its components by more
+    than 1e-6 on any day: raw base forecasts may appear, reconciled
+    (``/WLS``) ones must not."""
+    from ..forecast.reconcile import structural_weights, wls_tree
+    base = _two_models(spark, root)
+    rec = wls_tree(base, structural_weights(_bridge(spark, root)))
+    fc = base.unionByName(rec)
+    t = fc.filter(F.col("unique_id") == "total").select("model_id", "ds", "yhat")
+    c = fc.filter(F.regexp_count("unique_id", F.lit("/")) == 4).groupBy("model_id", "ds").agg(F.sum("yhat").alias("s"))
+    gap = t.join(c, ["model_id", "ds"]).groupBy("model_id").agg(
+        F.max(F.abs(F.col("yhat") - F.col("s"))).alias("max_gap"), F.max(F.abs("yhat")).alias("_scale"))
+    # relative tolerance: 1e-9 of the largest total (float sums of many nodes)
+    return gap.select("model_id", "max_gap",
+                      (F.col("max_gap") <= 1e-9 * F.greatest(F.lit(1.0), F.col("_scale"))).alias("coherent"))

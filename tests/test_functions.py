@@ -50,3 +50,17 @@ def test_buckets_lifecycle_fiscal(spark):
 def test_is_tagged(spark):
     df = spark.createDataFrame([(None,), ("null",), ("{}",), ('{"a":1}',)], "t string")
     assert [r[0] for r in df.select(is_tagged("t")).collect()] == [False, False, False, True]
+
+
+def test_landing_helpers(spark):
+    from costweave.operators.landing import batch_id, normalise_headers, select_available, select_tenants
+    df = spark.createDataFrame([(1, 2, 3)], "`Capacity[Capacity Id]` int, `[Total CU]` int, x int")
+    assert normalise_headers(df, {"Total CU": "total_cu"}).columns == ["Capacity Id", "total_cu", "x"]
+    assert select_available(df.toDF("a", "b", "c"), ["c", "zz", "a"]).columns == ["c", "a"]
+    cfg = spark.createDataFrame([("t1", "alpha"), ("00000000-0000-0000-0000-000000000000", "beta")],
+                                "tenant_id string, label string")
+    assert [r.label for r in select_tenants(cfg).collect()] == ["alpha"]
+    assert select_tenants(cfg, ["beta"]).count() == 0
+    with pytest.raises(ValueError):
+        select_tenants(cfg, ["gamma"])
+    assert batch_id("2001-11-04T06:07:08Z") == "batch_20011104_060708"
