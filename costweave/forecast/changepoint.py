@@ -1,7 +1,7 @@
 """Change points per series: a grouped-map numpy kernel (PELT, rbf cost).
 
-Per series: skip if shorter than ``MIN_DAYS``; trend = centred 7-day
-moving average (removes the weekly season); skip if the trend is constant;
+Per series: skip if shorter than ``MIN_DAYS``; trend = MSTL trend with
+periods 7 and 365 (365 only with two full years); skip if the trend is flat;
 z-score with the population std; PELT (Killick et al. 2012) with the
 Gaussian-kernel cost of Truong et al. (2020), breakpoints on a ``jump``
 grid, ``min_size`` days apart, penalty ``PENALTY``.  Segment means are
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import lifecycle_class
+from .stl import mstl
 
 # Detection parameters.
 MIN_DAYS = 90
@@ -32,12 +33,6 @@ SEGMENT_SCHEMA = ("unique_id string, segment_start date, segment_end date, segme
                   "daily_mean_cost double, skip_reason string")
 
 
-def _trend(y: np.ndarray, w: int = 7) -> np.ndarray:
-    k = np.ones(w) / w
-    pad = np.pad(y, (w // 2, w - 1 - w // 2), mode="edge")
-    return np.convolve(pad, k, mode="valid")
-
-
 def pelt_rbf(x: np.ndarray, pen: float = PENALTY, min_size: int = MIN_SIZE, jump: int = JUMP) -> list[int]:
     """Breakpoint indexes (segment ends, exclusive; last = n)."""
     n = len(x)
@@ -68,7 +63,6 @@ def pelt_rbf(x: np.ndarray, pen: float = PENALTY, min_size: int = MIN_SIZE, jump
     for t in grid[1:]:
         ok = cands[t - cands >= min_size]
         if ok.size == 0:
-            cands = np.append(cands, t)
             continue
         blk = diag[t] - S[ok, t] - S[t, ok] + diag[ok]
         c = (t - ok) - blk / (t - ok)
@@ -98,10 +92,11 @@ def segment_series(pdf: pd.DataFrame) -> pd.DataFrame:
                                           "segment_days": None, "daily_mean_cost": None, "skip_reason": reason}])
     if len(y) < MIN_DAYS:
         return empty("too_short")
-    tr = _trend(y)
+    tr = mstl(y, [7, 365] if len(y) >= 2 * 365 else [7])["trend"]
     sd = tr.std()
-    if not np.isfinite(sd) or sd == 0:
-        return empty("constant")
+    # a constant series can leave float dust in the smoothed trend
+    if not np.isfinite(sd) or sd <= 1e-12 * max(1.0, float(np.abs(tr).mean())):
+        return empty("flat")
     z = (tr - tr.mean()) / sd
     bkps = pelt_rbf(z)
     rows, a = [], 0
@@ -124,7 +119,7 @@ def segments(series: DataFrame) -> DataFrame:
 
 def classify_changes(segs: DataFrame) -> DataFrame:
     """Each segment against the one before it: before/after means, change,
-    pct (null when before is 0) and lifecycle class."""
+    pct as a ratio (null when before is 0) and lifecycle class."""
     s = segs.filter(F.col("skip_reason").isNull())
     w = Window.partitionBy("unique_id").orderBy("segment_start")
     s = s.select("unique_id", F.col("segment_start").alias("changepoint_date"),
@@ -134,7 +129,7 @@ def classify_changes(segs: DataFrame) -> DataFrame:
     change = F.col("after_daily_mean") - F.col("before_daily_mean")
     return s.select("*", F.abs(change).alias("abs_change"),
                     F.when(F.col("before_daily_mean") != 0,
-                           change * 100.0 / F.col("before_daily_mean")).alias("pct_change"),
+                           change / F.col("before_daily_mean")).alias("pct_change"),
                     lifecycle_class("before_daily_mean", "after_daily_mean").alias("change_type"))
 
 

@@ -389,17 +389,29 @@ def q_wls_reconcile(spark, root):
     return wls_tree(fc, structural_weights(_bridge(spark, root)))
 
 
+DETECTED_AT = "2001-11-05 06:00:00"
+
+
+def _stamp_detection(df):
+    from ..forecast.changepoint import MIN_SIZE, PENALTY
+    out = with_hierarchy_cols(df)
+    return out.withColumns({"detected_at": F.lit(DETECTED_AT).cast("timestamp_ntz"),
+                            "penalty": F.lit(PENALTY), "min_segment_days": F.lit(MIN_SIZE)})
+
+
 @query("changepoints")
 def q_changepoints(spark, root):
-    """PELT change points on every hierarchy series, classified."""
+    """gold.forecast_changepoints: PELT change points on every hierarchy
+    series, classified, with level / path columns and the run parameters."""
     from ..forecast.changepoint import classify_changes, segments
-    return classify_changes(segments(_hist(spark, root)))
+    return _stamp_detection(classify_changes(segments(_hist(spark, root))))
 
 
 @query("segments")
 def q_segments(spark, root):
+    """gold.forecast_segments (skipped series keep one row with the reason)."""
     from ..forecast.changepoint import segments
-    return segments(_hist(spark, root))
+    return _stamp_detection(segments(_hist(spark, root)))
 
 
 @query("top_movers")

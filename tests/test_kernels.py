@@ -20,7 +20,7 @@ def test_segment_skips():
     short = pd.DataFrame({"unique_id": "a", "ds": days, "y": 1.0})
     assert segment_series(short)["skip_reason"].iloc[0] == "too_short"
     flat = pd.DataFrame({"unique_id": "a", "ds": pd.date_range("2024-01-01", periods=120), "y": 5.0})
-    assert segment_series(flat)["skip_reason"].iloc[0] == "constant"
+    assert segment_series(flat)["skip_reason"].iloc[0] == "flat"
 
 
 def test_changepoints_distributed(spark):
