@@ -41,14 +41,24 @@ def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
                          "n": cnt.ravel()[keep].astype("int64")})
 
 
-def residual_gram(residuals: DataFrame, chunk: str = "quarter") -> DataFrame:
-    """(unique_id, ds, residual) -> summed pair statistics over all days
-    (each unordered pair once).  A chunk holds a calendar period of days
-    for all nodes, so its size is bounded by nodes x days-per-chunk."""
+def residual_gram(residuals: DataFrame, chunk: str = "quarter", keys: list[str] | None = None) -> DataFrame:
+    """(unique_id, ds, residual[, keys]) -> summed pair statistics over all
+    days (each unordered pair once), per value of ``keys`` (e.g. a backtest
+    cutoff).  A chunk holds a calendar period of days for all nodes, so its
+    size is bounded by nodes x days-per-chunk."""
+    keys = list(keys or [])
     r = residuals.filter(F.col("residual").isNotNull()).withColumn("_chunk", F.date_trunc(chunk, "ds"))
-    part = r.groupBy("_chunk").applyInPandas(_partial_gram, GRAM_SCHEMA)
-    return part.groupBy("node_i", "node_j").agg(F.sum("sxy").alias("sxy"), F.sum("sxy2").alias("sxy2"),
-                                                 F.sum("n").alias("n"))
+
+    def part_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = _partial_gram(pdf)
+        for k in keys:
+            out[k] = pdf[k].iloc[0]
+        return out
+
+    schema = GRAM_SCHEMA + "".join(f", {k} {r.schema[k].dataType.simpleString()}" for k in keys)
+    part = r.groupBy(*keys, "_chunk").applyInPandas(part_fn, schema)
+    return part.groupBy(*keys, "node_i", "node_j").agg(F.sum("sxy").alias("sxy"), F.sum("sxy2").alias("sxy2"),
+                                                        F.sum("n").alias("n"))
 
 
 def shrunk_covariance(nodes: list[str], g: pd.DataFrame) -> np.ndarray:
@@ -97,20 +107,38 @@ def _solve(gram: pd.DataFrame, bridge: pd.DataFrame) -> pd.DataFrame:
                          "weight": P.ravel()})
 
 
-def mint_weights(gram: DataFrame, bridge: DataFrame) -> DataFrame:
-    """One solve for the whole hierarchy: both inputs are small (node pairs,
-    node-leaf links) and meet in a single cogroup."""
-    g = gram.withColumn("_k", F.lit(0))
-    b = bridge.select("unique_id", "bottom_id").withColumn("_k", F.lit(0))
-    return g.groupBy("_k").cogroup(b.groupBy("_k")).applyInPandas(
-        lambda x, y: _solve(x, y), P_SCHEMA)
-
-
-def apply_mint(fc: DataFrame, weights: DataFrame, bridge: DataFrame, suffix: str = "/MinT_shrink") -> DataFrame:
+def mint_weights(gram: DataFrame, bridge: DataFrame, key: str | None = None, key_values=None) -> DataFrame:
+    """One solve per hierarchy - or one per value of ``key`` (e.g. each
+    backtest cutoff on its own residuals), with ``key_values`` the array
+    column of those values.  Both inputs are small (node pairs, node-leaf
+    links) and meet in a cogroup."""
+    keys = [key] if key else []
+    if not keys:
+        g = gram.withColumn("_k", F.lit(0))
+        b = bridge.select("unique_id", "bottom_id").withColumn("_k", F.lit(0))
+        return g.groupBy("_k").cogroup(b.groupBy("_k")).applyInPandas(lambda x, y: _solve(x, y), P_SCHEMA)
+    # the bridge is the same for every key value: explode the (few) values
+    # onto it instead of joining
+    b = bridge.select("unique_id", "bottom_id", F.explode(key_values).alias(key))
+
+    def solve_keyed(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = _solve(x, y)
+        for k in keys:
+            out[k] = x[k].iloc[0]
+        return out
+
+    schema = P_SCHEMA + "".join(f", {k} {gram.schema[k].dataType.simpleString()}" for k in keys)
+    return gram.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(solve_keyed, schema)
+
+
+def apply_mint(fc: DataFrame, weights: DataFrame, bridge: DataFrame, suffix: str = "/MinT_shrink",
+               keys: list[str] | None = None) -> DataFrame:
     """Reconciled bottoms = P yhat per day (join + sum), then every node as
     the sum of its bottoms."""
-    j = fc.join(weights, fc.unique_id == weights.node_id)
-    bottoms = j.groupBy("bottom_id", "ds", "model_id").agg(F.sum(F.col("weight") * F.col("yhat")).alias("yhat"))
+    keys = list(keys or [])
+    w = weights.withColumnRenamed("node_id", "unique_id")
+    j = fc.join(w, ["unique_id", *keys])
+    bottoms = j.groupBy("bottom_id", *keys, "ds", "model_id").agg(F.sum(F.col("weight") * F.col("yhat")).alias("yhat"))
     up = bottoms.join(bridge.select(F.col("unique_id").alias("anc"), "bottom_id"), "bottom_id")
-    out = up.groupBy(F.col("anc").alias("unique_id"), "ds", "model_id").agg(F.sum("yhat").alias("yhat"))
+    out = up.groupBy(F.col("anc").alias("unique_id"), *keys, "ds", "model_id").agg(F.sum("yhat").alias("yhat"))
     return out.withColumn("model_id", F.concat("model_id", F.lit(suffix)))
