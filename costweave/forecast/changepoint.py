@@ -43,42 +43,49 @@ def pelt_rbf(x: np.ndarray, pen: float = PENALTY, min_size: int = MIN_SIZE, jump
         # median over pairs i < j, read off the full symmetric matrix: sorted,
         # it is n zeros (diagonal) followed by every pair value twice
         m = n * (n - 1) // 2
-        flat = d2.ravel()
         lo = n + 2 * ((m - 1) // 2)
         hi = n + 2 * (m // 2)
-        part = np.partition(flat, [lo, hi])
+        part = np.partition(d2.ravel(), [lo, hi])
         med = 0.5 * (part[lo] + part[hi])
         gamma = 1.0 / med if med > 0 else 1.0
     np.multiply(d2, -gamma, out=d2)
     np.exp(d2, out=d2)
-    S = np.zeros((n + 1, n + 1))
-    np.cumsum(d2, axis=0, out=S[1:, 1:])
-    np.cumsum(S[1:, 1:], axis=1, out=S[1:, 1:])
-    diag = np.diagonal(S).copy()
-
-    grid = sorted(set([t for t in range(0, n, jump) if t >= min_size or t == 0] + [n]))
-    best = {0: -pen}
-    prev = {0: None}
-    cands = np.array([0])
-    for t in grid[1:]:
-        ok = cands[t - cands >= min_size]
+    # Costs are only needed between grid points (multiples of ``jump``, and
+    # n), so the Gram matrix is summed into jump x jump cells once and the
+    # 2-D prefix sums are taken over the small cell matrix.
+    edges = np.r_[np.arange(0, n, jump), n]
+    cells = np.add.reduceat(np.add.reduceat(d2, edges[:-1], axis=0), edges[:-1], axis=1)
+    G = len(edges)
+    C = np.zeros((G, G))
+    C[1:, 1:] = cells.cumsum(0).cumsum(1)
+    diag = np.diagonal(C).copy()
+
+    best = np.full(G, np.nan)
+    best[0] = -pen
+    prev = np.full(G, -1)
+    cands = np.array([0])                                   # grid indexes
+    for t in range(1, G):
+        if edges[t] < min_size and t != G - 1:
+            continue
+        far = edges[t] - edges[cands] >= min_size
+        ok = cands[far]
         if ok.size == 0:
             continue
-        blk = diag[t] - S[ok, t] - S[t, ok] + diag[ok]
-        c = (t - ok) - blk / (t - ok)
-        vals = np.array([best[s] for s in ok]) + c + pen
+        length = edges[t] - edges[ok]
+        blk = diag[t] - C[ok, t] - C[t, ok] + diag[ok]
+        vals = best[ok] + (length - blk / length) + pen
         i = int(np.argmin(vals))
         f = float(vals[i])
         best[t], prev[t] = f, int(ok[i])
-        keep = (t - cands < min_size)
-        keep[t - cands >= min_size] = (vals - pen) <= f
+        keep = ~far
+        keep[far] = (vals - pen) <= f
         cands = np.append(cands[keep], t)
-    if n not in best:
+    if np.isnan(best[G - 1]):
         return [n]
-    bkps, t = [], n
-    while t:
-        bkps.append(t)
-        t = prev[t]
+    bkps, t = [], G - 1
+    while t > 0:
+        bkps.append(int(edges[t]))
+        t = int(prev[t])
     return sorted(bkps)
 
 
