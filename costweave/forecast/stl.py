@@ -14,6 +14,8 @@ one.  A period that needs more than two cycles of data is skipped.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -81,6 +83,34 @@ def loess(y: np.ndarray, q: int, extend: int = 0) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=256)
+def _loess_operator(n: int, q: int, extend: int) -> np.ndarray:
+    """The loess smoother of a length-n grid as a matrix ((n + 2*extend) x n):
+    every output is a fixed linear combination of the inputs, so it is built
+    once per (n, q, extend) and applied to many series by one product."""
+    q = max(3, q)
+    x0s = np.arange(-extend, n + extend, dtype=float)
+    if q >= n:
+        L = n
+        lo = np.zeros(len(x0s), dtype=int)
+        h = np.maximum(x0s, n - 1 - x0s) + (q - n) / 2.0
+    else:
+        L = q
+        lo = np.clip(np.round(x0s).astype(int) - (q - 1) // 2, 0, n - q)
+        h = np.maximum(x0s - lo, lo + q - 1 - x0s)
+    xs = lo[:, None] + np.arange(L)[None, :]
+    w = _tricube((xs - x0s[:, None]) / np.maximum(h, 1e-9)[:, None])
+    w[w.sum(1) <= 0] = 1.0
+    w = w / w.sum(1, keepdims=True)
+    xm = (w * xs).sum(1, keepdims=True)
+    var = (w * (xs - xm) ** 2).sum(1, keepdims=True)
+    slope = np.where(var > 1e-12, (x0s[:, None] - xm) / np.where(var > 1e-12, var, 1.0), 0.0)
+    coef = w + slope * w * (xs - xm)               # value = sum coef_i * y_i
+    M = np.zeros((len(x0s), n))
+    np.add.at(M, (np.repeat(np.arange(len(x0s)), L), xs.ravel()), coef.ravel())
+    return M
+
+
 def _moving_average(x: np.ndarray, k: int) -> np.ndarray:
     c = np.cumsum(np.r_[0.0, x])
     return (c[k:] - c[:-k]) / k
@@ -97,10 +127,13 @@ def stl(y: np.ndarray, period: int, seasonal: int = 7, inner: int = 2) -> tuple[
     for _ in range(inner):
         detr = y - trend
         c = np.zeros(n + 2 * period)
-        for k in range(period):
-            sub = detr[k::period]
-            sm = loess(sub, ns, extend=1)                       # one cycle beyond each end
-            c[k: k + period * len(sm): period] = sm
+        # cycle-subseries smoothing, one cycle beyond each end; subseries of
+        # equal length share one smoother matrix
+        for length in {len(range(k, n, period)) for k in range(period)}:
+            ks = np.array([k for k in range(period) if len(range(k, n, period)) == length])
+            Y = detr[ks[:, None] + period * np.arange(length)[None, :]]
+            sm = Y @ _loess_operator(length, ns, 1).T
+            c[ks[:, None] + period * np.arange(length + 2)[None, :]] = sm
         low = _moving_average(_moving_average(_moving_average(c, period), period), 3)
         low = loess(low, nl)
         season = c[period: period + n] - low
