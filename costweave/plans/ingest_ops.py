@@ -500,3 +500,20 @@ FROM (SELECT r.*, CASE WHEN lower(trim(r.environment)) NOT IN ('dev', 'test', 'q
         ON upper(trim(r.service_id)) = d.sid)""")
 def q_tag_gate(spark, root):
     return J.tag_gate(X.service_requests(spark, root), X.directory(spark, root))
+
+
+@query("run_summary", _E + """
+SELECT tenant_id, count(*) AS records, count(DISTINCT report_month) AS months,
+       CAST(round(sum(CAST(latest_month_emissions AS DECIMAL(38,6))), 4) AS DOUBLE) AS total_emissions
+FROM carbon GROUP BY 1
+UNION ALL
+SELECT NULL, count(*), count(DISTINCT report_month),
+       CAST(round(sum(CAST(latest_month_emissions AS DECIMAL(38,6))), 4) AS DOUBLE) FROM carbon""")
+def q_run_summary(spark, root):
+    """Structured run result: one row per tenant plus an overall row (null
+    tenant), computed in one grouping-sets aggregate."""
+    c = X.emissions(spark, root)
+    g = c.groupingSets([["tenant_id"], []], "tenant_id").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("report_month").alias("months"),
+        _d(F.round(F.sum(F.col("latest_month_emissions").cast("decimal(38,6)")), 4)).alias("total_emissions"))
+    return g
