@@ -122,7 +122,8 @@ def format_paths(messages: DataFrame, best: int = 1, loss_role: str = ASSISTANT)
     conversation, spans [start, end) in characters."""
     messages = cut_lineage(messages)
     path = chosen_paths(messages, best)
-    texts = messages.select(F.col("tree").alias("t"), F.col("msg").alias("at"), "role", "text")
+    texts = messages.select(F.col("tree").alias("t"), F.col("msg").alias("at"),
+                            *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
     head = F.concat(F.lit("<turn:"), escape_role(F.col("role")), F.lit(">\n"))
     body = escape_text(F.col("text"))
     rows = path.join(texts, path["tree"].eqNullSafe(texts["t"]) & (path["msg"] == texts["at"])).select(
