@@ -12,11 +12,19 @@ alignment is a greedy diagonal search restricted to the band of insertions
 and deletions that this similarity leaves.
 
 Texts with the same words are collapsed first (128-bit name).  Candidates
-are verified in linear steps: every member of a sketch bucket against the
-bucket's smallest id, then every member whose component is not the
-bucket's against the largest id, and last only pairs of a bucket that are still in
-different components, so no link between components is left unexamined and
-a large group of copies never becomes all its pairs.
+are examined in linear steps.  In each bucket every member is compared with
+one pivot, the member that shares most buckets with others (an original,
+where there is one).  What is left are members in different components, and
+for those the comparison with the pivot ``p`` says what they must have in
+common: ``x`` and ``y`` can only be near-duplicates if they share at least
+``0.8 / 1.8 * (n_x + n_y) - min(c_x, c_y)`` shingles that ``p`` does not have,
+``c`` being what each shares with ``p``.  So the members' shingles outside the
+pivot (by the prefix rule, only as many of the smallest as needed) become
+the next buckets; where that number is not positive the pair is compared at
+once.  In the new buckets each member meets one pivot again, and last only
+pairs of such a bucket that are still in different components are compared.
+No link between components is lost, and a group of copies does not become
+all its pairs.
 
 Defined cases: a null, empty or blank text, or a null id, is a class of its
 own; equal ids with equal texts are one document; a class is named by its
@@ -25,6 +33,8 @@ smallest doc_id.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -149,8 +159,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, h1 long, h2 long, n int, keys array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are near-duplicates."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the labelled shingles they have in common, whether they are
+    near-duplicates, and the shingles of ``a`` outside ``b`` that any further partner must share."""
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
@@ -160,16 +171,22 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ta, tb = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
-            keep = []
+            common, linked, outside = [], [], []
             for i in range(batch.num_rows):
                 if b[i] != last:
                     last, of_last = b[i], shingles(hash_words(tb[i].as_py()))
-                if similarity(shingles(hash_words(ta[i].as_py())), of_last) >= SIMILARITY:
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
-                                              pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+                s = shingles(hash_words(ta[i].as_py()))
+                linked.append(similarity(s, of_last) >= SIMILARITY)
+                rest = np.setdiff1d(labelled(s), labelled(of_last), assume_unique=True)
+                common.append(len(s) - len(rest))
+                share = max(1, math.ceil(SIMILARITY * len(s) - common[-1] - 1e-6))
+                outside.append(np.sort(rest)[:max(0, len(rest) - share + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(common, pa.int32()),
+                 pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))],
+                names=["a", "b", "common", "linked", "outside"])
 
-    return cut_lineage(both.mapInArrow(run, "a long, b long"))
+    return cut_lineage(both.mapInArrow(run, "a long, b long, common int, linked boolean, outside array<long>"))
 
 
 def _alike_in_length(x: str, y: str):
@@ -177,6 +194,43 @@ def _alike_in_length(x: str, y: str):
     return F.least(x, y) >= SIMILARITY * F.greatest(x, y)
 
 
+def _with_pivot(members: DataFrame) -> DataFrame:
+    """(key, rep, n, pivot): the pivot of a bucket is the member that meets most others in all its buckets."""
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    weight = members.join(sizes, "key").groupBy("rep").agg(F.sum("size").alias("weight"))
+    pivot = members.join(weight, "rep").groupBy("key").agg(
+        F.max(F.struct(F.col("weight"), F.negative("rep").alias("low"))).alias("top"))
+    return cut_lineage(members.join(pivot.select("key", F.negative("top.low").alias("pivot")), "key"))
+
+
+def _placed(frame: DataFrame, found: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds the component of a text (itself where it has no link)."""
+    of = found.select(F.col("v").alias(column), F.col("c").alias(name))
+    return frame.join(of, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the groups that hold more than one component ``c``."""
+    several = rows.groupBy(*keys).agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
+    return rows.join(several.select(*keys), [*keys])
+
+
+def _uncertain(rows: DataFrame) -> DataFrame:
+    """Pairs of a pivot's members that need share nothing outside it: joined on the
+    lengths that allow this, not all with all."""
+    half = SIMILARITY / (1 + SIMILARITY)
+    lens = F.sequence(F.ceil(SIMILARITY * F.col("n") - 1e-6).cast("int"),
+                      F.floor(F.col("common") / half - F.col("n") + 1e-6).cast("int"))
+    enough = F.col("common") / half - F.col("n") + 1e-6 >= F.ceil(SIMILARITY * F.col("n") - 1e-6)
+    left = rows.filter((~F.col("linked")) & enough).select(
+        "pivot", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("common").alias("gx"), F.col("c").alias("cx"),
+        F.explode(lens).alias("n"))
+    right = rows.select("pivot", "n", F.col("rep").alias("y"), F.col("common").alias("gy"), F.col("c").alias("cy"))
+    pairs = left.join(right, ["pivot", "n"]).filter(
+        (F.col("cx") != F.col("cy")) & (F.least("gx", "gy") >= half * (F.col("nx") + F.col("n")) - 1e-6))
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, kept): one row for each row of ``docs``."""
     source = keyed(docs, id_col, text_col)
@@ -184,47 +238,44 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     same = sketched.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
                                             F.first("n").alias("n"))
     rows = same.select("rep", "n", F.explode("keys").alias("key"))
-    ends = rows.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("low"), F.max(F.struct("rep", "n")).alias("high")) \
-        .filter("low.rep < high.rep")
+    shared = rows.groupBy("key").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).filter("r0 < r1")
     # members of sketch buckets that hold more than one text
-    members = cut_lineage(rows.join(ends, "key"))
+    members = cut_lineage(rows.join(shared.select("key"), "key"))
     texts = source.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = cut_lineage(texts.dropDuplicates(["doc_id"]))
-
-    def star(end: str) -> DataFrame:
-        return members.filter((F.col("rep") != F.col(f"{end}.rep")) & _alike_in_length("n", f"{end}.n")).select(
-            F.greatest("rep", f"{end}.rep").alias("a"), F.least("rep", f"{end}.rep").alias("b"))
-
-    tried = cut_lineage(star("low").distinct())
-    links = _verified(tried, texts)
-    found = components(links)
-
-    def placed(frame: DataFrame, column: str, name: str) -> DataFrame:
-        return frame.join(found.select(F.col("v").alias(column), F.col("c").alias(name)), column, "left").withColumn(
-            name, F.coalesce(name, column))
-
-    # second end: only members that the first did not join to it
-    far = placed(placed(star("high").distinct(), "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
-    far = cut_lineage(far.join(tried, ["a", "b"], "left_anti"))
-    tried = tried.unionByName(far)
-    links = links.unionByName(_verified(far, texts))
-    found = components(links)
-
-    # what is left: pairs of a bucket in different components, each pair once
-    at = placed(members.select("key", "rep", "n"), "rep", "c")
-    mixed = at.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
-    open_rows = cut_lineage(at.join(mixed, "key"))
-    left = open_rows.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    right = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    rest = left.join(right, "key").filter((F.col("b") < F.col("a")) & (F.col("ca") != F.col("cb"))
-                                          & _alike_in_length("na", "nb")).select("a", "b").distinct()
-    rest = cut_lineage(rest.join(tried, ["a", "b"], "left_anti"))
-    more = _verified(rest, texts)
+    # 1. every member against the pivot of its bucket
+    stars = _with_pivot(members).filter("rep <> pivot").select("rep", "n", "pivot").distinct()
+    tried = _compared(stars.select(F.col("rep").alias("a"), F.col("pivot").alias("b")), texts)
+    found = components(tried.filter("linked").select("a", "b"))
+    known = stars.join(tried.withColumnsRenamed({"a": "rep", "b": "pivot"}), ["rep", "pivot"])
+    known = cut_lineage(_mixed(_placed(known, found, "rep", "c"), "pivot"))
+    # 2. members that share something outside the pivot: again each against one of them
+    wider = known.select("pivot", "rep", "n", "c", "common", F.explode("outside").alias("s"))
+    wider = cut_lineage(_mixed(wider, "pivot", "s").select(F.xxhash64("pivot", "s").alias("key"), "rep", "n", "common"))
+    stars = _with_pivot(wider.select("key", "rep", "n")).filter("rep <> pivot")
+    pairs = stars.select(F.col("rep").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na")).distinct()
+    sizes = same.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
+    pairs = pairs.join(sizes, "b").filter(_alike_in_length("na", "nb")).select("a", "b").unionByName(_uncertain(known))
+    tried = tried.unionByName(_compared(pairs.distinct().join(tried, ["a", "b"], "left_anti"), texts))
+    found = components(tried.filter("linked").select("a", "b"))
+    # 3. pairs of these that are still in different components
+    rest = cut_lineage(_mixed(_placed(wider, found, "rep", "c"), "key"))
+    left = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
+                       F.col("common").alias("gb"))
+    right = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"),
+                        F.col("common").alias("ga"))
+    # what both must share outside the pivot is at most what either has there
+    must = SIMILARITY / (1 + SIMILARITY) * (F.col("na") + F.col("nb")) - F.least("ga", "gb") - 1e-6
+    able = F.least(F.col("na") - F.col("ga"), F.col("nb") - F.col("gb")) >= must
+    pairs = left.join(right, "key").filter((F.col("b") < F.col("a")) & (F.col("ca") != F.col("cb"))
+                                           & _alike_in_length("na", "nb") & able).select("a", "b").distinct()
+    back = tried.select(F.col("b").alias("a"), F.col("a").alias("b")).unionByName(tried.select("a", "b"))
+    more = _compared(pairs.join(back, ["a", "b"], "left_anti"), texts).filter("linked").select("a", "b")
     if not more.isEmpty():
-        found = components(links.unionByName(more))
+        found = components(tried.filter("linked").select("a", "b").unionByName(more))
 
     reps = sketched.select("doc_id", "h1", "h2").distinct().join(same.select("h1", "h2", "rep"), ["h1", "h2"])
-    by_doc = placed(reps.select("doc_id", "rep"), "rep", "class_id").groupBy("doc_id").agg(
+    by_doc = _placed(reps.select("doc_id", "rep"), found, "rep", "class_id").groupBy("doc_id").agg(
         F.min("class_id").alias("class_id"))
     return source.select("doc_id").join(by_doc, "doc_id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn(
