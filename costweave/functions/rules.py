@@ -63,9 +63,13 @@ def fiscal_year_start(ds) -> Column:
     return F.make_date(fiscal_year(ds) - 1, F.lit(9), F.lit(1))
 
 
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def parse_iso_ts(text) -> Column:
-    """ISO-8601 text with an optional trailing Z; bad text -> null."""
-    t = F.regexp_replace(_c(text), "Z$", "")
-    return F.coalesce(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-                      F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")),
-                      F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
+    """ISO-8601 date or date and time, with an optional fraction of a second and
+    an optional ``Z`` or numeric offset; bad text -> null."""
+    t = F.trim(_c(text))
+    with_colon = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    stamp = F.when(t.contains(":"), with_colon).otherwise(t)
+    return F.when(t.rlike(_ISO), stamp.try_cast("timestamp"))

@@ -1,9 +1,7 @@
 """Equi-joins used by the products.
 
-Small dimensions are broadcast only behind a size bound: ``broadcast_if_small``
-asks Catalyst for the optimized plan's size estimate and falls back to a
-shuffle join when the side is larger than the threshold (AQE can still
-turn the shuffle join into a broadcast once runtime sizes are known).
+No join is hinted here: adaptive execution broadcasts a side whose measured
+size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -11,27 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
 def star_enrich(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """fact LEFT JOIN each (dimension, keys); dimensions must be unique on keys."""
     out = fact
     for dim, keys in dims:
-        out = out.join(broadcast_if_small(dim), keys, "left")
+        out = out.join(dim, keys, "left")
     return out
 
 
@@ -48,7 +30,7 @@ def lookup_default(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str,
                    out: str, default: str = "Unknown") -> DataFrame:
     """Lower-cased id -> name via a left join, missing -> default."""
     lk = lookup.select(F.lower(F.col(lookup_key)).alias("_lk"), F.col(value).alias("_lv")).dropDuplicates(["_lk"])
-    j = df.join(broadcast_if_small(lk), F.lower(F.col(key)) == F.col("_lk"), "left")
+    j = df.join(lk, F.lower(F.col(key)) == F.col("_lk"), "left")
     return j.withColumn(out, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")
 
 
@@ -61,7 +43,7 @@ def directory_resolve(requests: DataFrame, directory: DataFrame, key: str = "ser
     d = directory.select(normalise_service_id(F.col("ServiceID")).alias("_sid"),
                          F.col("PlatformID").alias("platform_id"), F.col("DivisionID").alias("division_id"),
                          F.col("CostCentre").alias("cost_centre"))
-    j = requests.join(broadcast_if_small(d), normalise_service_id(F.col(key)) == F.col("_sid"), "left")
+    j = requests.join(d, normalise_service_id(F.col(key)) == F.col("_sid"), "left")
     return j.select(*requests.columns, F.col("_sid").isNotNull().alias("exists"),
                     "platform_id", "division_id", "cost_centre")
 

@@ -41,9 +41,9 @@ REC_PAGE = T.StructType([T.StructField("value", T.ArrayType(T.StructType([T.Stru
 def _alternatives(spark, root):
     pages = X.alternatives_pages(spark, root)
     parsed = pages.select("tenant_label", F.from_json("page", REC_PAGE).alias("p"))
-    # only the first recommendation of a page is used
-    first = parsed.select("tenant_label", F.get(F.col("p.value"), 0)["properties"].alias("props"))
-    hdr = first.select("tenant_label", "props.term", "props.scope", "props.lookBackPeriod", "props.currencyCode",
+    # every recommendation of a page, not only the first
+    each = parsed.select("tenant_label", F.explode("p.value").alias("rec")).select("tenant_label", "rec.properties")
+    hdr = each.withColumnRenamed("properties", "props").select("tenant_label", "props.term", "props.scope", "props.lookBackPeriod", "props.currencyCode",
                        F.col("props.recommendationDetails.commitmentAmount").alias("recommended"),
                        F.col("props.allRecommendationDetails.value").alias("alts"))
     return L.explode_alternatives(hdr, ["tenant_label", "term", "scope", "lookBackPeriod", "currencyCode"],

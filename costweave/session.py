@@ -10,6 +10,7 @@ cluster's own values win for anything set outside this module.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,12 +42,29 @@ def get_spark(app: str = "costweave", master: str | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
+    # Spark runs a task per core; numpy in a task must not start threads for all of them
+    os.environ.setdefault("OMP_NUM_THREADS", "1")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, which need not have the
+    repository on their path (a job submitted with ``--py-files`` needs no call)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        here = os.path.dirname(os.path.abspath(__file__))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="costweave-zip-"), "costweave_pkg"), "zip",
+                                         os.path.dirname(here), os.path.basename(here)))
+
+
 def local_spark(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench: local mode, small shuffle width."""
     return get_spark(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,

@@ -22,30 +22,12 @@ def table_path(root: str, name: str) -> str:
     return p if os.path.exists(p) or "://" in root else os.path.join(root, name)
 
 
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A file with a single row group is read by one task, and every narrow
-    step after it (joins against broadcast dims, JSON parsing, partial
-    aggregation) would run in that task too.  Large inputs arrive as many
-    files / row groups and are left alone, so no extra shuffle is added at
-    scale.  Filters and column pruning still reach the scan (Catalyst pushes
-    them through the repartition)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def scan_table(spark: SparkSession, root: str, name: str,
-               cols: list[str] | None = None, where: Column | str | None = None,
-               spread: bool = True) -> DataFrame:
+               cols: list[str] | None = None, where: Column | str | None = None) -> DataFrame:
     """Lazy scan; projection and predicate reach the Parquet scan."""
     df = spark.read.parquet(table_path(root, name))
     if cols:
         df = df.select(*cols)
-    if spread:
-        df = spread_if_undersplit(df)
     if where is not None:
         df = df.filter(where)
     return df
@@ -59,7 +41,7 @@ def scan_or_empty(spark: SparkSession, path: str, schema: StructType,
         df.schema  # forces path resolution
         return df
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 

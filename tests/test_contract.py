@@ -11,7 +11,8 @@ def test_oracle_keys_are_registered_queries():
 
 
 def test_oracle_sql_reads_driver_tables_only():
-    tables = "region nation customer supplier part orders lineitem events".split()
+    tables = ("region nation customer supplier part orders lineitem events "
+              "documents embeddings pages benchmark labels conversations").split()
     for name, sql in E.oracle_sql().items():
         low = sql.lower()
         assert any(f" {t}" in low for t in tables), name

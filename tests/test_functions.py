@@ -64,3 +64,13 @@ def test_landing_helpers(spark):
     with pytest.raises(ValueError):
         select_tenants(cfg, ["gamma"])
     assert batch_id("2001-11-04T06:07:08Z") == "batch_20011104_060708"
+
+
+def test_iso_timestamps_with_fractions_and_offsets(spark):
+    from costweave.functions.rules import parse_iso_ts
+    texts = ["2024-03-01T10:20:30.1234567Z", "2024-03-01T12:20:30+02:00", "2024-03-01T12:20:30.5+0200",
+             "2024-03-01 10:20:30", "2024-03-01", "2024", "nonsense", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", parse_iso_ts("t").cast("string").alias("ts")).orderBy("i").collect()
+    assert [r["ts"] for r in rows] == ["2024-03-01 10:20:30.123456", "2024-03-01 10:20:30", "2024-03-01 10:20:30.5",
+                                      "2024-03-01 10:20:30", "2024-03-01 00:00:00", None, None, None]

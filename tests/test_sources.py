@@ -55,15 +55,6 @@ def test_compact_keeps_rows(spark):
     assert st.read("orders").count() == df.count()
 
 
-def test_spread_only_when_undersplit(spark):
-    single = scan_table(spark, SF001, "orders", ["o_orderkey"])
-    assert "RoundRobinPartitioning" in single._jdf.queryExecution().executedPlan().toString()
-    d = tempfile.mkdtemp(prefix="cw-multi-") + "/orders.parquet"
-    scan_table(spark, SF001, "orders", spread=False).repartition(16).write.parquet(d)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
-    try:
-        multi = scan_table(spark, os.path.dirname(d), "orders", ["o_orderkey"])
-        plan = multi._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert "RoundRobinPartitioning" not in plan
+def test_scans_add_no_exchange(spark):
+    plan = scan_table(spark, SF001, "orders", ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "RoundRobin" not in plan
