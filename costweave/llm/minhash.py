@@ -22,9 +22,11 @@ common: ``x`` and ``y`` can only be near-duplicates if they share at least
 pivot (by the prefix rule, only as many of the smallest as needed) become
 the next buckets; where that number is not positive the pair is compared at
 once.  In the new buckets each member meets one pivot again, and last only
-pairs of such a bucket that are still in different components are compared.
-No link between components is lost, and a group of copies does not become
-all its pairs.
+pairs of such a bucket that are still in different components and can share
+that much are compared: two exact upper bounds on what they share are part of
+the join's condition, the shingles from the bucket's one onward in sorted order,
+and the bits in which their signatures differ.  No link between components is
+lost, and a group of copies does not become all its pairs.
 
 Defined cases: a null, empty or blank text, or a null id, is a class of its
 own; equal ids with equal texts are one document; a class is named by its
@@ -48,6 +50,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 48
 ELL = 8
+SIGNATURE = 8                                # longs of the bit signature of a shingle set
 _C = odd_constants(32, 5)
 _XOR = mix(odd_constants(SKETCHES, 77))
 _MUL = odd_constants(SKETCHES, 99)
@@ -137,6 +140,21 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return 0.0 if match < 0 else match / (n + m - match)
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Bits that stand for a set of shingles.  Every bit in which two signatures
+    differ is an element that only one of the sets has."""
+    bit = s & np.uint64(64 * SIGNATURE - 1)
+    out = np.zeros(SIGNATURE, np.uint64)
+    np.bitwise_or.at(out, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
+def _at_most_shared(na, nb, sig_a: str, sig_b: str):
+    """Upper bound on the elements that sets of these sizes and signatures share."""
+    differ = [F.bit_count(F.col(sig_a)[k].bitwiseXOR(F.col(sig_b)[k])) for k in range(SIGNATURE)]
+    return (na + nb - sum(differ[1:], differ[0])) / 2
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h1, h2, n, keys) of every document that has words and an id."""
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int32()),
@@ -161,7 +179,8 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) with the labelled shingles they have in common, whether they are
-    near-duplicates, and the shingles of ``a`` outside ``b`` that any further partner must share."""
+    near-duplicates, the shingles of ``a`` outside ``b`` of which any further partner must share
+    one, and the signature of all shingles of ``a`` outside ``b``."""
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
@@ -171,7 +190,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ta, tb = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
-            common, linked, outside = [], [], []
+            common, linked, outside, sig = [], [], [], []
             for i in range(batch.num_rows):
                 if b[i] != last:
                     last, of_last = b[i], shingles(hash_words(tb[i].as_py()))
@@ -180,13 +199,16 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 rest = np.setdiff1d(labelled(s), labelled(of_last), assume_unique=True)
                 common.append(len(s) - len(rest))
                 share = max(1, math.ceil(SIMILARITY * len(s) - common[-1] - 1e-6))
+                sig.append(signature(rest).view(np.int64))
                 outside.append(np.sort(rest)[:max(0, len(rest) - share + 1)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(common, pa.int32()),
-                 pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))],
-                names=["a", "b", "common", "linked", "outside"])
+                 pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64())),
+                 pa.array(sig, pa.list_(pa.int64()))],
+                names=["a", "b", "common", "linked", "outside", "sig"])
 
-    return cut_lineage(both.mapInArrow(run, "a long, b long, common int, linked boolean, outside array<long>"))
+    return cut_lineage(both.mapInArrow(
+        run, "a long, b long, common int, linked boolean, outside array<long>, sig array<long>"))
 
 
 def _alike_in_length(x: str, y: str):
@@ -250,8 +272,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     known = stars.join(tried.withColumnsRenamed({"a": "rep", "b": "pivot"}), ["rep", "pivot"])
     known = cut_lineage(_mixed(_placed(known, found, "rep", "c"), "pivot"))
     # 2. members that share something outside the pivot: again each against one of them
-    wider = known.select("pivot", "rep", "n", "c", "common", F.explode("outside").alias("s"))
-    wider = cut_lineage(_mixed(wider, "pivot", "s").select(F.xxhash64("pivot", "s").alias("key"), "rep", "n", "common"))
+    wider = known.select("pivot", "rep", "n", "c", "common", "sig", F.posexplode("outside").alias("place", "s"))
+    # onward: the shingles outside the pivot from s on, in sorted order
+    wider = cut_lineage(_mixed(wider, "pivot", "s").select(
+        F.xxhash64("pivot", "s").alias("key"), "rep", "n", "common", "sig",
+        (F.col("n") - F.col("common") - F.col("place")).alias("onward")))
     stars = _with_pivot(wider.select("key", "rep", "n")).filter("rep <> pivot")
     pairs = stars.select(F.col("rep").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na")).distinct()
     sizes = same.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
@@ -261,12 +286,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # 3. pairs of these that are still in different components
     rest = cut_lineage(_mixed(_placed(wider, found, "rep", "c"), "key"))
     left = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
-                       F.col("common").alias("gb"))
+                       F.col("common").alias("gb"), F.col("onward").alias("ob"), F.col("sig").alias("sb"))
     right = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"),
-                        F.col("common").alias("ga"))
-    # what both must share outside the pivot is at most what either has there
+                        F.col("common").alias("ga"), F.col("onward").alias("oa"), F.col("sig").alias("sa"))
+    # what both must share outside the pivot is at most what either has there from the first
+    # shared one on, and at most what the signatures allow
     must = SIMILARITY / (1 + SIMILARITY) * (F.col("na") + F.col("nb")) - F.least("ga", "gb") - 1e-6
-    able = F.least(F.col("na") - F.col("ga"), F.col("nb") - F.col("gb")) >= must
+    able = (F.least("oa", "ob") >= must) & (
+        _at_most_shared(F.col("na") - F.col("ga"), F.col("nb") - F.col("gb"), "sa", "sb") >= must)
     pairs = left.join(right, "key").filter((F.col("b") < F.col("a")) & (F.col("ca") != F.col("cb"))
                                            & _alike_in_length("na", "nb") & able).select("a", "b").distinct()
     back = tried.select(F.col("b").alias("a"), F.col("a").alias("b")).unionByName(tried.select("a", "b"))
