@@ -21,6 +21,8 @@ Message ids are unique within a tree.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,23 +73,28 @@ def _on(tree: str, node: str, left: DataFrame, right: DataFrame):
 
 def root_paths(messages: DataFrame):
     """State of every message (pointer, messages and score on its root path), and the
-    pointer tables of 1, 2, 4 ... steps up."""
+    pointer tables of 1, 2, 4 ... steps up.  A tree of at most 2^k messages is
+    complete after k joins and takes no part in the later ones."""
     ids = messages.select(F.col("tree").alias("t"), F.col("msg").alias("at"))
+    sizes = messages.groupBy(F.col("tree").alias("s")).agg(F.count(F.lit(1)).alias("size"))
     known = messages.join(ids, messages["tree"].eqNullSafe(ids["t"]) & (messages["parent"] == ids["at"]), "left")
+    known = known.join(sizes, messages["tree"].eqNullSafe(sizes["s"]))
     state = cut_lineage(known.select(
         "tree", "msg", F.when(F.col("at") != F.col("msg"), F.col("at")).alias("up"), F.lit(1).cast("long").alias("depth"),
-        F.coalesce("score", F.lit(0.0)).alias("total")))
-    largest = state.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
-    steps = []
-    for _ in range(int(largest - 1).bit_length()):
+        F.coalesce("score", F.lit(0.0)).alias("total"), "size"))
+    largest = state.agg(F.max("size")).first()[0] or 1
+    steps, complete = [], []
+    for k in range(int(largest - 1).bit_length()):
+        complete.append(state.filter(F.col("size") <= 1 << k))
+        state = state.filter(F.col("size") > 1 << k)
         steps.append(state.filter("up is not null").select("tree", "msg", "up"))
         above = state.select(F.col("tree").alias("t"), F.col("msg").alias("at"), F.col("up").alias("up2"),
                              F.col("depth").alias("d2"), F.col("total").alias("s2"))
         state = cut_lineage(state.join(above, state["tree"].eqNullSafe(above["t"]) & (state["up"] == above["at"]), "left")
                             .select("tree", "msg", F.col("up2").alias("up"),
                                     (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                                    (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total")))
-    return state, steps
+                                    (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total"), "size"))
+    return reduce(DataFrame.unionByName, complete, state), steps
 
 
 def chosen_paths(messages: DataFrame, best: int = 1) -> DataFrame:
@@ -106,15 +113,19 @@ def chosen_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     ranked = leaves.withColumn("salt", salt).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= best)
     ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).filter(
         F.col("rank") <= best)
-    path = ranked.select("tree", F.col("msg").alias("leaf"), "rank", "msg", F.lit(0).cast("long").alias("up"))
+    ends = cut_lineage(ranked.select("tree", F.col("msg").alias("leaf"), "rank", "msg", F.lit(0).cast("long").alias("up"),
+                                     "depth"))
+    path = ends.filter(F.col("depth") > 1 << len(steps)).drop("depth")          # none: no path is that long
     for k in reversed(range(len(steps))):
+        # paths of more than 2^k messages have one that far up; shorter ones come in later
+        path = path.unionByName(ends.filter(F.col("depth").between((1 << k) + 1, 2 << k)).drop("depth"))
         step = steps[k].select(F.col("tree").alias("t"), F.col("msg").alias("at"), F.col("up").alias("above"))
         both = path.join(step, path["tree"].eqNullSafe(step["t"]) & (path["msg"] == step["at"]), "left")
         places = F.array(F.struct("msg", "up"),
                          F.struct(F.col("above").alias("msg"), (F.col("up") + (1 << k)).alias("up")))
         path = both.select("tree", "leaf", "rank", F.explode(places).alias("p")).select(
             "tree", "leaf", "rank", "p.*").filter("msg is not null")
-    return path
+    return path.unionByName(ends.filter(F.col("depth") <= 1).drop("depth"))
 
 
 def format_paths(messages: DataFrame, best: int = 1, loss_role: str = ASSISTANT) -> DataFrame:

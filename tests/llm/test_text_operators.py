@@ -64,6 +64,14 @@ def test_long_chain_and_repeated_turns(spark):
     assert chat.format_paths(chat.turns_as_tree(turns.limit(0))).count() == 0
 
 
+def test_trees_of_all_sizes_together(spark):
+    sizes = [1, 2, 3, 4, 5, 7, 8, 9, 16, 17, 40]
+    rows = [(t, i, "assistant" if i % 2 else "user", f"{t}:{i}") for t, n in enumerate(sizes) for i in range(n)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["tree"]: [t["text"] for t in r["turns"]] for r in chat.parse(chat.format_paths(chat.turns_as_tree(turns))).collect()}
+    assert got == {t: [f"{t}:{i}" for i in range(n)] for t, n in enumerate(sizes)}
+
+
 # -- 3 byte-level BPE, 2 packing -------------------------------------------------------------------
 
 TRICKY = ["", " ", "  a", "a  b", "a \n b", "\n\n x", "it's  we'll", "x " * 5, "tab\tq z", "🙂🙂 é", "<|endoftext|> a", "a\u0085 b",
