@@ -3,6 +3,7 @@ containers, emissions, pipelines, directory and two-grain cost."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import activity_band, days_since, parse_iso_ts
@@ -182,25 +183,25 @@ def q_seat_utilisation(spark, root):
 
 
 @query("seat_cost", w(("focus", O.FOCUS)) + _SA.replace("WITH ", ", ", 1) + """
-SELECT s.organization, s.inactive_seats, s.total_seats, CAST(c.org_cost AS DOUBLE) AS org_cost,
+SELECT s.organization, c.month, s.inactive_seats, s.total_seats, CAST(c.org_cost AS DOUBLE) AS org_cost,
        CAST(c.org_cost AS DOUBLE) / s.total_seats AS cost_per_seat,
        CAST(c.org_cost AS DOUBLE) / s.total_seats * s.inactive_seats AS inactive_seat_cost
 FROM (SELECT organization, count(*) AS total_seats, count_if(days_since_activity > 60 OR days_since_activity IS NULL) AS inactive_seats
       FROM act GROUP BY 1) s
-JOIN (SELECT RegionName AS organization, sum(BilledCost) AS org_cost FROM focus
-      WHERE date_trunc('month', ChargePeriodStart) = TIMESTAMP '2001-07-01' GROUP BY 1) c
+JOIN (SELECT RegionName AS organization, date_trunc('month', ChargePeriodStart)::DATE AS month, sum(BilledCost) AS org_cost
+      FROM focus GROUP BY 1, 2) c
   ON s.organization = c.organization""")
 def q_seat_cost(spark, root):
-    """Inactive seats joined to the organisation's billing-period cost."""
+    """Inactive seats joined to the organisation's cost of every billing period."""
     a = _seat_activity(spark, root)
     d = F.col("days_since_activity")
     seats = a.groupBy("organization").agg(F.count(F.lit(1)).alias("total_seats"),
                                           F.count_if((d > 60) | d.isNull()).alias("inactive_seats"))
-    f = X.focus(spark, root).filter(F.date_trunc("month", "ChargePeriodStart") == F.lit("2001-07-01").cast("timestamp_ntz"))
-    cost = f.groupBy(F.col("RegionName").alias("organization")).agg(F.sum("BilledCost").alias("org_cost"))
+    month = F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month")
+    cost = X.focus(spark, root).groupBy(F.col("RegionName").alias("organization"), month).agg(F.sum("BilledCost").alias("org_cost"))
     j = seats.join(cost, "organization")
     per = _d("org_cost") / F.col("total_seats")
-    return j.select("organization", "inactive_seats", "total_seats", _d("org_cost").alias("org_cost"),
+    return j.select("organization", "month", "inactive_seats", "total_seats", _d("org_cost").alias("org_cost"),
                     per.alias("cost_per_seat"), (per * F.col("inactive_seats")).alias("inactive_seat_cost"))
 
 
@@ -462,19 +463,58 @@ def q_pipeline_top_results(spark, root):
     return g.orderBy(F.col("associations").desc(), "result").limit(10)
 
 
-@query("resource_lineage", w(("items", O.PIPELINE_ITEMS), ("focus", O.FOCUS)) + """
-SELECT i.pipeline_name, count(DISTINCT i.work_item_id) AS work_items, CAST(sum(f.BilledCost) AS DOUBLE) AS attributed_cost
-FROM (SELECT DISTINCT run_id, pipeline_name, work_item_id FROM items) i
-JOIN focus f ON 'res-' || CAST(i.work_item_id AS VARCHAR) = f.ResourceId
- AND CAST(f.ChargePeriodStart AS DATE) = DATE '2001-07-01'
-GROUP BY 1""")
+# cost of a resource in a month, shared over the pipelines that touched it: units of
+# 1/10000, the first pipelines by name take the units that do not divide evenly
+_LINEAGE = w(("items", O.PIPELINE_ITEMS), ("focus", O.FOCUS)) + """
+, pairs AS (SELECT *, row_number() OVER (PARTITION BY resource ORDER BY pipeline_name) AS nth,
+                   count(*) OVER (PARTITION BY resource) AS n
+            FROM (SELECT DISTINCT 'res-' || CAST(work_item_id AS VARCHAR) AS resource, pipeline_name FROM items))
+, cost AS (SELECT ResourceId, date_trunc('month', ChargePeriodStart)::DATE AS month,
+                  CAST(sum(BilledCost) * 10000 AS BIGINT) AS units FROM focus GROUP BY 1, 2)
+, shared AS (SELECT c.month, p.pipeline_name, c.ResourceId,
+                    (c.units - ((c.units % p.n) + p.n) % p.n) // p.n
+                    + CASE WHEN p.nth <= ((c.units % p.n) + p.n) % p.n THEN 1 ELSE 0 END AS units
+             FROM cost c JOIN pairs p ON c.ResourceId = p.resource)
+"""
+
+
+def _lineage(spark, root):
+    """(month, pipeline_name, ResourceId, units): each resource's monthly cost shared over its pipelines."""
+    pairs = X.pipeline_items(spark, root).select(
+        F.concat(F.lit("res-"), F.col("work_item_id").cast("string")).alias("ResourceId"), "pipeline_name").distinct()
+    mine = Window.partitionBy("ResourceId")
+    pairs = pairs.withColumn("nth", F.row_number().over(mine.orderBy("pipeline_name"))).withColumn(
+        "n", F.count(F.lit(1)).over(mine))
+    cost = X.focus(spark, root).groupBy("ResourceId", F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month")).agg(
+        (F.sum("BilledCost") * 10000).cast("long").alias("units"))
+    left = F.pmod("units", "n")
+    share = F.expr("(units - pmod(units, n)) div n") + (F.col("nth") <= left).cast("long")
+    return cost.join(pairs, "ResourceId").select("month", "pipeline_name", "ResourceId", share.alias("units")), cost
+
+
+@query("resource_lineage", _LINEAGE + """
+SELECT month, pipeline_name, count(*) AS work_items, CAST(sum(units) AS DOUBLE) / 10000 AS attributed_cost
+FROM shared GROUP BY 1, 2""")
 def q_resource_lineage(spark, root):
-    """Resources (work items) -> pipeline runs -> cost of the resource on a day."""
-    items = X.pipeline_items(spark, root).select("run_id", "pipeline_name", "work_item_id").distinct()
-    f = X.focus(spark, root).filter(F.to_date("ChargePeriodStart") == F.lit("2001-07-01").cast("date"))
-    j = items.join(f, F.concat(F.lit("res-"), F.col("work_item_id").cast("string")) == F.col("ResourceId"))
-    return j.groupBy("pipeline_name").agg(F.count_distinct("work_item_id").alias("work_items"),
-                                          _d(F.sum("BilledCost")).alias("attributed_cost"))
+    """Resources (work items) -> pipelines -> the resource's cost of the month,
+    shared so that what is attributed sums to what was billed."""
+    return _lineage(spark, root)[0].groupBy("month", "pipeline_name").agg(
+        F.count(F.lit(1)).alias("work_items"), (_d(F.sum("units")) / 10000).alias("attributed_cost"))
+
+
+@query("lineage_conservation", _LINEAGE + """
+SELECT c.month, c.units AS billed_units, CAST(coalesce(s.units, 0) AS BIGINT) AS attributed_units,
+       c.units = coalesce(s.units, 0) AS conserved
+FROM (SELECT month, CAST(sum(units) AS BIGINT) AS units FROM cost GROUP BY 1) c
+LEFT JOIN (SELECT month, sum(units) AS units FROM shared GROUP BY 1) s ON c.month = s.month""")
+def q_lineage_conservation(spark, root):
+    """Billed against attributed cost of every month, in units of 1/10000."""
+    shared, cost = _lineage(spark, root)
+    attributed = shared.groupBy("month").agg(F.sum("units").alias("attributed_units"))
+    billed = cost.groupBy("month").agg(F.sum("units").alias("billed_units"))
+    units = F.coalesce("attributed_units", F.lit(0))
+    return billed.join(attributed, "month", "left").select(
+        "month", "billed_units", units.alias("attributed_units"), (F.col("billed_units") == units).alias("conserved"))
 
 
 # ------------------------------------------------------------------ directory

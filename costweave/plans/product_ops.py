@@ -92,23 +92,22 @@ def q_commitment_lever(spark, root):
 
 
 @query("wastage_variance", w(("focus", O.FOCUS)) + _ALT_SQL + """
-SELECT a.tenant_label AS region, CAST(a.wastageCost AS DOUBLE) AS predicted_wastage,
+SELECT a.tenant_label AS region, u.month, CAST(a.wastageCost AS DOUBLE) AS predicted_wastage,
        CAST(coalesce(u.unused, 0) AS DOUBLE) AS realised_unused,
        CAST(coalesce(u.unused, 0) - a.wastageCost AS DOUBLE) AS variance
-FROM alts a LEFT JOIN (SELECT RegionName, sum(EffectiveCost) AS unused FROM focus
-                       WHERE CommitmentDiscountStatus = 'Unused' AND date_trunc('month', ChargePeriodStart) = TIMESTAMP '2001-10-01'
-                       GROUP BY 1) u ON a.tenant_label = u.RegionName
+FROM alts a LEFT JOIN (SELECT RegionName, date_trunc('month', ChargePeriodStart)::DATE AS month, sum(EffectiveCost) AS unused
+                       FROM focus WHERE CommitmentDiscountStatus = 'Unused' GROUP BY 1, 2) u ON a.tenant_label = u.RegionName
 WHERE a.term = 'P1Y' AND a.is_recommended""")
 def q_wastage_variance(spark, root):
     """Predicted wastage of the recommended 1-year level vs realised unused
-    commitment cost in the month (joined by region)."""
+    commitment cost of every month (joined by region; a null month: no unused cost)."""
     a = _alternatives(spark, root).filter((F.col("term") == "P1Y") & F.col("is_recommended"))
-    f = X.focus(spark, root).filter((F.col("CommitmentDiscountStatus") == "Unused") &
-                                    (F.date_trunc("month", "ChargePeriodStart") == F.lit("2001-10-01").cast("timestamp_ntz")))
-    u = f.groupBy(F.col("RegionName").alias("tenant_label")).agg(F.sum("EffectiveCost").alias("unused"))
+    f = X.focus(spark, root).filter(F.col("CommitmentDiscountStatus") == "Unused")
+    month = F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month")
+    u = f.groupBy(F.col("RegionName").alias("tenant_label"), month).agg(F.sum("EffectiveCost").alias("unused"))
     j = a.join(u, "tenant_label", "left")
     un = F.coalesce(F.col("unused"), F.lit(0))
-    return j.select(F.col("tenant_label").alias("region"), _d("wastageCost").alias("predicted_wastage"),
+    return j.select(F.col("tenant_label").alias("region"), "month", _d("wastageCost").alias("predicted_wastage"),
                     _d(un).alias("realised_unused"), _d(un - F.col("wastageCost")).alias("variance"))
 
 
@@ -325,17 +324,15 @@ FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS service, CAST
              'cloud_a' AS provider FROM orders
       UNION ALL
       SELECT CAST(ts AS DATE), event_type, CAST(value AS DECIMAL(18,2)), 'cloud_b' FROM events)
-WHERE date >= DATE '1998-01-01' GROUP BY 1, 2, 3""")
+GROUP BY 1, 2, 3""")
 def q_multi_cloud_union(spark, root):
-    """Two providers' exports renamed to one shape and unioned by name; the
-    date filter is pushed below the union into both scans."""
+    """Two providers' exports renamed to one shape and unioned by name."""
     src = X.two_clouds(spark, root)
     a = src["cloud_a"].select(F.to_date("UsageDate").alias("date"), F.col("ServiceName").alias("service"),
                               F.col("PreTaxCost").alias("cost"), F.lit("cloud_a").alias("provider"))
     b = src["cloud_b"].select(F.to_date("usage_start_time").alias("date"), F.col("product_code").alias("service"),
                               F.col("unblended_cost").alias("cost"), F.lit("cloud_b").alias("provider"))
-    u = a.unionByName(b).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
-    return u.groupBy("provider", F.to_date(F.date_trunc("month", "date")).alias("month"), "service").agg(
+    return a.unionByName(b).groupBy("provider", F.to_date(F.date_trunc("month", "date")).alias("month"), "service").agg(
         _d(F.sum("cost")).alias("cost"), F.count(F.lit(1)).alias("records"))
 
 

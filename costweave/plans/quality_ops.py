@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.tags import service_id
@@ -10,7 +12,10 @@ from ..operators import gates as G
 from ..operators import landing as L
 from ..operators.hierarchy import hierarchy_series
 from ..operators.joins import schema_contract, schema_frame
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as X
+from ..sources.store import TableStore, row_count_match, written_counts
+from ..sources.tables import scan_table
 from . import oracle_adapters as O
 from .registry import query
 
@@ -64,9 +69,10 @@ def _built(spark, root, clean=True):
     return E.build_all(X.edge_sources(spark, root), BATCH, OBSERVED, clean=clean)
 
 
-@query("build_edges", _edges_cte(True) + "SELECT * EXCLUDE (edge_table) FROM edges WHERE edge_table = 'order_customer'")
+@query("build_edges", _edges_cte(True) + "SELECT * FROM edges")
 def q_build_edges(spark, root):
-    return _built(spark, root)["order_customer"]
+    """All edge tables, each row with the table it belongs to."""
+    return E.tagged_union(_built(spark, root))
 
 
 @query("edge_catalogue", _edges_cte(True) + """
@@ -272,3 +278,26 @@ def q_lineage_counts(spark, root):
     g = d.agg(F.count(F.lit(1)).alias("rows"), F.max("ds").cast("timestamp_ntz").alias("latest")) \
         .select(F.lit("gold").alias("layer"), F.lit("daily_service").alias("table_name"), "rows", "latest")
     return a.unionByName(b).unionByName(g)
+
+
+# ------------------------------------------------------------------ written tables
+def _written_orders(spark, root):
+    """Orders by year, and the same as a partitioned table written and read again."""
+    orders = scan_table(spark, root, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"]).withColumn(
+        "year", F.year("o_orderdate"))
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store.replace_partition(orders, "orders", ["year"])
+    return orders, store.read("orders")
+
+
+@query("verify_written", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS frame_rows, count(*) AS table_rows, true AS matches
+FROM orders GROUP BY 1""")
+def q_verify_written(spark, root):
+    """Rows of each partition in the frame and in the table it was written to."""
+    return written_counts(*_written_orders(spark, root), ["year"])
+
+
+@query("row_count_match", "SELECT count(*) AS frame_rows, count(*) AS table_rows, true AS matches FROM orders")
+def q_row_count_match(spark, root):
+    return row_count_match(*_written_orders(spark, root))

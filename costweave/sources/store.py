@@ -1,70 +1,77 @@
-"""Table store: directory-per-table Parquet (Delta when its jar is present).
+"""Tables as plain folders: one path per table, written with Spark's own modes.
 
-* ``write_overwrite``: full snapshot replace written to a new version
-  directory, then a small pointer file is swapped, so a reader never sees
-  a half-written table and a plan may read the table it replaces.
-* ``write_merge_schema``: align to the stored schema (new columns added,
-  absent ones null) before the replace.
+* ``write_overwrite``: static overwrite, the whole table is replaced.
+* ``write_merge_schema``: the same, with stored columns that the frame lacks
+  as typed nulls.
 * ``replace_partition``: dynamic partition overwrite - only the partition
-  values present in the frame are replaced, in one job for all of them.
+  values present in the frame are replaced, in one job for all of them;
+  ``append_snapshot`` and ``replace_run_date`` are this by a fixed column, so
+  a rerun never doubles rows.
+* ``save_append_merge``: append; a column that only some files have reads as
+  null elsewhere.
 * ``upsert``: rows of the stored table whose key is not in the new frame
-  (``left_anti``) plus the new frame, written as a new version.
+  (``left_anti``) plus the new frame.  Where the keys hold the partition
+  columns only the touched partitions are rewritten.
+* ``compact``: rewrite by range, sorted within files.
+
+A writer that reads the table it replaces works from a copy in the shared
+checkpoint folder (``cut_lineage``), so a failed write can be run again.
+Every writer keeps the partition columns a table has; a partition writer with
+other columns raises.  Paths go to Spark as they are: any store it can open
+will do, and nothing is opened or listed on the driver's own disk.
 """
 
 from __future__ import annotations
 
-import os
-import time
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
+from ..session import cut_lineage
+
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
-    # ---------------------------------------------------------------- paths
-    def table_dir(self, name: str) -> str:
+    def path(self, name: str) -> str:
         return f"{self.root}/{name.lower()}"
 
-    def _pointer(self, name: str) -> str:
-        return os.path.join(self.table_dir(name), POINTER)
-
-    def current_path(self, name: str) -> str | None:
-        p = self._pointer(name)
-        if os.path.exists(p):
-            with open(p) as fh:
-                return os.path.join(self.table_dir(name), fh.read().strip())
-        d = self.table_dir(name)
-        return d if os.path.isdir(d) and any(not f.startswith(("_", ".")) for f in os.listdir(d)) else None
-
     def exists(self, name: str) -> bool:
-        return self.current_path(name) is not None
+        try:
+            self.read(name)
+        except AnalysisException as e:
+            if e.getCondition() in ABSENT:
+                return False
+            raise
+        return True
 
     def read(self, name: str) -> DataFrame:
-        path = self.current_path(name)
-        if path is None:
-            raise FileNotFoundError(name)
-        return self.spark.read.format(self.fmt).option("mergeSchema", "true").load(path)
+        return self.spark.read.format(self.fmt).option("mergeSchema", "true").load(self.path(name))
+
+    def partition_columns(self, name: str) -> list[str] | None:
+        """Partition columns of the stored table, from the path of one of its
+        files; None where there is no table or it has no rows."""
+        if not self.exists(name):
+            return None
+        row = self.read(name).select("_metadata.file_path").first()
+        if row is None:
+            return None
+        folders = row[0].split(f"/{name.lower()}/")[-1].split("/")[:-1]
+        return [f.split("=")[0] for f in folders]
 
     # ---------------------------------------------------------------- writers
-    def write_overwrite(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
-        version = f"v_{time.strftime('%Y%m%dT%H%M%S')}_{uuid.uuid4().hex[:8]}"
-        path = os.path.join(self.table_dir(name), version)
-        w = df.write.format(self.fmt).mode("errorifexists")
+    def _write(self, df: DataFrame, name: str, mode: str, partition_by: list[str] | None, overwrite: str = "static") -> str:
+        w = df.write.format(self.fmt).mode(mode).option("partitionOverwriteMode", overwrite)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(path)
-        os.makedirs(self.table_dir(name), exist_ok=True)
-        tmp = self._pointer(name) + ".tmp"
-        with open(tmp, "w") as fh:
-            fh.write(version)
-        os.replace(tmp, self._pointer(name))
-        return path
+        w.save(self.path(name))
+        return self.path(name)
+
+    def write_overwrite(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+        return self._write(df, name, "overwrite", partition_by)
 
     def align_schema(self, df: DataFrame, name: str) -> DataFrame:
         """New columns kept, stored-but-absent columns added as typed nulls."""
@@ -75,39 +82,59 @@ class TableStore:
         return df.select("*", *missing)
 
     def write_merge_schema(self, df: DataFrame, name: str) -> str:
-        return self.write_overwrite(self.align_schema(df, name), name)
+        return self.write_overwrite(self.align_schema(df, name), name, self.partition_columns(name))
 
     def replace_partition(self, df: DataFrame, name: str, partition_by: list[str]) -> str:
         """Replace only the partitions present in ``df`` (created on first write)."""
-        path = self.table_dir(name) + "/data"
-        (df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).save(path))
-        os.makedirs(self.table_dir(name), exist_ok=True)
-        with open(self._pointer(name), "w") as fh:
-            fh.write("data")
-        return path
+        stored = self.partition_columns(name)
+        if stored is not None and stored != list(partition_by):
+            raise ValueError(f"{name} is partitioned by {stored}, not by {list(partition_by)}")
+        return self._write(df, name, "overwrite", partition_by, "dynamic")
 
     def append_snapshot(self, df: DataFrame, name: str, snapshot_col: str = "snapshot_date") -> str:
         """Idempotent append: a same-day rerun replaces that day's snapshot."""
         return self.replace_partition(df, name, [snapshot_col])
 
+    def replace_run_date(self, df: DataFrame, name: str, run_col: str = "run_date") -> str:
+        """Rows of the run dates in ``df`` replaced, other runs kept."""
+        return self.replace_partition(df, name, [run_col])
+
+    def save_append_merge(self, df: DataFrame, name: str) -> str:
+        """Append with schema merge; shared columns take the stored type."""
+        if not self.exists(name):
+            return self._write(df, name, "append", None)
+        return self._write(self._as_stored(df, name), name, "append", self.partition_columns(name))
+
+    def _as_stored(self, df: DataFrame, name: str) -> DataFrame:
+        types = {f.name: f.dataType for f in self.read(name).schema.fields}
+        return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
+
     def upsert(self, df: DataFrame, name: str, keys: list[str]) -> str:
         if not self.exists(name):
             return self.write_overwrite(df, name)
+        parts = self.partition_columns(name) or []
+        df = cut_lineage(self._as_stored(df, name))
         old = self.read(name)
+        touched = bool(parts) and set(parts) <= set(keys)
+        if touched:
+            old = old.join(df.select(*parts).distinct(), parts, "left_semi")
         keep = old.join(df.select(*keys), keys, "left_anti")
-        return self.write_overwrite(keep.unionByName(df, allowMissingColumns=True), name)
+        rows = cut_lineage(keep.unionByName(df, allowMissingColumns=True))
+        return self._write(rows, name, "overwrite", parts, "dynamic" if touched else "static")
 
     def compact(self, name: str, by: list[str], files: int) -> str:
         """Rewrite with range partitioning and sorted files (OPTIMIZE / ZORDER stand-in)."""
-        df = self.read(name)
-        return self.write_overwrite(df.repartitionByRange(files, *by).sortWithinPartitions(*by), name)
+        parts = self.partition_columns(name)
+        df = cut_lineage(self.read(name))
+        return self.write_overwrite(df.repartitionByRange(files, *by).sortWithinPartitions(*by), name, parts)
 
     def register(self, name: str) -> int:
-        """Temp view over the current version; returns its row count."""
-        df = self.read(name)
-        df.createOrReplaceTempView(name.lower())
-        return self.spark.sql(f"SELECT COUNT(*) AS n FROM {name.lower()}").first()["n"]
+        """Catalog table over the table's folder; returns its row count."""
+        self.spark.sql(f"DROP TABLE IF EXISTS `{name.lower()}`")
+        self.spark.catalog.createTable(name.lower(), path=self.path(name), source=self.fmt, mergeSchema="true")
+        if self.partition_columns(name):
+            self.spark.catalog.recoverPartitions(name.lower())
+        return self.spark.table(name.lower()).count()
 
 
 def guard_empty(df: DataFrame, policy: str) -> bool:
@@ -122,9 +149,22 @@ def guard_empty(df: DataFrame, policy: str) -> bool:
     raise RuntimeError("empty frame and policy=fail")
 
 
-def verify_written(frame: DataFrame, table: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """Per-partition counts of the frame vs the written table; mismatches only."""
+def written_counts(frame: DataFrame, table: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Per-partition counts of the frame and the written table, and whether they agree."""
     a = frame.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("frame_rows"))
     b = table.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("table_rows"))
-    j = a.join(b, partition_cols, "full_outer")
-    return j.filter(~F.col("frame_rows").eqNullSafe(F.col("table_rows")))
+    return a.join(b, partition_cols, "full_outer").withColumn(
+        "matches", F.col("frame_rows").eqNullSafe(F.col("table_rows")))
+
+
+def verify_written(frame: DataFrame, table: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Per-partition counts of the frame vs the written table; mismatches only."""
+    return written_counts(frame, table, partition_cols).filter(~F.col("matches")).drop("matches")
+
+
+def row_count_match(frame: DataFrame, table: DataFrame) -> DataFrame:
+    """One row: rows of the frame, rows of the table, whether they agree."""
+    both = frame.select(F.lit(1).alias("w"), F.lit(0).alias("r")).unionByName(
+        table.select(F.lit(0).alias("w"), F.lit(1).alias("r")))
+    counts = both.agg(F.count_if(F.col("w") == 1).alias("frame_rows"), F.count_if(F.col("r") == 1).alias("table_rows"))
+    return counts.withColumn("matches", F.col("frame_rows") == F.col("table_rows"))

@@ -86,3 +86,40 @@ def test_store_idempotent_writes(spark):
     assert guard_empty(spark.createDataFrame([], "v int"), "skip") is False
     with pytest.raises(RuntimeError):
         guard_empty(spark.createDataFrame([], "v int"), "fail")
+
+
+def _rows(df, *cols):
+    return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
+
+
+def test_store_writers_mixed_on_one_table(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="cw-store-"))
+    day = "v int, snapshot_date string"
+    st.write_overwrite(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")], day), "t",
+                       ["snapshot_date"])
+    st.replace_partition(spark.createDataFrame([(9, "2024-01-02")], day), "t", ["snapshot_date"])
+    assert _rows(st.read("t"), "v") == [("1",), ("3",), ("9",)]
+    st.upsert(spark.createDataFrame([(3, "2024-01-03"), (4, "2024-01-03")], day), "t", ["v"])
+    st.upsert(spark.createDataFrame([(1, "2024-01-01"), (5, "2024-01-01")], day), "t", ["v", "snapshot_date"])
+    st.compact("t", ["v"], 2)
+    st.append_snapshot(spark.createDataFrame([(7, "2024-01-04")], day), "t")
+    st.save_append_merge(spark.createDataFrame([(8, "2024-01-04", "x")], day + ", note string"), "t")
+    assert _rows(st.read("t"), "v", "snapshot_date", "note") == [
+        ("1", "2024-01-01", "None"), ("3", "2024-01-03", "None"), ("4", "2024-01-03", "None"), ("5", "2024-01-01", "None"),
+        ("7", "2024-01-04", "None"), ("8", "2024-01-04", "x"), ("9", "2024-01-02", "None")]
+    assert st.partition_columns("t") == ["snapshot_date"]
+    with pytest.raises(ValueError):
+        st.replace_partition(spark.createDataFrame([(9, "2024-01-02")], day), "t", ["v"])
+    assert st.register("t") == 7
+    assert spark.table("t").filter("note = 'x' and snapshot_date = '2024-01-04'").count() == 1
+
+
+def test_store_run_dates_and_absent_tables(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="cw-store-"))
+    assert not st.exists("runs")
+    st.replace_run_date(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, run_date string"), "runs")
+    st.replace_run_date(spark.createDataFrame([(5, "2024-01-02")], "v int, run_date string"), "runs")
+    assert _rows(st.read("runs"), "v") == [("1",), ("5",)]
+    st.save_append_merge(spark.createDataFrame([(1,)], "v int"), "fresh")
+    st.save_append_merge(spark.createDataFrame([(2, "b")], "v int, w string"), "fresh")
+    assert _rows(st.read("fresh"), "v", "w") == [("1", "None"), ("2", "b")]
