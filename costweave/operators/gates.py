@@ -62,13 +62,16 @@ def all_empty_gate(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
-def rule_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+def rule_report(df: DataFrame, rules: dict[str, Column], non_empty: str | None = None) -> DataFrame:
     """``rules`` maps a name to a per-row *violation* predicate; one pass
-    counts each rule's violations."""
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(pred).alias(name) for name, pred in rules.items()])
+    counts each rule's violations.  ``non_empty`` names a further rule that a
+    frame without rows violates once."""
+    counts = {name: F.count_if(pred) for name, pred in rules.items()}
+    if non_empty:
+        counts[non_empty] = (F.count(F.lit(1)) == 0).cast("long")
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(name) for name, c in counts.items()])
     stack = F.expr("stack({n}, {pairs}) as (rule, violations)".format(
-        n=len(rules), pairs=", ".join(f"'{k}', `{k}`" for k in rules)))
+        n=len(counts), pairs=", ".join(f"'{k}', `{k}`" for k in counts)))
     return agg.select(F.col("_rows").alias("rows"), stack).select(
         "rule", "rows", F.col("violations").cast("long").alias("violations"),
         (F.col("violations") == 0).alias("passed"))

@@ -215,7 +215,6 @@ def _bronze_rules():
         "date_in_range": ~F.col("ChargePeriodStart").between(F.lit("1990-01-01").cast("timestamp_ntz"),
                                                              F.lit("2030-12-31").cast("timestamp_ntz")),
         "id_length_36": F.coalesce(F.length("SubAccountId") != 36, F.lit(True)),
-        "non_empty": F.lit(False),
     }
 
 
@@ -223,11 +222,11 @@ def _bronze_rules():
 SELECT rule, rows, violations, violations = 0 AS passed FROM (
   SELECT count(*) AS rows, count_if(BilledCost IS NULL) AS cost_not_null,
          count_if(NOT (ChargePeriodStart BETWEEN TIMESTAMP '1990-01-01' AND TIMESTAMP '2030-12-31')) AS date_in_range,
-         count_if(coalesce(length(SubAccountId) <> 36, true)) AS id_length_36, 0 AS non_empty FROM focus)
+         count_if(coalesce(length(SubAccountId) <> 36, true)) AS id_length_36, CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS non_empty FROM focus)
 UNPIVOT (violations FOR rule IN (cost_not_null, date_in_range, id_length_36, non_empty))""".replace(
     "SELECT rule, rows, violations, violations = 0 AS passed", "SELECT rule, rows, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed"))
 def q_bronze_rules(spark, root):
-    return G.rule_report(X.focus(spark, root), _bronze_rules())
+    return G.rule_report(X.focus(spark, root), _bronze_rules(), non_empty="non_empty")
 
 
 @query("silver_rules", w(("focus", O.FOCUS)) + """

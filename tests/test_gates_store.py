@@ -65,6 +65,14 @@ def test_rule_report(spark):
     assert r == {"not_null": 1, "non_negative": 1}
 
 
+def test_rule_report_fails_an_empty_frame(spark):
+    rules = {"not_null": F.col("cost").isNull()}
+    for rows, failed in (([], 1), ([(1.0,)], 0)):
+        df = spark.createDataFrame(rows, "cost double")
+        got = {x.rule: x.violations for x in G.rule_report(df, rules, non_empty="non_empty").collect()}
+        assert got == {"not_null": 0, "non_empty": failed}
+
+
 def test_store_idempotent_writes(spark):
     root = tempfile.mkdtemp(prefix="cw-store-")
     st = TableStore(spark, root)
