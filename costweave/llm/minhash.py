@@ -4,7 +4,12 @@ A text is its sequence of 5-word shingles (one shingle of all words if it has
 fewer).  A shingle is labelled with its occurrence number, so repeats count.
 Each of ``SKETCHES`` sketches takes the ``ELL`` labelled shingles with the
 smallest hashes under its own permutation and keeps them *in text order*;
-texts that agree on a sketch are candidates.
+texts that agree on a sketch are candidates.  Sketches miss near-duplicates of
+few shingles, so a text of at most ``SHORT`` is found by the prefix rule instead:
+of its ``n`` labelled shingles a near-duplicate has at least ``0.8 n``, so both
+have the smallest common one among their ``n - ceil(0.8 n) + 1`` smallest, and
+these are the keys.  Texts up to the length that is near a short one's carry
+both kinds of keys.
 
 Two texts are near-duplicates when an order-preserving alignment of their
 shingles matches ``m`` of them with ``m / (n1 + n2 - m) >= 0.8``.  The
@@ -50,6 +55,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 48
 ELL = 8
+SHORT = 19                                   # shingles up to which candidates are exact
 SIGNATURE = 8                                # longs of the bit signature of a shingle set
 _C = odd_constants(32, 5)
 _XOR = mix(odd_constants(SKETCHES, 77))
@@ -95,6 +101,22 @@ def sketch_keys(s: np.ndarray) -> np.ndarray:
     return mix(keys)
 
 
+def prefix_keys(s: np.ndarray) -> np.ndarray:
+    """The labelled shingles of which any near-duplicate shares at least one."""
+    n = len(s)
+    least = math.ceil(SIMILARITY * n - 1e-6)
+    return mix(np.sort(labelled(s))[:n - least + 1] * _C[9])
+
+
+def candidate_keys(s: np.ndarray) -> np.ndarray:
+    """Two near-duplicates share a key: for certain if either is short."""
+    if len(s) <= SHORT:
+        return prefix_keys(s)
+    if SIMILARITY * len(s) - 1e-6 <= SHORT:
+        return np.concatenate((sketch_keys(s), prefix_keys(s)))
+    return sketch_keys(s)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Most shingles an order-preserving alignment matches, or -1 if it takes
     more than ``most`` insertions and deletions."""
@@ -170,7 +192,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 whole = xxhash.xxh3_128_intdigest(h.tobytes())
                 s = shingles(h)
                 rows.append((doc, (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63), len(s),
-                             sketch_keys(s).view(np.int64)))
+                             candidate_keys(s).view(np.int64)))
             if rows:
                 yield record_batch(schema, list(zip(*rows)))
 

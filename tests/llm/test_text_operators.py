@@ -375,6 +375,27 @@ def test_classes_equal_brute_force(spark):
     assert got == want
 
 
+def test_short_near_duplicates(spark):
+    """Words appended, prepended, cut off and shifted, at lengths where sketches miss."""
+    rng = random.Random(7)
+    rows, pairs = [], []
+    for length in range(5, 26):
+        for case in range(6):
+            w = [f"l{length}c{case}w{j}" for j in range(length)]
+            if case == 5:
+                w = rng.choices(w[:3], k=length)                 # shingles that repeat
+            more = [f"l{length}c{case}x{j}" for j in range(1 + case % 2)]
+            other = (w + more, more + w, w[1:], w[1:] + more[:1], more[:1] + w + more[:1], w[1:] + w[:1])[case]
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(other))]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(documents(spark, rows)).collect()}
+    want = {}
+    for a, b in pairs:
+        want |= {a: a, b: a if similar(rows[a][1], rows[b][1]) >= 0.8 else b}
+    assert sum(want[b] == a for a, b in pairs) > 60
+    assert got == want
+
+
 def test_near_duplicates_of_odd_rows(spark):
     out = minhash.classes(documents(spark, odd_rows() + [(9, "same row"), (10, "")]).withColumn("keys", F.lit(0))).collect()
     got = sorted(((-1 if r[0] is None else r[0]), r[1], r[2]) for r in out)
