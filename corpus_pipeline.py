@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a frame; the caller writes
 it as Parquet and reads it again as the next one's ``docs``.  All but the last
 return the columns of ``documents``.
 
-1. language ID drops documents without an identifiable language;
+1. language ID drops documents that show none of the learnt languages;
 2. line dedup cuts repeated runs of lines, and drops documents of which
    nothing is left;
 3. MinHash near-dedup keeps the smallest doc_id of each class;
@@ -27,9 +27,6 @@ from costweave.llm.common import read_table
 from costweave.llm.queries import packed_documents
 from costweave.session import ensure_checkpoint_dir
 
-#: A prediction this weak (0 to 1) means that no learnt language fits the text.
-LEAST_SCORE = 0.25
-
 #: DuckDB SQL for run()'s rows: the stages learn and tokenise, SQL can't.
 ORACLE_SQL = None
 
@@ -47,9 +44,8 @@ def _with_text(cut: DataFrame, columns: list[str], removed: str) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
-    scored = langid.identify(docs, model, lang="pipeline_lang_pred", score="pipeline_score")
-    sure = (F.col("pipeline_lang_pred") != langid.UNKNOWN) & (F.col("pipeline_score") >= LEAST_SCORE)
-    return scored.filter(sure).select(*docs.columns)
+    scored = langid.identify(docs, model, lang="pipeline_lang_pred", score="pipeline_score", sure="pipeline_sure")
+    return scored.filter("pipeline_sure").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

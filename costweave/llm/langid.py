@@ -12,6 +12,18 @@ coefficients, is one product of its n-gram presence vector with a matrix
 (n-gram, language).  Tasks score Arrow batches by these products.  N-grams
 are hashed into ``BINS`` cells, the same everywhere.
 
+The score ranks the learnt languages and says nothing about others: the values
+of K languages sum to about 2 - K, so the best score is hardly below 1/K, and a
+text of n-grams never learnt gets 0.5.  Whether a text is in any of them is told
+by evidence (``identify(..., sure=...)``): the share ``s`` of its distinct n-grams
+of words without digits that the landmarks have, and the margin of the best
+language over the second in these.  A text is refused if ``s`` is low and the
+margin is too, or if ``s`` is below ``FOREIGN`` of what counts as low.  Low is below
+the ``LOW`` quantile of the beginnings (``SNIPPET`` characters, as a short text
+shows less) of the labelled texts learnt from that are no landmarks, or of the
+landmarks where there are no others; few n-grams are allowed ``SLACK``
+standard deviations of their known number.
+
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 so is every text when there is nothing to learn from; rows that repeat are
 scored alike; ties go to the first language in alphabetical order.
@@ -33,6 +45,10 @@ ORDERS = 3
 LANDMARKS = 48
 SAMPLE = 240
 RIDGE = 1e-2
+LOW = 0.01
+SLACK = 3.0
+FOREIGN = 0.5
+SNIPPET = 80
 UNKNOWN = "und"
 _MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 _tables: dict = {}                            # of a Python worker
@@ -68,11 +84,46 @@ def has_letter(text: str) -> bool:
     return bool(_is_letter()[code].any())
 
 
+def spoken(text: str) -> str:
+    """The words of letters, parted by one space: what language shows in.  Words
+    with digits (numbers, keys) are left out where there are others."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    digit = (code >= 48) & (code <= 57)
+    kept = np.where(_is_letter()[code] | digit, code, np.uint32(32)).astype(np.uint32)
+    words = kept.tobytes().decode("utf-32-le", "surrogatepass").split()
+    return " ".join([w for w in words if not any(c in w for c in "0123456789")] or words)
+
+
 class Model:
-    """``languages`` and the matrix (n-gram cell, language), kept sparse."""
+    """``languages`` and the matrix (n-gram cell, language), kept sparse; ``low`` is
+    the (share, margin) under which a text shows none of the languages."""
+
+    def __init__(self, languages: list[str], cells: np.ndarray, weights: np.ndarray, low=(0.0, 0.0)):
+        self.languages, self.cells, self.weights, self.low = languages, cells, weights, low
+
+    def evidence(self, text: str, dense: np.ndarray, known: np.ndarray) -> tuple[int, float, float]:
+        """Number of distinct n-grams of letters, the share the landmarks have, the margin."""
+        cell = grams(spoken(text))
+        f = np.sort(dense[cell].sum(0) / np.sqrt(len(cell)))
+        return len(cell), float(known[cell].mean()), float(f[-1] - f[-2]) if len(f) > 1 else 0.0
 
-    def __init__(self, languages: list[str], cells: np.ndarray, weights: np.ndarray):
-        self.languages, self.cells, self.weights = languages, cells, weights
+    def known(self) -> np.ndarray:
+        out = np.zeros(BINS, bool)
+        out[self.cells] = True
+        return out
+
+    def shown(self, texts: list[str | None], dense: np.ndarray, known: np.ndarray) -> list[bool]:
+        """Whether each text shows one of the languages."""
+        out = []
+        for text in texts:
+            if not self.languages or text is None or not has_letter(text):
+                out.append(False)
+                continue
+            n, share, margin = self.evidence(text, dense, known)
+            slack = SLACK * np.sqrt(self.low[0] * (1 - self.low[0]) / n)
+            out.append(bool(share >= self.low[0] - slack
+                            or (margin >= self.low[1] and share >= FOREIGN * self.low[0])))
+        return out
 
     def dense(self) -> np.ndarray:
         out = np.zeros((BINS, len(self.languages)))
@@ -118,7 +169,13 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     target = np.array([[1.0 if lang == c else -1.0 for c in languages] for lang in langs])
     system = kernel.T @ kernel + RIDGE * kernel[landmark] + 1e-8 * np.eye(len(landmark))
     alpha = np.linalg.solve(system, kernel.T @ target)
-    return Model(languages, cells, phi @ alpha)
+    model = Model(languages, cells, phi @ alpha)
+    others = sorted(set(range(len(texts))) - set(landmark)) or landmark
+    dense, known = model.dense(), model.known()
+    begun = [spoken(texts[i])[:SNIPPET] for i in others]
+    seen = np.array([model.evidence(t, dense, known)[1:] for t in begun if has_letter(t)] or [(0.0, 0.0)])
+    model.low = (float(np.quantile(seen[:, 0], LOW)), float(np.quantile(seen[:, 1], LOW)))
+    return model
 
 
 def held_out(id_col: str = "doc_id"):
@@ -149,22 +206,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "lang_pred",
-             score: str = "score") -> DataFrame:
+             score: str = "score", sure: str | None = None) -> DataFrame:
     """All columns plus the predicted language and its score (existing columns of
-    these names are replaced)."""
-    docs = docs.drop(lang, score)
+    these names are replaced); with ``sure`` also whether the text shows it."""
+    docs = docs.drop(lang, score, *([sure] if sure else []))
     names = docs.columns
     at = names.index(text_col)
 
     def run(batches):
-        dense = model.dense()
+        dense, known = model.dense(), model.known()
         for batch in batches:
-            best, value = model.score(batch.column(at).to_pylist(), dense)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(value, pa.float64())],
-                                             names=[*names, lang, score])
-
+            texts = batch.column(at).to_pylist()
+            best, value = model.score(texts, dense)
+            more = [pa.array(best, pa.string()), pa.array(value, pa.float64())]
+            if sure:
+                more.append(pa.array(model.shown(texts, dense, known), pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*names, *added])
+
+    added = [lang, score] + ([sure] if sure else [])
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{out}, `{lang}` string, `{score}` double")
+    return docs.mapInArrow(run, f"{out}, `{lang}` string, `{score}` double" + (f", `{sure}` boolean" if sure else ""))
 
 
 __all__ = ["Model", "fit", "train", "identify", "held_out", "grams", "fresh"]

@@ -2,7 +2,7 @@
 import corpus_pipeline
 from tests.conftest import SF001
 from tests.llm.helpers import documents, odd_rows, table
-from tests.llm.test_text_operators import brute_lines, brute_substring, check_packing, similar
+from tests.llm.test_text_operators import SF01, brute_lines, brute_substring, check_packing, similar
 
 
 def by_id(frame):
@@ -48,3 +48,21 @@ def test_odd_documents_and_none(spark):
     for docs in (documents(spark, rows), documents(spark, [])):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, SF001).collect()
+
+
+def test_language_stage_drops_foreign_texts_and_keeps_short_ones(spark):
+    foreign = ["这是一个没有学过的语言的句子，应该被丢弃。", "Это предложение на русском языке, которого модель не знает.",
+               "Ez egy magyar nyelvű mondat, amelyet a modell soha nem látott, ezért el kell dobni.",
+               "Tämä on suomenkielinen lause, jota malli ei ole koskaan nähnyt.",
+               "To jest zdanie po polsku, którego model nigdy nie widział."]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    known = {r["doc_id"]: r["text"] for r in docs.filter("lang is not null").collect()}
+    first = max(known) + 1
+    short = sorted({" ".join(t.split()[:n]) for t in list(known.values())[:200] if t for n in (4, 8)} - {""})
+    short = [t for t in short if not any(c.isdigit() or c in "#$%&*!=@" for c in t)]
+    planted = documents(spark, [(first + i, t) for i, t in enumerate(foreign + short)])
+    got = set(by_id(corpus_pipeline.language_id(spark, docs.unionByName(planted.select(docs.columns)), SF01)))
+    assert not got & set(range(first, first + len(foreign)))
+    stayed = sum(first + len(foreign) + i in got for i in range(len(short)))
+    assert len(short) > 100 and stayed >= 0.99 * len(short)
+    assert len(got & set(known)) >= 0.995 * len(known)
