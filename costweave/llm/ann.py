@@ -8,7 +8,8 @@ the centres gives the order in which it visits leaves.
 
 How many leaves to visit is calibrated: a bounded set of sample queries is
 compared with *all* vectors, block by block, and the visits are widened until the
-leaves visited hold ``RECALL`` of their true neighbours.  Spark joins queries and
+leaves visited hold ``RECALL`` of their true neighbours.  A query whose leaves
+hold too few vectors for its neighbours goes on to the next ones.  Spark joins queries and
 vectors on the leaves; blocks of both keep a group bounded, whatever a leaf
 or the number of queries grows to.  Scores are exact products in double precision.
 
@@ -73,16 +74,18 @@ class Tree:
             node = node * BRANCH + d2.argmin(1)
         return node
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of a query, best bin first."""
+    def visits(self, q: np.ndarray, most: int, held: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves of a query, best bin first, and further ones until
+        the leaves hold ``least`` vectors (``held``: vectors by leaf)."""
         score = [c @ q for c in self.centres]
-        depth, out = len(self.centres), []
+        depth, out, have = len(self.centres), [], 0
         queue = [(-score[0][k], 0, k) for k in range(BRANCH) if self.there[0][k]]
         heapq.heapify(queue)
-        while queue and len(out) < most:
+        while queue and (len(out) < most or have < least):
             _, level, node = heapq.heappop(queue)
             if level == depth - 1:
                 out.append(node)
+                have += held.get(node, 0) if held else least
                 continue
             for k in range(node * BRANCH, (node + 1) * BRANCH):
                 if self.there[level + 1][k]:
@@ -153,11 +156,12 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, id_col: str = "vec
 
     placed = cut_lineage(valid.repartition("vec_id").mapInArrow(place, "vec_id long, x binary, leaf long"))
     most = _calibrate(tree, placed, k)
+    held = {r[0]: r[1] for r in placed.groupBy("leaf").count().collect()}         # at most BRANCH**DEEPEST rows
 
     def route(batches):
         for b in batches:
             x = from_bytes(b.column(1).to_pylist()) if b.num_rows else np.zeros((0, dim))
-            leaves = [tree.visits(q, most) for q in x]
+            leaves = [tree.visits(q, most, held, k + 1) for q in x]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(leaves, pa.list_(pa.int64()))],
                                              names=["q", "x", "leaves"])
 

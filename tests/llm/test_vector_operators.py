@@ -113,3 +113,13 @@ def test_few_candidates_and_ties(spark):
     out = ann.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 20).collect()
     assert [(r["rank"], r["vec_id"]) for r in sorted(out, key=lambda r: r["rank"])] == [(1, 1), (2, 3), (3, 2)]
     assert ann.search(spark.createDataFrame([], VECTORS), F.col("vec_id") == 20).count() == 0
+
+
+def test_full_answer_from_small_leaves(spark, monkeypatch):
+    """A few outliers in leaves of their own beside a hot group that sets the calibrated visits."""
+    monkeypatch.setattr(ann, "LEAF", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, 0.0, 0.0, 0.0], 1) for i in range(600)]
+    rows += [(600 + i, [float(x) for x in 40 * np.eye(4)[1 + i % 3] + rng.normal(size=4)], 1) for i in range(12)]
+    out = ann.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") >= 600).collect()
+    assert {i: sum(r["query_id"] == i for r in out) for i in range(600, 612)} == dict.fromkeys(range(600, 612), 20)
