@@ -6,7 +6,9 @@
 2. The 16 (p, q) candidates are an exploded literal array, so each
    (series, order) pair is its own row; ``mapInPandas`` fits them in
    Arrow batches spread over all cores / executors.
-3. The best order per series is a ``min_by`` on (AICc, p, q); the winner's
+3. The best order per series is a ``min_by`` on (AICc, p, q); where no order
+   has a score (short series) it is the seasonal naive forecast, with
+   ``skip_reason`` set.  The winner's
    forecast of the seasonally adjusted part plus the last season repeated is
    ``posexplode``d into dated rows.  In-sample fitted values come out the
    same way for residual-based reconciliation.
@@ -31,6 +33,18 @@ DECOMP_SCHEMA = ("unique_id string, cutoff date, first_ds date, last_ds date, d
                  "sa array<double>, seasonal array<double>")
 FIT_SCHEMA = ("unique_id string, cutoff date, first_ds date, last_ds date, d int, p int, q int, aicc double, "
               "fc array<double>, fitted array<double>, seasonal array<double>")
+NO_ORDER = "no_arima_order_scored"
+
+
+def _naive(sa: np.ndarray, seasonal: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forecast and fitted values of the adjusted series that, with the season added,
+    repeat the last full season, or the last day of a series shorter than that."""
+    y, n = sa + seasonal, len(sa)
+    lag = SEASON if n >= SEASON else 1
+    fc = sa[n - SEASON + np.arange(h) % SEASON] if n >= SEASON else np.full(h, y[-1])
+    fitted = np.full(n, np.nan)
+    fitted[lag:] = y[:n - lag] - seasonal[lag:]
+    return fc, fitted
 
 
 def _decompose(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -58,6 +72,8 @@ def _fit_batches(h: int):
             for r in pdf.itertuples(index=False):
                 sa = np.asarray(r.sa, dtype=float)
                 aicc, fc, fitted = arima.fit_forecast(sa, int(r.p), int(r.q), int(r.d), h)
+                if not np.isfinite(aicc):
+                    fc, fitted = _naive(sa, np.asarray(r.seasonal, dtype=float), h)
                 out.append({"unique_id": r.unique_id, "cutoff": r.cutoff, "first_ds": r.first_ds,
                             "last_ds": r.last_ds, "d": int(r.d), "p": int(r.p), "q": int(r.q),
                             "aicc": aicc if np.isfinite(aicc) else None,
@@ -76,21 +92,23 @@ def order_search(decomposed: DataFrame, h: int) -> DataFrame:
 
 def best_orders(fits: DataFrame) -> DataFrame:
     keep = F.struct("first_ds", "last_ds", "d", "p", "q", "aicc", "fc", "fitted", "seasonal")
-    best = fits.filter(F.col("aicc").isNotNull()).groupBy("unique_id", "cutoff").agg(
-        F.min_by(keep, F.struct("aicc", "p", "q")).alias("b"))
-    return best.select("unique_id", "cutoff", "b.*")
+    best = fits.groupBy("unique_id", "cutoff").agg(
+        F.min_by(keep, F.struct(F.col("aicc").isNull(), "aicc", "p", "q")).alias("b"))
+    return best.select("unique_id", "cutoff", "b.*").withColumn(
+        "skip_reason", F.when(F.col("aicc").isNull(), F.lit(NO_ORDER)))
 
 
 def forecast_rows(best: DataFrame, model_id: str = "MSTL") -> DataFrame:
     """Dated forecast rows: ARIMA path of the adjusted series + last season."""
     n = F.size("seasonal")
     out = best.select("unique_id", "cutoff", "last_ds", "seasonal", n.alias("_n"), "p", "q", "d",
-                      F.posexplode("fc").alias("_i", "_fc"))
+                      "skip_reason", F.posexplode("fc").alias("_i", "_fc"))
     phase = (F.col("_n") - SEASON) + (F.col("_i") % SEASON)
     seas = F.when(F.col("_n") >= SEASON, F.element_at("seasonal", (phase + 1).cast("int"))).otherwise(F.lit(0.0))
     return out.select("unique_id", "cutoff", F.date_add("last_ds", (F.col("_i") + 1).cast("int")).alias("ds"),
                       F.lit(model_id).alias("model_id"), (F.col("_fc") + seas).alias("yhat"),
-                      F.format_string("ARIMA(%d,%d,%d)", "p", "d", "q").alias("order"))
+                      F.when(F.col("skip_reason").isNull(), F.format_string("ARIMA(%d,%d,%d)", "p", "d", "q"))
+                      .otherwise("SeasonalNaive").alias("order"), "skip_reason")
 
 
 def fitted_rows(best: DataFrame) -> DataFrame:

@@ -141,3 +141,20 @@ def test_mint_shrink_matches_dense_and_is_coherent(spark):
     out = {r.unique_id: r.yhat for r in apply_mint(fc, mint_weights(gram, bridge), bridge).collect()}
     assert abs(out["total"] - sum(out[l] for l in leaves)) < 1e-9
     assert abs(out["total/a"] - out["total/a/l1"] - out["total/a/l2"]) < 1e-9
+
+
+def test_short_series_get_the_naive_forecast(spark):
+    from costweave.forecast.mstl_forecast import mstl_arima
+    start = dt.date(2020, 1, 1)
+    size = {"one": 1, "three": 3, "eight": 8, "long": 120}
+    rows = [(u, start + dt.timedelta(days=i), 10.0 + i % 7 + i / 10) for u, n in size.items() for i in range(n)]
+    fc, fit = mstl_arima(spark.createDataFrame(rows, "unique_id string, ds date, y double"), 14)
+    got = {}
+    for r in sorted(fc.collect(), key=lambda r: (r.unique_id, r.ds)):
+        got.setdefault(r.unique_id, []).append(r)
+    assert {u: len(x) for u, x in got.items()} == dict.fromkeys(size, 14)
+    assert all((r.skip_reason is None) == (u == "long") for u, x in got.items() for r in x)
+    y = {u: [r[2] for r in rows if r[0] == u] for u in size}
+    assert np.allclose([r.yhat for r in got["three"]], y["three"][-1]) and np.allclose([r.yhat for r in got["one"]], 10.0)
+    assert np.allclose([r.yhat for r in got["eight"]], (y["eight"][-7:] * 2))
+    assert got["eight"][0].ds == start + dt.timedelta(days=8) and fit.filter("fitted IS NULL").count() == 0
