@@ -1,13 +1,13 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by exact windows of line hashes.
 
-Fingerprints are grams of ``GRAM`` line hashes; of every ``WINNOW``
-consecutive grams the smallest is selected (the rightmost of equals), so any
-repeated run of at least ``GRAM + WINNOW - 1`` lines shares a selected one.
-Positions are joined on the fingerprint together with the lines that extend
-it on both sides to that guaranteed length: the first occurrence in (doc_id,
-line) order stays, the others are repeats.  A longer match is found as
-consecutive repeats and merged into one run; the run is deleted from every
-later place, also from a later place in the same document.
+Every window of ``RUN = GRAM + WINNOW - 1`` lines is an entry.  It is named by
+the hash of all its lines; the smallest of its ``WINNOW`` grams of ``GRAM`` line
+hashes (the rightmost of equals) only decides where entries meet.  This stands in
+for winnowing: no fingerprints are thinned out and no match is extended, so more
+is exchanged, but any repeated run of at least ``RUN`` lines is found.  The first
+occurrence in (doc_id, line) order stays, the others are repeats.  A longer match
+is found as consecutive repeats and merged into one run; the run is deleted from
+every later place, also from a later place in the same document.
 
 Defined cases: lines end at ``\\n`` and compare byte by byte; a run of blank
 lines alone is no content and stays; a null text has no lines and stays
@@ -34,7 +34,7 @@ _C = odd_constants(16, 23)
 
 
 def _line_entries(batches):
-    """For each run-length window of a document: its selected fingerprint (k1),
+    """For each run-length window of a document: its smallest gram (k1),
     the name of all its lines (k2) and its first line."""
     f = xxhash.xxh3_64_intdigest
     for ids, texts in text_batches(batches):
