@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL."""
+"""The registered queries of the operators and their SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, langid, lines, minhash, near_vectors, packing, sharding, substring
+from . import ann, bpe, chat, langid, lines, minhash, near_vectors, packing, sharding, substring, urls, vector_codes, whitening
 from .common import read_table
 
 JSON_50K = public_tokenizers.path("byte_bpe_50k.json")
@@ -164,3 +164,71 @@ def op10_language_id(spark, sf_dir):
     model = langid.train(docs)
     return langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+#: host rules of the URL filter: verdict, host, path
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+SPAM_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."            # pages of these hosts make up the list of URLs
+
+
+@query("op11_url_filter", sql=r"""
+WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+u AS (SELECT page_id, rest,
+        coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM a),
+k AS (SELECT *, CASE WHEN rest IS NOT NULL THEN regexp_replace(host, '^www\.|:(80|443)$', '', 'g') || regexp_replace(path, '/+$', '')
+        || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+             lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') END AS key FROM u),
+listed AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills)\.') AND key IS NOT NULL),
+r AS (SELECT *, CASE
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM k)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM r LEFT JOIN listed ON r.key = listed.key""")
+def op11_url_filter(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(urls.host_of(F.col("url")).rlike(SPAM_HOSTS)).select("url")
+    return urls.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def _code_rounds_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain Lloyd rounds over all pairs of a part and an entry (vectors of one length)."""
+    nearest = ("SELECT vec_id, part, (min({{'d': d, 'entry': entry}})).entry AS entry, min(d) AS d FROM (SELECT x.vec_id, x.part, b.entry, "
+               "list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d "
+               "FROM x JOIN b{k} b USING (part)) GROUP BY vec_id, part")
+    sql = f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c)))),
+x AS MATERIALIZED (SELECT vec_id, part, list_slice(w, part * len(w) // {parts} + 1, (part + 1) * len(w) // {parts}) AS v
+  FROM (SELECT vec_id, w, unnest(range({parts})) AS part FROM v)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v FROM x
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= {entries})"""
+    for k in range(rounds):
+        sql += f""",
+a{k} AS MATERIALIZED ({nearest.format(k=k)}),
+m{k} AS (SELECT part, entry, list(m ORDER BY i) AS v FROM (
+  SELECT part, entry, i, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS m FROM (
+    SELECT x.part, entry, unnest(v) AS c, unnest(range(len(v))) AS i FROM x JOIN a{k} USING (vec_id, part)) GROUP BY part, entry, i)
+  GROUP BY part, entry),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.v::BIGINT[], b{k}.v) AS v FROM b{k} LEFT JOIN m{k} USING (part, entry))"""
+    return sql + f""",
+z AS MATERIALIZED ({nearest.format(k=rounds)}),
+c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM z GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM c JOIN v USING (vec_id), h"""
+
+
+@query("op13_vector_codes", sql=_code_rounds_sql())
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
