@@ -1,27 +1,28 @@
-"""Tree reconciliation with a diagonal weight matrix (WLS), as joins.
+"""Tree reconciliation with a diagonal weight matrix (WLS), as windows.
 
 With a diagonal W the GLS projection on a tree has a closed form: an
 up-pass combines each node's own forecast (variance w) with the sum of its
 children's estimates (variance sum v_child) by inverse-variance weighting,
 and a down-pass hands each parent's final value back to its children in
-proportion to their v.  That is one groupBy + join per level in each
-direction (4 levels -> 8 steps), keyed by (node, day, model); no summing
-matrix and no driver-side solve, for any number of series.
+proportion to their v.  No summing matrix and no solve, for any number of
+series and days.
+
+All rows of one (day, model[, cutoff]) are brought together once; a step of a
+pass is a window over a parent and its children inside that partitioning, so
+the eight steps are sorts without a further shuffle.  A window holds the
+children of one node; days x models x cutoffs spread the work.
 
 ``structural_weights`` gives wls_struct (w = number of leaves under the
-node); any per-node variance frame can be passed instead (wls_var).
-The reference's non-negative option is approximated by clipping leaves at
-0 and summing up again (coherent and non-negative, not the constrained
-optimum).
+node); ``baseline.residual_variances`` gives wls_var, per cutoff where asked.
+``nonnegative`` clips leaves at 0 and sums up again (coherent and
+non-negative, not the constrained optimum).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 MAX_DEPTH = 4
 KEYS = ["ds", "model_id"]
 
@@ -39,51 +40,50 @@ def structural_weights(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("unique_id").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS", extra_keys: list[str] | None = None) -> DataFrame:
-    """``extra_keys`` (e.g. ``["cutoff"]``) reconcile every backtest window on
-    its own, as further group keys rather than a loop."""
+def wls_tree(fc: DataFrame, weights: DataFrame, suffix: str = "/WLS", extra_keys: list[str] | None = None,
+             nonnegative: bool = False) -> DataFrame:
+    """``weights``: unique_id, w and any of the keys that w depends on.  ``extra_keys``
+    (e.g. ``["cutoff"]``) reconcile every backtest window on its own, as further
+    group keys rather than a loop."""
     keys = KEYS + list(extra_keys or [])
-    return _wls_tree(fc, weights, suffix, keys)
-
-
-def _wls_tree(fc: DataFrame, weights: DataFrame, suffix: str, keys: list[str]) -> DataFrame:
-    # The base forecasts feed all eight steps: checkpoint them (reliable
-    # storage under spark.checkpoint.dir) so each step does not replay the
-    # whole upstream plan, and the lineage stays short if executors are lost.
-    base = cut_lineage(fc.join(weights, "unique_id")
-                       .select("unique_id", *keys, "yhat", "w", _depth().alias("depth"), _parent().alias("parent")))
-    levels: dict[int, DataFrame] = {}
-    up = base.filter(F.col("depth") == MAX_DEPTH).select(
-        "unique_id", "parent", *keys, F.col("yhat").alias("est"), F.col("w").alias("v"))
-    levels[MAX_DEPTH] = up
-    for d in range(MAX_DEPTH - 1, -1, -1):
-        kids = up.groupBy(F.col("parent").alias("unique_id"), *keys).agg(
-            F.sum("est").alias("se"), F.sum("v").alias("sv"))
-        node = base.filter(F.col("depth") == d).join(kids, ["unique_id", *keys], "left")
-        v = F.when(F.col("sv").isNull(), F.col("w")).otherwise(1.0 / (1.0 / F.col("w") + 1.0 / F.col("sv")))
-        est = F.when(F.col("sv").isNull(), F.col("yhat")).otherwise(
-            v * (F.col("yhat") / F.col("w") + F.col("se") / F.col("sv")))
-        up = node.select("unique_id", "parent", *keys, est.alias("est"), v.alias("v"))
-        levels[d] = up
-    final = levels[0].select("unique_id", *keys, F.col("est").alias("yhat"))
-    out = [final]
+    width = int(fc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = fc.join(weights, [c for c in weights.columns if c != "w"]).select(
+        "unique_id", *keys, "yhat", F.col("w").alias("v"), _depth().alias("depth"), _parent().alias("parent"))
+    rows = rows.withColumn("est", F.col("yhat")).withColumn("w", F.col("v")).repartition(width, *keys)
+
+    def family(d):
+        """A node at depth d - 1 and its children (any other row: alone)."""
+        return Window.partitionBy(*keys, F.when(F.col("depth") == d, F.col("parent")).otherwise(F.col("unique_id")))
+
+    child = lambda d, c: F.sum(F.when(F.col("depth") == d, F.col(c))).over(family(d))
+    for d in range(MAX_DEPTH, 0, -1):
+        rows = rows.withColumns({"se": child(d, "est"), "sv": child(d, "v")})
+        mine = (F.col("depth") == d - 1) & F.col("sv").isNotNull()
+        v = 1.0 / (1.0 / F.col("w") + 1.0 / F.col("sv"))
+        rows = rows.select("unique_id", *keys, "yhat", "w", "depth", "parent",
+                           F.when(mine, v * (F.col("yhat") / F.col("w") + F.col("se") / F.col("sv"))).otherwise(F.col("est")).alias("est"),
+                           F.when(mine, v).otherwise(F.col("v")).alias("v"))
     for d in range(1, MAX_DEPTH + 1):
-        lv = levels[d]
-        sib = lv.groupBy("parent", *keys).agg(F.sum("est").alias("se"), F.sum("v").alias("sv"))
-        pf = final.select(F.col("unique_id").alias("parent"), *keys, F.col("yhat").alias("pf"))
-        j = lv.join(sib, ["parent", *keys]).join(pf, ["parent", *keys])
-        final = j.select("unique_id", *keys,
-                         (F.col("est") + F.col("v") / F.col("sv") * (F.col("pf") - F.col("se"))).alias("yhat"))
-        out.append(final)
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res.withColumn("model_id", F.concat("model_id", F.lit(suffix)))
-
-
-def clip_nonnegative(reconciled: DataFrame, bridge: DataFrame) -> DataFrame:
+        above = F.max(F.when(F.col("depth") == d - 1, F.col("est"))).over(family(d))
+        rows = rows.withColumns({"above": above, "se": child(d, "est"), "sv": child(d, "v")})
+        mine = (F.col("depth") == d) & F.col("above").isNotNull()
+        rows = rows.withColumn("est", F.when(mine, F.col("est") + F.col("v") / F.col("sv") * (F.col("above") - F.col("se")))
+                               .otherwise(F.col("est")))
+    out = rows.select("unique_id", *keys, F.col("est").alias("yhat"))
+    if nonnegative:
+        out = clip_nonnegative(out, keys)
+    return out.withColumn("model_id", F.concat("model_id", F.lit(suffix)))
+
+
+def ancestors(unique_id):
+    """All prefixes of a path, itself included."""
+    parts = F.split(unique_id, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+
+
+def clip_nonnegative(reconciled: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Leaves clipped at 0, every node re-summed from its leaves."""
-    leaves = reconciled.filter(_depth() == MAX_DEPTH).withColumn("yhat", F.greatest("yhat", F.lit(0.0)))
-    b = bridge.select(F.col("bottom_id").alias("unique_id"), F.col("unique_id").alias("_anc"))
-    return (leaves.join(b, "unique_id").groupBy(F.col("_anc").alias("unique_id"), *KEYS)
-            .agg(F.sum("yhat").alias("yhat")))
+    keys = keys or KEYS
+    leaves = reconciled.filter(_depth() == MAX_DEPTH).select(
+        F.explode(ancestors(F.col("unique_id"))).alias("unique_id"), *keys, F.greatest("yhat", F.lit(0.0)).alias("yhat"))
+    return leaves.groupBy("unique_id", *keys).agg(F.sum("yhat").alias("yhat"))

@@ -9,7 +9,7 @@ the very end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -90,6 +90,47 @@ def mape_rmse(df: DataFrame, keys: list[str], y: str = "y", yhat: str = "yhat")
         F.sqrt(F.sum(_exact(err * err)).cast("double") / F.count(F.lit(1))).alias("rmse"))
 
 
+def accuracy(df: DataFrame, keys: list[str], bucket: str, y: str = "y", yhat: str = "yhat") -> DataFrame:
+    """WAPE, MAPE and RMSE by keys (null bucket) and by keys and bucket, one
+    grouping-sets pass; rows without an actual don't count, nor a null bucket."""
+    err = F.col(yhat) - F.col(y)
+    ape = F.try_divide(F.abs(err), F.abs(F.col(y)))
+    den = F.sum(_exact(F.abs(F.col(y)))).cast("double")
+    g = df.groupingSets([keys, [*keys, bucket]], *keys, bucket).agg(
+        F.when(den != 0, F.sum(_exact(F.abs(err))).cast("double") / den).alias("wape"),
+        (F.sum(_exact(ape, 10)).cast("double") / F.count(ape)).alias("mape"),
+        F.sqrt(F.sum(_exact(err * err)).cast("double") / F.count(err)).alias("rmse"),
+        F.grouping(bucket).alias("_overall"))
+    return g.filter((F.col("_overall") == 1) | F.col(bucket).isNotNull()).drop("_overall")
+
+
+def anomalies(series: DataFrame, keys: list[str], carry: list[str], days: int = 28, least: float = 3.5, high: float = 7.0,
+              ds: str = "ds", y: str = "y") -> DataFrame:
+    """Days that stand out from the ``days`` before (an even number; days with a shorter past aren't judged).
+
+    Robust score: distance to the median over 1.4826 times the median absolute
+    deviation; where more than half of the past days are equal (that deviation is zero) over 1.2533 times the
+    mean absolute deviation; where all are equal any other value is an anomaly, with a
+    null score and severity high.  ``basis`` says which (mad, mean, flat)."""
+    past = Window.partitionBy(*keys).orderBy(ds).rowsBetween(-days, -1)
+    half = days // 2
+    mid = lambda a: (F.get(a, half - 1) + F.get(a, half)) / 2
+    once = lambda df, *cols: df.select(*keys, *carry, ds, y, F.explode(F.array(F.struct(*cols))).alias("_v")).select(
+        *keys, *carry, ds, y, "_v.*")           # a generator keeps the optimizer from repeating an expression where it is used
+    f = once(series.withColumn("_a", F.collect_list(y).over(past)).filter(F.size("_a") == days), F.sort_array("_a").alias("_a"))
+    f = once(f, F.col("_a"), mid(F.col("_a")).alias(f"median_{days}"))
+    f = once(f, F.col(f"median_{days}"), F.sort_array(F.transform("_a", lambda x: F.abs(x - F.col(f"median_{days}")))).alias("_dev"))
+    mean = F.aggregate("_dev", F.lit(0.0), lambda s, x: s + x) / days
+    f = once(f, F.col(f"median_{days}"), mid(F.col("_dev")).alias("_mad"), mean.alias("_mean"))
+    f = f.withColumns({"basis": F.when(F.col("_mad") > 0, "mad").when(F.col("_mean") > 0, "mean").otherwise("flat"),
+                       "spread": F.when(F.col("_mad") > 0, 1.4826 * F.col("_mad")).when(F.col("_mean") > 0, 1.2533 * F.col("_mean"))})
+    impact = F.col(y) - F.col(f"median_{days}")
+    f = f.withColumns({"anomaly_score": impact / F.col("spread"), "impact": impact})
+    flat = F.col("spread").isNull()
+    f = f.filter(F.when(flat, F.col("impact") != 0).otherwise(F.abs("anomaly_score") > least))
+    return f.drop("_mad", "_mean").withColumn("severity", F.when(flat | (F.abs("anomaly_score") > high), "high").otherwise("medium"))
+
+
 def period_bounds(df: DataFrame, date_col: str, distinct_cols: list[str]) -> DataFrame:
     return df.agg(F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
                   F.count(F.lit(1)).alias("rows"),

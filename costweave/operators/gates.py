@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -81,3 +81,33 @@ def error_array(rules: dict[str, Column]) -> Column:
     """Per-row list of failed rule names (the silver ``validation_errors``)."""
     arr = F.array(*[F.when(pred, F.lit(name)) for name, pred in rules.items()])
     return F.filter(arr, lambda x: x.isNotNull())
+
+
+def validated(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Every row with ``validation_errors`` (names of the rules it breaks) and ``is_valid``."""
+    return df.withColumn("validation_errors", error_array(rules)).withColumn("is_valid", F.size("validation_errors") == 0)
+
+
+def verdict(rows: DataFrame, table: str) -> DataFrame:
+    """One row over validated rows: PASSED only if there are rows and all are valid."""
+    g = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_valid").alias("valid_rows"))
+    return g.select(F.lit(table).alias("table_name"), "rows", "valid_rows",
+                    F.round(F.try_divide(F.col("valid_rows") * 100.0, F.col("rows")), 2).alias("valid_pct"),
+                    F.when(F.col("rows") == 0, "EMPTY").when(F.col("rows") == F.col("valid_rows"), "PASSED").otherwise("FAILED").alias("verdict"))
+
+
+def rule_verdicts(rules: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """One row a rule: rows checked, violations, passed (something was checked and nothing found)."""
+    each = [df.agg(F.count(F.lit(1)).alias("checked"), F.count_if(pred).alias("violations")).select(F.lit(name).alias("rule"), "*")
+            for name, (df, pred) in rules.items()]
+    return reduce(lambda a, b: a.unionByName(b), each).withColumn("passed", (F.col("checked") > 0) & (F.col("violations") == 0))
+
+
+def all_empty_report(rows: DataFrame, table_col: str, expected: list[str]) -> DataFrame:
+    """Rows of every expected table and whether all of them are empty, from one pass
+    over the tables' union."""
+    names = rows.sparkSession.createDataFrame([(n,) for n in expected], "table_name string")
+    n = rows.groupBy(F.col(table_col).alias("table_name")).agg(F.count(F.lit(1)).alias("rows"))
+    out = names.join(n, "table_name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    # a row for each expected table
+    return out.withColumn("all_empty", F.sum("rows").over(Window.partitionBy()) == 0)

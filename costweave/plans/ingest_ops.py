@@ -316,6 +316,61 @@ def q_capacity_chargeback(spark, root):
                     share.alias("cu_share"), (share * 100.0).alias("charged_amount"))
 
 
+# a capacity-day costs 100.00: cents to workspaces, then each workspace's cents to its items
+CAPACITY_CENTS = 10000
+_SHARES_SQL = _C + """
+, it AS (SELECT usage_date, capacity_id, workspace_id, item_id, CAST(sum(cu_s) * 100 AS HUGEINT) AS wt FROM fact GROUP BY 1, 2, 3, 4)
+, ws AS (SELECT usage_date, capacity_id, workspace_id, sum(wt) AS wt FROM it GROUP BY 1, 2, 3)
+, w1 AS (SELECT *, sum(wt) OVER g AS tot, count(*) OVER g AS k FROM ws WINDOW g AS (PARTITION BY usage_date, capacity_id))
+, w2 AS (SELECT *, CASE WHEN tot > 0 THEN wt ELSE 1 END AS v, CASE WHEN tot > 0 THEN tot ELSE k END AS t FROM w1)
+, w3 AS (SELECT *, 10000 * v // t AS whole, 10000 * v - (10000 * v // t) * t AS rest FROM w2)
+, w4 AS (SELECT *, 10000 - sum(whole) OVER g AS spare, row_number() OVER (PARTITION BY usage_date, capacity_id ORDER BY rest DESC, workspace_id) AS nth
+         FROM w3 WINDOW g AS (PARTITION BY usage_date, capacity_id))
+, wsc AS (SELECT usage_date, capacity_id, workspace_id, whole + CASE WHEN nth <= spare THEN 1 ELSE 0 END AS cents FROM w4)
+, i1 AS (SELECT it.*, cents, sum(wt) OVER g AS tot, count(*) OVER g AS k FROM it JOIN wsc USING (usage_date, capacity_id, workspace_id)
+         WINDOW g AS (PARTITION BY usage_date, capacity_id, workspace_id))
+, i2 AS (SELECT *, CASE WHEN tot > 0 THEN wt ELSE 1 END AS v, CASE WHEN tot > 0 THEN tot ELSE k END AS t FROM i1)
+, i3 AS (SELECT *, cents * v // t AS whole, cents * v - (cents * v // t) * t AS rest FROM i2)
+, i4 AS (SELECT *, cents - sum(whole) OVER g AS spare,
+                row_number() OVER (PARTITION BY usage_date, capacity_id, workspace_id ORDER BY rest DESC, item_id) AS nth
+         FROM i3 WINDOW g AS (PARTITION BY usage_date, capacity_id, workspace_id))
+, itc AS (SELECT usage_date, capacity_id, workspace_id, item_id, wt, cents, whole + CASE WHEN nth <= spare THEN 1 ELSE 0 END AS item_cents FROM i4)
+"""
+
+
+def _item_shares(spark, root):
+    from ..operators.allocate import share_exactly
+    f = X.capacity_fact(spark, root)
+    day = ["usage_date", "capacity_id"]
+    items = f.groupBy(*day, "workspace_id", "item_id").agg((F.sum("cu_s") * 100).cast("decimal(38,0)").alias("weight"))
+    ws = items.groupBy(*day, "workspace_id").agg(F.sum("weight").alias("ws_weight")).withColumn("price", F.lit(CAPACITY_CENTS))
+    ws = share_exactly(ws, day, ["workspace_id"], "ws_weight", "price", "workspace_cents")
+    j = items.join(ws.select(*day, "workspace_id", "workspace_cents"), [*day, "workspace_id"])
+    return share_exactly(j, [*day, "workspace_id"], ["item_id"], "weight", "workspace_cents", "item_cents")
+
+
+@query("capacity_chargeback_items", _SHARES_SQL + """
+SELECT usage_date, capacity_id, workspace_id, item_id, CAST(wt AS DOUBLE) / 100 AS cu_s, CAST(cents AS DOUBLE) / 100 AS workspace_amount,
+       CAST(item_cents AS DOUBLE) / 100 AS amount FROM itc""")
+def q_capacity_chargeback_items(spark, root):
+    """The capacity's money by workspace and item, largest remainders first: shares add
+    up to the cent at both levels."""
+    return _item_shares(spark, root).select(
+        "usage_date", "capacity_id", "workspace_id", "item_id", (_d("weight") / 100).alias("cu_s"),
+        (_d("workspace_cents") / 100).alias("workspace_amount"), (_d("item_cents") / 100).alias("amount"))
+
+
+@query("capacity_chargeback_check", _SHARES_SQL + """
+SELECT usage_date, capacity_id, count(*) AS items, CAST(sum(item_cents) AS DOUBLE) / 100 AS charged, sum(item_cents) = 10000 AS conserved
+FROM itc GROUP BY 1, 2""")
+def q_capacity_chargeback_check(spark, root):
+    """Items' money of every capacity-day against the capacity's price."""
+    g = _item_shares(spark, root).groupBy("usage_date", "capacity_id").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("item_cents").alias("cents"))
+    return g.select("usage_date", "capacity_id", "items", (_d("cents") / 100).alias("charged"),
+                    (F.col("cents") == CAPACITY_CENTS).alias("conserved"))
+
+
 # ------------------------------------------------------------------ containers
 _K = w(("containers", O.CONTAINERS))
 _CAT_SQL = """CASE lower(type) WHEN 'microsoft.management/managementgroups' THEN 'management_group'
@@ -463,58 +518,69 @@ def q_pipeline_top_results(spark, root):
     return g.orderBy(F.col("associations").desc(), "result").limit(10)
 
 
-# cost of a resource in a month, shared over the pipelines that touched it: units of
-# 1/10000, the first pipelines by name take the units that do not divide evenly
-_LINEAGE = w(("items", O.PIPELINE_ITEMS), ("focus", O.FOCUS)) + """
-, pairs AS (SELECT *, row_number() OVER (PARTITION BY resource ORDER BY pipeline_name) AS nth,
-                   count(*) OVER (PARTITION BY resource) AS n
-            FROM (SELECT DISTINCT 'res-' || CAST(work_item_id AS VARCHAR) AS resource, pipeline_name FROM items))
+# cost of a resource in a month, shared over the work items of the run that deployed it: units
+# of 1/10000, the first work items take the units that do not divide evenly; what no known
+# run carries stays as "unallocated"
+_LINEAGE = w(("items", O.PIPELINE_ITEMS), ("focus", O.FOCUS), ("tagged", O.RESOURCE_TAGS)) + """
+, deployed AS (SELECT ResourceId, CASE WHEN json_valid(tags) THEN json_extract_string(tags, '$.pipeline_run_id') END AS run FROM tagged)
+, work AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY work_item_id) AS nth, count(*) OVER (PARTITION BY run) AS n
+           FROM (SELECT DISTINCT CAST(run_id AS VARCHAR) AS run, pipeline_name, work_item_id FROM items))
 , cost AS (SELECT ResourceId, date_trunc('month', ChargePeriodStart)::DATE AS month,
                   CAST(sum(BilledCost) * 10000 AS BIGINT) AS units FROM focus GROUP BY 1, 2)
-, shared AS (SELECT c.month, p.pipeline_name, c.ResourceId,
-                    (c.units - ((c.units % p.n) + p.n) % p.n) // p.n
-                    + CASE WHEN p.nth <= ((c.units % p.n) + p.n) % p.n THEN 1 ELSE 0 END AS units
-             FROM cost c JOIN pairs p ON c.ResourceId = p.resource)
+, shared AS (SELECT c.month, coalesce(w.pipeline_name, 'unallocated') AS pipeline_name, w.work_item_id,
+                    CASE WHEN w.n IS NULL THEN c.units ELSE (c.units - ((c.units % w.n) + w.n) % w.n) // w.n
+                         + CASE WHEN w.nth <= ((c.units % w.n) + w.n) % w.n THEN 1 ELSE 0 END END AS units
+             FROM cost c LEFT JOIN deployed d ON c.ResourceId = d.ResourceId LEFT JOIN work w ON d.run = w.run)
 """
+UNALLOCATED = "unallocated"
 
 
 def _lineage(spark, root):
-    """(month, pipeline_name, ResourceId, units): each resource's monthly cost shared over its pipelines."""
-    pairs = X.pipeline_items(spark, root).select(
-        F.concat(F.lit("res-"), F.col("work_item_id").cast("string")).alias("ResourceId"), "pipeline_name").distinct()
-    mine = Window.partitionBy("ResourceId")
-    pairs = pairs.withColumn("nth", F.row_number().over(mine.orderBy("pipeline_name"))).withColumn(
-        "n", F.count(F.lit(1)).over(mine))
+    """((month, pipeline_name, work_item_id, units), cost): each resource's monthly cost, by its
+    run tag, shared over the run's work items.  Only left joins, so nothing is lost."""
+    tags = X.resource_tags(spark, root).select("ResourceId", F.get_json_object("tags", "$.pipeline_run_id").alias("run"))
+    work = X.pipeline_items(spark, root).select(F.col("run_id").cast("string").alias("run"), "pipeline_name", "work_item_id").distinct()
+    mine = Window.partitionBy("run")                       # the work items of one run
+    work = work.withColumn("nth", F.row_number().over(mine.orderBy("work_item_id"))).withColumn("n", F.count(F.lit(1)).over(mine))
     cost = X.focus(spark, root).groupBy("ResourceId", F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month")).agg(
         (F.sum("BilledCost") * 10000).cast("long").alias("units"))
-    left = F.pmod("units", "n")
-    share = F.expr("(units - pmod(units, n)) div n") + (F.col("nth") <= left).cast("long")
-    return cost.join(pairs, "ResourceId").select("month", "pipeline_name", "ResourceId", share.alias("units")), cost
+    # a resource without a usable tag joins no run: null never equals, and no window sees it
+    owners = tags.join(work, "run").select("ResourceId", "pipeline_name", "work_item_id", "nth", "n")
+    share = F.expr("(units - pmod(units, n)) div n") + (F.col("nth") <= F.pmod("units", "n")).cast("long")
+    shared = cost.join(owners, "ResourceId", "left").select(
+        "month", F.coalesce("pipeline_name", F.lit(UNALLOCATED)).alias("pipeline_name"), "work_item_id",
+        F.coalesce(share, F.col("units")).alias("units"))
+    return shared, cost
 
 
 @query("resource_lineage", _LINEAGE + """
-SELECT month, pipeline_name, count(*) AS work_items, CAST(sum(units) AS DOUBLE) / 10000 AS attributed_cost
+SELECT month, pipeline_name, count(DISTINCT work_item_id) AS work_items, CAST(sum(units) AS DOUBLE) / 10000 AS cost
 FROM shared GROUP BY 1, 2""")
 def q_resource_lineage(spark, root):
-    """Resources (work items) -> pipelines -> the resource's cost of the month,
-    shared so that what is attributed sums to what was billed."""
-    return _lineage(spark, root)[0].groupBy("month", "pipeline_name").agg(
-        F.count(F.lit(1)).alias("work_items"), (_d(F.sum("units")) / 10000).alias("attributed_cost"))
+    """Resources -> pipeline run (JSON tag) -> work items: the month's cost by pipeline,
+    with a line for what is unallocated."""
+    # once per work item first, so the count below is a count and not a distinct over raw shares
+    per = _lineage(spark, root)[0].groupBy("month", "pipeline_name", "work_item_id").agg(F.sum("units").alias("units"))
+    return per.groupBy("month", "pipeline_name").agg(F.count("work_item_id").alias("work_items"),
+                                                     (_d(F.sum("units")) / 10000).alias("cost"))
 
 
 @query("lineage_conservation", _LINEAGE + """
-SELECT c.month, c.units AS billed_units, CAST(coalesce(s.units, 0) AS BIGINT) AS attributed_units,
-       c.units = coalesce(s.units, 0) AS conserved
+SELECT c.month, c.units AS billed_units, CAST(s.a AS BIGINT) AS attributed_units, CAST(s.u AS BIGINT) AS unallocated_units,
+       c.units = s.a + s.u AS conserved
 FROM (SELECT month, CAST(sum(units) AS BIGINT) AS units FROM cost GROUP BY 1) c
-LEFT JOIN (SELECT month, sum(units) AS units FROM shared GROUP BY 1) s ON c.month = s.month""")
+JOIN (SELECT month, coalesce(sum(units) FILTER (pipeline_name <> 'unallocated'), 0) AS a,
+             coalesce(sum(units) FILTER (pipeline_name = 'unallocated'), 0) AS u FROM shared GROUP BY 1) s ON c.month = s.month""")
 def q_lineage_conservation(spark, root):
-    """Billed against attributed cost of every month, in units of 1/10000."""
+    """billed = attributed + unallocated for every month, in units of 1/10000."""
     shared, cost = _lineage(spark, root)
-    attributed = shared.groupBy("month").agg(F.sum("units").alias("attributed_units"))
+    none = F.col("pipeline_name") == UNALLOCATED
+    part = lambda p: F.coalesce(F.sum(F.when(p, F.col("units"))), F.lit(0)).cast("long")
+    lines = shared.groupBy("month").agg(part(~none).alias("attributed_units"), part(none).alias("unallocated_units"))
     billed = cost.groupBy("month").agg(F.sum("units").alias("billed_units"))
-    units = F.coalesce("attributed_units", F.lit(0))
-    return billed.join(attributed, "month", "left").select(
-        "month", "billed_units", units.alias("attributed_units"), (F.col("billed_units") == units).alias("conserved"))
+    return billed.join(lines, "month", "left").select(
+        "month", "billed_units", "attributed_units", "unallocated_units",
+        (F.col("billed_units") == F.col("attributed_units") + F.col("unallocated_units")).alias("conserved"))
 
 
 # ------------------------------------------------------------------ directory

@@ -115,8 +115,7 @@ SELECT 'user-' || CAST(c.c_custkey AS VARCHAR) AS user_login,
 FROM customer c
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
-LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_activity_at FROM orders
-           WHERE o_orderpriority = '2-HIGH' GROUP BY o_custkey) h ON c.c_custkey = h.o_custkey
+LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_activity_at FROM orders GROUP BY o_custkey) h ON c.c_custkey = h.o_custkey
 """
 
 GRAINS = """
@@ -236,12 +235,27 @@ FROM orders
 """
 EDGE_CUSTOMERS = """
 SELECT 'CUST-' || CAST(c_custkey AS VARCHAR) AS customer_id, 'NAT-' || CAST(c_nationkey AS VARCHAR) AS nation_id FROM customer
-WHERE c_custkey % 100 <> 1
 """
 EDGE_NATIONS = """
 SELECT 'NAT-' || CAST(n_nationkey AS VARCHAR) AS nation_id, 'REG-' || CAST(n_regionkey AS VARCHAR) AS region_id FROM nation
 """
 
+EDGE_SUPPLIERS = """
+SELECT 'SUPP-' || CAST(s_suppkey AS VARCHAR) AS supplier_id, 'NAT-' || CAST(s_nationkey AS VARCHAR) AS nation_id FROM supplier
+"""
+EDGE_PARTS = "SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS part_id, p_brand AS brand_id FROM part"
+EDGE_EVENTS = "SELECT 'EV-' || CAST(event_id AS VARCHAR) AS event_id, 'CUST-' || CAST(user_id AS VARCHAR) AS customer_id FROM events"
+EDGE_PAGES = "SELECT 'PAGE-' || CAST(page_id AS VARCHAR) AS page_id, regexp_extract(url, '://([^/?#]*)', 1) AS host_id FROM pages"
+EDGE_LABELS = "SELECT 'DOC-' || CAST(doc_id AS VARCHAR) AS document_id, 'Q-' || CAST(quality AS VARCHAR) AS quality_id FROM labels"
+
+RESOURCE_TAGS = """
+SELECT 'res-' || CAST(l_partkey AS VARCHAR) AS ResourceId,
+       CASE l_partkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '{"pipeline_run_id":'
+            WHEN 2 THEN '{"pipeline_run_id":"gone-' || CAST(min(l_orderkey) AS VARCHAR) || '"}'
+            ELSE '{"owner":"team","pipeline_run_id":"' || CAST(min(l_orderkey) AS VARCHAR) || '"}' END AS tags
+FROM lineitem GROUP BY l_partkey
+"""
+
 USAGE_PACKED = """
 SELECT tenant_id, subscription_id, usage_day, CAST(usage_day AS TIMESTAMP) AS first_hour,
        list(CAST(coalesce(hourly_charge, 0) AS DECIMAL(18,4)) ORDER BY h) AS charges,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..forecast.synth import synthesise_history
 from ..functions.tags import UNTAGGED_ID, service_id, split_path
 from ..operators import landing as L
+from ..operators.allocate import allocate_or_keep
 from ..sources import fixtures as X
 from . import oracle_adapters as O
 from .registry import query
@@ -273,24 +274,22 @@ def q_enrich_org(spark, root):
 , rt AS (SELECT resource_id, month, sum(cost) AS total FROM rc GROUP BY 1, 2)
 , em AS (SELECT resource_id, report_month AS month, sum(CAST(latest_month_emissions AS DECIMAL(38,6))) AS emissions
          FROM carbon GROUP BY 1, 2)
-SELECT rc.service_id, rc.month,
-       CAST(sum(CAST(CAST(em.emissions AS DOUBLE) * CAST(rc.cost AS DOUBLE) / CAST(rt.total AS DOUBLE) AS DECIMAL(38,6))) AS DOUBLE) AS allocated_emissions
-FROM rc JOIN rt ON rc.resource_id = rt.resource_id AND rc.month = rt.month
-JOIN em ON rc.resource_id = em.resource_id AND rc.month = em.month
-WHERE rt.total <> 0 GROUP BY 1, 2""")
+SELECT coalesce(rc.service_id, 'unallocated') AS service_id, em.month,
+       CAST(sum(CAST(CAST(em.emissions AS DOUBLE) * coalesce(CAST(rc.cost AS DOUBLE) / CAST(rt.total AS DOUBLE), 1.0) AS DECIMAL(38,6))) AS DOUBLE) AS allocated_emissions
+FROM em LEFT JOIN (SELECT * FROM rt WHERE total <> 0) rt ON rt.resource_id = em.resource_id AND rt.month = em.month
+LEFT JOIN rc ON rc.resource_id = rt.resource_id AND rc.month = rt.month
+GROUP BY 1, 2""")
 def q_emissions_allocated(spark, root):
     """Each resource's monthly emissions split over the Service_IDs that
-    carry its cost, in proportion to cost.  Both sides are aggregated to
-    resource x month before the join."""
+    carry its cost, in proportion to cost; without cost that month they stay
+    as unallocated.  Both sides are aggregated to resource x month before the join."""
     f = X.focus(spark, root)
     rc = f.groupBy(F.col("ResourceId").alias("resource_id"), _month().alias("month"),
                    service_id("Tags").alias("service_id")).agg(F.sum("BilledCost").alias("cost"))
-    rt = rc.groupBy("resource_id", "month").agg(F.sum("cost").alias("total"))
     em = X.emissions(spark, root).groupBy("resource_id", F.col("report_month").alias("month")).agg(
         F.sum(F.col("latest_month_emissions").cast("decimal(38,6)")).alias("emissions"))
-    j = rc.join(rt, ["resource_id", "month"]).join(em, ["resource_id", "month"]).filter(F.col("total") != 0)
-    share = (_d("emissions") * _d("cost") / _d("total")).cast("decimal(38,6)")
-    return j.groupBy("service_id", "month").agg(_d(F.sum(share)).alias("allocated_emissions"))
+    out = allocate_or_keep(em, rc, ["resource_id", "month"], "service_id", "cost", "emissions")
+    return out.groupBy("service_id", "month").agg(_d(F.sum(F.col("emissions").cast("decimal(38,6)"))).alias("allocated_emissions"))
 
 
 @query("utilisation_bands", w(("fact", O.CAPACITY_FACT), ("items", O.ITEMS)) + """

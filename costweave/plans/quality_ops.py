@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.tags import service_id
+from ..functions.tags import UNTAGGED, service_id
 from ..operators import edges as E
 from ..operators import gates as G
 from ..operators import landing as L
 from ..operators.hierarchy import hierarchy_series
 from ..operators.joins import schema_contract, schema_frame
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import fixtures as X
 from ..sources.store import TableStore, row_count_match, written_counts
 from ..sources.tables import scan_table
@@ -30,7 +31,7 @@ def _d(c):
 
 # ------------------------------------------------------------------ edges
 def _edge_sql(spec: E.EdgeSpec, clean: bool) -> str:
-    src = {"lineitems": "el", "orders": "eo", "customers": "ec", "nations": "en"}[spec.extract]
+    src = f"e_{spec.extract}"
     base = f"""SELECT CASE WHEN {spec.source_col} IS NOT NULL AND {spec.target_col} IS NOT NULL
                      THEN sha256('{spec.relationship_type}|' || lower({spec.source_col}) || '|' || lower({spec.target_col})) END AS edge_id,
        '{spec.source_label}' AS source_label, {spec.source_col} AS source_id, '{spec.relationship_type}' AS relationship_type,
@@ -51,7 +52,8 @@ GROUP BY edge_id"""
 
 
 def _edges_cte(clean: bool) -> str:
-    return w(("el", O.EDGE_LINEITEMS), ("eo", O.EDGE_ORDERS), ("ec", O.EDGE_CUSTOMERS), ("en", O.EDGE_NATIONS),
+    extracts = dict.fromkeys(s.extract for s in E.EDGE_SPECS)
+    return w(*[(f"e_{x}", getattr(O, f"EDGE_{x.upper()}")) for x in extracts],
              ("edges", " UNION ALL ".join(f"({_edge_sql(s, clean)})" for s in E.EDGE_SPECS)))
 
 
@@ -66,20 +68,20 @@ FROM (SELECT edge_table, edge_id, count(*) AS n,
 
 
 def _built(spark, root, clean=True):
-    return E.build_all(X.edge_sources(spark, root), BATCH, OBSERVED, clean=clean)
+    return E.build_tagged(X.edge_sources(spark, root), BATCH, OBSERVED, clean=clean)
 
 
 @query("build_edges", _edges_cte(True) + "SELECT * FROM edges")
 def q_build_edges(spark, root):
     """All edge tables, each row with the table it belongs to."""
-    return E.tagged_union(_built(spark, root))
+    return _built(spark, root)
 
 
 @query("edge_catalogue", _edges_cte(True) + """
 SELECT edge_table, min(source_label) AS source_label, min(relationship_type) AS relationship_type,
        min(target_label) AS target_label, count(*) AS edges FROM edges GROUP BY 1""")
 def q_edge_catalogue(spark, root):
-    u = E.tagged_union(_built(spark, root))
+    u = _built(spark, root)
     return u.groupBy("edge_table").agg(F.min("source_label").alias("source_label"),
                                        F.min("relationship_type").alias("relationship_type"),
                                        F.min("target_label").alias("target_label"),
@@ -101,10 +103,12 @@ def q_edge_gate_raw(spark, root):
 
 @query("orphan_edges", _edges_cte(True) + """
 , nodes AS (
-  SELECT DISTINCT 'lineitem' AS label, lower(line_id) AS node_id FROM el
-  UNION SELECT DISTINCT 'order', lower(order_id) FROM eo
-  UNION SELECT DISTINCT 'customer', lower(customer_id) FROM ec
-  UNION SELECT DISTINCT 'nation', lower(nation_id) FROM en)
+  SELECT DISTINCT 'lineitem' AS label, lower(line_id) AS node_id FROM e_lineitems
+  UNION SELECT DISTINCT 'order', lower(order_id) FROM e_lineitems
+  UNION SELECT DISTINCT 'customer', lower(customer_id) FROM e_customers
+  UNION SELECT DISTINCT 'nation', lower(nation_id) FROM e_nations
+  UNION SELECT DISTINCT 'supplier', lower(supplier_id) FROM e_suppliers
+  UNION SELECT DISTINCT 'part', lower(part_id) FROM e_parts)
 SELECT edge_table, edge_id, 'source' AS endpoint, source_label AS label, source_id_normalized AS node_id FROM edges e
 WHERE source_label IN (SELECT label FROM nodes)
   AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.label = e.source_label AND n.node_id = e.source_id_normalized)
@@ -115,16 +119,15 @@ WHERE target_label IN (SELECT label FROM nodes)
 def q_orphan_edges(spark, root):
     """Both endpoint checks read the silver edge tables, which are written
     once (checkpoint) as the reference writes them before validating."""
-    from ..session import cut_lineage
     src = X.edge_sources(spark, root)
-    edges = cut_lineage(E.tagged_union(E.build_all(src, BATCH, OBSERVED)))
+    edges = cut_lineage(E.build_tagged(src, BATCH, OBSERVED))
     return E.orphan_edges(edges, E.node_ids(src))
 
 
 @query("busiest_edge_table", _edges_cte(True) + """
 SELECT edge_table, count(*) AS rows FROM edges GROUP BY 1 ORDER BY rows DESC, edge_table LIMIT 1""")
 def q_busiest(spark, root):
-    r = E.tagged_union(_built(spark, root)).groupBy("edge_table").agg(F.count(F.lit(1)).alias("rows"))
+    r = _built(spark, root).groupBy("edge_table").agg(F.count(F.lit(1)).alias("rows"))
     return r.orderBy(F.col("rows").desc(), "edge_table").limit(1)
 
 
@@ -132,18 +135,21 @@ def q_busiest(spark, root):
 SELECT edge_table AS table_name, count(*) AS rows, count(DISTINCT batch_id) AS distinct_batches, 12 AS column_count
 FROM edges GROUP BY 1""")
 def q_table_summary(spark, root):
-    built = _built(spark, root)
-    u = E.tagged_union(built)
-    ncols = len(next(iter(built.values())).columns)
+    u = _built(spark, root)
+    ncols = len(E.EDGE_COLUMNS)
     return u.groupBy(F.col("edge_table").alias("table_name")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("batch_id").alias("distinct_batches"),
         F.lit(ncols).alias("column_count"))
 
 
 @query("all_empty_gate", _edges_cte(True) + """
-SELECT edge_table AS table_name, count(*) AS rows FROM edges GROUP BY 1""")
+SELECT table_name, count(edge_id) AS rows, sum(count(edge_id)) OVER () = 0 AS all_empty
+FROM (SELECT unnest([""" + ", ".join(f"'{s.name}'" for s in E.EDGE_SPECS) + """, 'not_built_yet']) AS table_name)
+LEFT JOIN edges ON edge_table = table_name GROUP BY 1""")
 def q_all_empty_gate(spark, root):
-    return G.all_empty_gate(_built(spark, root))
+    """Rows of each expected table (a missing one has none) and the verdict over all."""
+    expected = [s.name for s in E.EDGE_SPECS] + ["not_built_yet"]
+    return G.all_empty_report(_built(spark, root), "edge_table", expected)
 
 
 # ------------------------------------------------------------------ usage gates
@@ -171,12 +177,14 @@ def q_length_gate(spark, root):
     return G.length_gate(X.usage_packed(spark, root), "total_hours", "charges", ["subscription_id", "usage_day"])
 
 
-@query("hourly_from_array", _UL + """
+@query("hourly_from_array", w(("usage", O.USAGE_HOURLY), ("latest", O.USAGE_LATEST), ("packed", O.USAGE_PACKED)) + """
 SELECT subscription_id, first_hour + to_hours(CAST(pos - 1 AS BIGINT)) AS hour_utc, CAST(charge AS DOUBLE) AS hourly_charge
 FROM (SELECT subscription_id, first_hour, unnest(charges) AS charge, unnest(range(1, len(charges) + 1)) AS pos
-      FROM packed WHERE total_hours = len(charges))""")
+      FROM packed)""")
 def q_hourly_from_array(spark, root):
-    p = X.usage_packed(spark, root).filter(F.col("total_hours") == F.size("charges"))
+    """Every packed day unpacked; a declared length that disagrees fails the job (the
+    length gate's input has seeded ones, this one has none)."""
+    p = X.usage_packed(spark, root, seeded=False)
     out = L.hourly_from_array(p, ["subscription_id"], "first_hour", "charges", "total_hours")
     return out.select("subscription_id", "hour_utc", _d("hourly_charge").alias("hourly_charge"))
 
@@ -229,31 +237,87 @@ def q_bronze_rules(spark, root):
     return G.rule_report(X.focus(spark, root), _bronze_rules(), non_empty="non_empty")
 
 
-@query("silver_rules", w(("focus", O.FOCUS)) + """
-SELECT error, count(*) AS rows FROM (
-  SELECT unnest(list_filter([CASE WHEN BilledCost < 0 THEN 'negative_cost' END,
-                             CASE WHEN RegionName IS NULL THEN 'missing_department' END,
-                             CASE WHEN CommitmentDiscountId IS NULL THEN 'missing_cost_centre' END], lambda x: x IS NOT NULL)) AS error
-  FROM focus) GROUP BY 1""")
+_SILVER_SQL = w(("focus", O.FOCUS)) + f"""
+, s AS (SELECT *, {O.SERVICE_ID_EXPR} AS sid FROM focus)
+, v AS (SELECT *, list_filter([CASE WHEN coalesce(EffectiveCost < 0, true) THEN 'negative_cost' END,
+                               CASE WHEN split_part(sid, '/', 1) = 'Untagged' THEN 'missing_department' END,
+                               CASE WHEN split_part(sid, '/', 2) = 'Untagged' THEN 'missing_cost_centre' END,
+                               CASE WHEN EffectiveCost > BilledCost THEN 'effective_above_billed' END,
+                               CASE WHEN IsPartialMonthRecord THEN 'partial_month' END], lambda x: x IS NOT NULL) AS validation_errors FROM s)
+"""
+
+
+def _silver_rules():
+    return {"negative_cost": F.coalesce(F.col("EffectiveCost") < 0, F.lit(True)),
+            "missing_department": F.split("sid", "/")[0] == UNTAGGED,
+            "missing_cost_centre": F.split("sid", "/")[1] == UNTAGGED,
+            "effective_above_billed": F.col("EffectiveCost") > F.col("BilledCost"),
+            "partial_month": F.col("IsPartialMonthRecord")}
+
+
+def _silver(spark, root):
+    f = X.focus(spark, root).withColumn("sid", service_id("Tags"))
+    return G.validated(f, _silver_rules())
+
+
+@query("silver_rules", _SILVER_SQL + """
+SELECT error, count(*) AS rows FROM (SELECT unnest(validation_errors) AS error FROM v) GROUP BY 1""")
 def q_silver_rules(spark, root):
-    rules = {"negative_cost": F.col("BilledCost") < 0, "missing_department": F.col("RegionName").isNull(),
-             "missing_cost_centre": F.col("CommitmentDiscountId").isNull()}
-    f = X.focus(spark, root).select(G.error_array(rules).alias("validation_errors"))
-    return f.select(F.explode("validation_errors").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+    f = _silver(spark, root).select(F.explode("validation_errors").alias("error"))
+    return f.groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("silver_validated", _SILVER_SQL + """
+SELECT array_to_string(validation_errors, ',') AS validation_errors, len(validation_errors) = 0 AS is_valid, count(*) AS rows,
+       CAST(sum(EffectiveCost) AS DOUBLE) AS cost FROM v GROUP BY 1, 2""")
+def q_silver_validated(spark, root):
+    """Rows and cost by their list of violations; the valid flag is an empty list."""
+    v = _silver(spark, root)
+    return v.groupBy(F.array_join("validation_errors", ",").alias("validation_errors"), "is_valid").agg(
+        F.count(F.lit(1)).alias("rows"), _d(F.sum("EffectiveCost")).alias("cost"))
+
+
+@query("silver_verdict", _SILVER_SQL + """
+SELECT 'silver_cost' AS table_name, count(*) AS rows, count_if(len(validation_errors) = 0) AS valid_rows,
+       round(count_if(len(validation_errors) = 0) * 100.0 / count(*), 2) AS valid_pct,
+       CASE WHEN count(*) = 0 THEN 'EMPTY' WHEN count_if(len(validation_errors) = 0) = count(*) THEN 'PASSED' ELSE 'FAILED' END AS verdict FROM v""")
+def q_silver_verdict(spark, root):
+    return G.verdict(_silver(spark, root), "silver_cost")
 
 
-@query("gold_rules", w(*O.FLAGSHIP_CTES) + """
-SELECT t.ds, t.y AS total, c.y AS components, abs(t.y - c.y) < 0.005 AS total_equals_parts
-FROM (SELECT ds, y FROM hier WHERE level = 'total') t
-JOIN (SELECT ds, sum(y) AS y FROM hier WHERE level = 'component' GROUP BY ds) c ON t.ds = c.ds
-WHERE NOT (abs(t.y - c.y) < 0.005)""")
+VARIANCE_LEAST, VARIANCE_MOST = -100.0, 500.0
+
+_GOLD_SQL = w(*O.FLAGSHIP_CTES) + f"""
+, parts AS (SELECT ds, max(CASE WHEN level = 'total' THEN y END) AS total, sum(CASE WHEN level = 'component' THEN y END) AS c FROM hier GROUP BY 1)
+, m AS (SELECT unique_id, CAST(date_trunc('month', ds) AS DATE) AS month, sum(CAST(y AS DECIMAL(38,4))) AS cost, count(*) AS days
+        FROM hier WHERE level = 'component' GROUP BY 1, 2)
+, p AS (SELECT *, lag(cost) OVER (PARTITION BY unique_id ORDER BY month) AS before FROM m)
+SELECT 'total_equals_parts' AS rule, count(*) AS checked, count_if(NOT coalesce(abs(total - c) < 0.005, false)) AS violations,
+       count(*) > 0 AND count_if(NOT coalesce(abs(total - c) < 0.005, false)) = 0 AS passed FROM parts
+UNION ALL
+SELECT 'variance_in_range', count(*), count_if(CAST(cost - before AS DOUBLE) * 100 / CAST(before AS DOUBLE) NOT BETWEEN {VARIANCE_LEAST} AND {VARIANCE_MOST}),
+       count(*) > 0 AND count_if(CAST(cost - before AS DOUBLE) * 100 / CAST(before AS DOUBLE) NOT BETWEEN {VARIANCE_LEAST} AND {VARIANCE_MOST}) = 0 FROM p WHERE before > 0
+UNION ALL
+SELECT 'month_has_cost', count(*), count_if(cost <= 0), count(*) > 0 AND count_if(cost <= 0) = 0 FROM m"""
+
+
+@query("gold_rules", _GOLD_SQL)
 def q_gold_rules(spark, root):
-    """Total equals the sum of its components on every day (violations only)."""
-    h = hierarchy_series(X.focus(spark, root))
-    t = h.filter(F.col("level") == "total").select("ds", F.col("y").alias("total"))
-    c = h.filter(F.col("level") == "component").groupBy("ds").agg(F.sum("y").alias("components"))
-    j = t.join(c, "ds").withColumn("total_equals_parts", F.abs(F.col("total") - F.col("components")) < 0.005)
-    return j.filter(~F.col("total_equals_parts"))
+    """Three rules over the gold tables, checked rows and violations of each: the total of a day
+    equals its parts, month-on-month variance of a component lies in [-100, 500] percent,
+    every component-month has cost.  A rule that checked nothing doesn't pass."""
+    h = cut_lineage(hierarchy_series(X.focus(spark, root)))
+    day = h.groupBy("ds").agg(F.sum(F.when(F.col("level") == "total", F.col("y"))).alias("total"),
+                              F.sum(F.when(F.col("level") == "component", F.col("y"))).alias("parts"))
+    month = h.filter(F.col("level") == "component").groupBy(
+        "unique_id", F.to_date(F.date_trunc("month", "ds")).alias("month")).agg(F.sum(F.col("y").cast("decimal(38,4)")).alias("cost"))
+    before = F.lag("cost").over(Window.partitionBy("unique_id").orderBy("month"))
+    change = month.withColumn("before", before).filter(F.col("before") > 0)
+    variance = _d(F.col("cost") - F.col("before")) * 100 / _d("before")
+    return G.rule_verdicts({
+        "total_equals_parts": (day, ~F.coalesce(F.abs(F.col("total") - F.col("parts")) < 0.005, F.lit(False))),
+        "variance_in_range": (change, ~variance.between(VARIANCE_LEAST, VARIANCE_MOST)),
+        "month_has_cost": (month, F.col("cost") <= 0)})
 
 
 @query("lineage_counts", w(("focus", O.FOCUS), ("usage", O.USAGE_HOURLY), ("containers", O.CONTAINERS)) + f"""
@@ -300,3 +364,27 @@ def q_verify_written(spark, root):
 @query("row_count_match", "SELECT count(*) AS frame_rows, count(*) AS table_rows, true AS matches FROM orders")
 def q_row_count_match(spark, root):
     return row_count_match(*_written_orders(spark, root))
+
+
+@query("upsert", """
+WITH old AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderdate FROM orders),
+new AS (SELECT o_orderkey, status, price + 1 AS price FROM old WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+        UNION ALL SELECT -o_orderkey, NULL, price FROM old WHERE o_orderdate >= TIMESTAMP '1998-07-01')
+SELECT o_orderkey, status, CAST(price AS DOUBLE) AS price FROM new
+UNION ALL
+SELECT o_orderkey, status, CAST(price AS DOUBLE) FROM old
+WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.o_orderkey = old.o_orderkey AND new.status IS NOT DISTINCT FROM old.status)""")
+def q_upsert(spark, root):
+    """Orders partitioned by status (pending ones in the null partition), late
+    orders corrected and new ones added by key."""
+    status = F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    old = scan_table(spark, root, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]).select(
+        "o_orderkey", status.alias("status"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderdate")
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store.write_overwrite(old.drop("o_orderdate"), "orders", ["status"])
+    late = old.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    corrected = late.select("o_orderkey", "status", (F.col("price") + 1).cast("decimal(18,2)").alias("price"))
+    added = late.filter(F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp_ntz")).select(
+        (-F.col("o_orderkey")).alias("o_orderkey"), F.lit(None).cast("string").alias("status"), "price")
+    store.upsert(corrected.unionByName(added), "orders", ["o_orderkey", "status"])
+    return store.read("orders").select("o_orderkey", "status", _d("price").alias("price"))

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the plan modules fills the registry
     from . import (flagship, sql_ops, ingest_ops, quality_ops, forecast_ops,  # noqa: F401
-                   product_ops)
+                   product_ops, stream_ops, landing_ops)

@@ -123,11 +123,10 @@ SEATS_NOW = "2001-08-02 00:00:00"
 
 
 def seats(spark: SparkSession, root: str) -> DataFrame:
-    """One seat per customer; last activity = newest '2-HIGH' order."""
+    """One seat per customer; last activity = newest order."""
     cust = customer_dim(spark, root).select("c_custkey", "c_mktsegment", "n_name", "r_name")
-    orders = _t(spark, root, "orders", "o_custkey", "o_orderdate", "o_orderpriority")
-    last = (orders.filter(F.col("o_orderpriority") == "2-HIGH")
-            .groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_activity_at")))
+    orders = _t(spark, root, "orders", "o_custkey", "o_orderdate")
+    last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_activity_at"))
     s = cust.join(last, cust.c_custkey == last.o_custkey, "left")
     key = F.col("c_custkey").cast("string")
     return s.select(
@@ -321,30 +320,50 @@ def service_requests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def edge_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Bronze extracts feeding the edge specs (one per relationship)."""
+    """Bronze extracts feeding the edge specs; an extract can hold several relationships."""
     li = _t(spark, root, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     o = _t(spark, root, "orders", "o_orderkey", "o_custkey")
     c = _t(spark, root, "customer", "c_custkey", "c_nationkey")
     n = _t(spark, root, "nation", "n_nationkey", "n_regionkey")
-    line_id = F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    s = _t(spark, root, "supplier", "s_suppkey", "s_nationkey")
+    p = _t(spark, root, "part", "p_partkey", "p_brand")
+    e = _t(spark, root, "events", "event_id", "user_id")
+    g = _t(spark, root, "pages", "page_id", "url")
+    lab = _t(spark, root, "labels", "doc_id", "quality")
+
+    def key(prefix, column):
+        return F.concat(F.lit(prefix), F.col(column).cast("string"))
+
+    line_id = F.concat(key("LI-", "l_orderkey"), key("-", "l_linenumber"))
     cust_t = (F.when(F.col("o_orderkey") % 97 == 0, F.lit(""))
-              .when(F.col("o_orderkey") % 89 == 0, F.lit(None).cast("string"))
-              .otherwise(F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string"))))
+              .when(F.col("o_orderkey") % 89 == 0, F.lit(None).cast("string")).otherwise(key("CUST-", "o_custkey")))
     return {
-        "lineitems": li.select(line_id.alias("line_id"),
-                               F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("order_id"),
-                               F.concat(F.lit("PART-"), F.col("l_partkey").cast("string")).alias("part_id"),
-                               F.concat(F.lit("SUPP-"), F.col("l_suppkey").cast("string")).alias("supplier_id")),
-        "orders": o.select(F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("order_id"),
-                           cust_t.alias("customer_id")),
-        # customers with custkey % 100 = 1 are missing from the extract (inventory lag)
-        "customers": c.filter(F.col("c_custkey") % 100 != 1).select(F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"),
-                              F.concat(F.lit("NAT-"), F.col("c_nationkey").cast("string")).alias("nation_id")),
-        "nations": n.select(F.concat(F.lit("NAT-"), F.col("n_nationkey").cast("string")).alias("nation_id"),
-                            F.concat(F.lit("REG-"), F.col("n_regionkey").cast("string")).alias("region_id")),
+        "lineitems": li.select(line_id.alias("line_id"), key("ORD-", "l_orderkey").alias("order_id"),
+                               key("PART-", "l_partkey").alias("part_id"), key("SUPP-", "l_suppkey").alias("supplier_id")),
+        "orders": o.select(key("ord-", "o_orderkey").alias("order_id"), cust_t.alias("customer_id")),
+        "customers": c.select(key("CUST-", "c_custkey").alias("customer_id"), key("NAT-", "c_nationkey").alias("nation_id")),
+        "nations": n.select(key("NAT-", "n_nationkey").alias("nation_id"), key("REG-", "n_regionkey").alias("region_id")),
+        "suppliers": s.select(key("SUPP-", "s_suppkey").alias("supplier_id"), key("NAT-", "s_nationkey").alias("nation_id")),
+        "parts": p.select(key("PART-", "p_partkey").alias("part_id"), F.col("p_brand").alias("brand_id")),
+        "events": e.select(key("EV-", "event_id").alias("event_id"), key("CUST-", "user_id").alias("customer_id")),
+        "pages": g.select(key("PAGE-", "page_id").alias("page_id"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("host_id")),
+        "labels": lab.select(key("DOC-", "doc_id").alias("document_id"), key("Q-", "quality").alias("quality_id")),
     }
 
 
+def resource_tags(spark: SparkSession, root: str) -> DataFrame:
+    """Resource inventory with JSON tags: the run (order) that deployed the resource
+    (part) is its first one.  Some have no tags, malformed ones, or a run that nobody knows."""
+    li = _t(spark, root, "lineitem", "l_partkey", "l_orderkey")
+    r = li.groupBy("l_partkey").agg(F.min("l_orderkey").alias("run"))
+    run = F.col("run").cast("string")
+    tags = (F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string"))
+            .when(F.col("l_partkey") % 11 == 1, F.lit('{"pipeline_run_id":'))
+            .when(F.col("l_partkey") % 11 == 2, F.concat(F.lit('{"pipeline_run_id":"gone-'), run, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"owner":"team","pipeline_run_id":"'), run, F.lit('"}'))))
+    return r.select(F.concat(F.lit("res-"), F.col("l_partkey").cast("string")).alias("ResourceId"), tags.alias("tags"))
+
+
 def two_clouds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Provider 1 = orders, provider 2 = events, each with its own names."""
     o = _t(spark, root, "orders", "o_orderdate", "o_orderpriority", "o_totalprice")
@@ -356,10 +375,10 @@ def two_clouds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {"cloud_a": p1, "cloud_b": p2}
 
 
-def usage_packed(spark: SparkSession, root: str) -> DataFrame:
+def usage_packed(spark: SparkSession, root: str, seeded: bool = True) -> DataFrame:
     """Latest-snapshot usage per subscription-day packed as a 24-slot
     charges array (gaps filled with 0) + first hour + declared hours.
-    The declared count is seeded wrong (23) for users % 7 = 0 on 2024-01-15.
+    ``seeded``: the declared count is wrong (23) for users % 7 = 0 on 2024-01-15.
     Groups are bounded: at most 24 values per subscription-day."""
     u = usage_hourly(spark, root)
     latest = u.groupBy("subscription_id", "hour_utc").agg(F.max("snapshot_date").alias("snapshot_date"))
@@ -371,7 +390,7 @@ def usage_packed(spark: SparkSession, root: str) -> DataFrame:
     packed = filled.groupBy("tenant_id", "subscription_id", "usage_day").agg(
         F.sort_array(F.collect_list(F.struct("h", F.coalesce("hourly_charge", F.lit(0)).cast(MONEY4).alias("c")))).alias("_s"))
     uid = F.regexp_extract("subscription_id", r"(\d+)$", 1).cast("int")
-    declared = F.when((uid % 7 == 0) & (F.col("usage_day") == F.lit("2024-01-15").cast("date")), 23).otherwise(24)
+    declared = F.when(F.lit(seeded) & (uid % 7 == 0) & (F.col("usage_day") == F.lit("2024-01-15").cast("date")), 23).otherwise(24)
     return packed.select("tenant_id", "subscription_id", "usage_day",
                          F.col("usage_day").cast("timestamp_ntz").alias("first_hour"),
                          F.transform("_s", lambda x: x["c"]).alias("charges"), declared.alias("total_hours"))

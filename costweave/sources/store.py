@@ -23,9 +23,12 @@ will do, and nothing is opened or listed on the driver's own disk.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import cut_lineage
 
@@ -109,16 +112,22 @@ class TableStore:
         types = {f.name: f.dataType for f in self.read(name).schema.fields}
         return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
 
-    def upsert(self, df: DataFrame, name: str, keys: list[str]) -> str:
+    def upsert(self, df: DataFrame, name: str, keys: list[str], partition_by: list[str] | None = None) -> str:
+        """Rows whose key is stored are replaced, others added.  Keys and partition
+        values compare null-safe (a null is a value like any other); an empty
+        string as partition value is stored as null, as Spark writes both to one folder.
+        ``partition_by`` matters for the first write only."""
         if not self.exists(name):
-            return self.write_overwrite(df, name)
+            return self.write_overwrite(df, name, partition_by)
         parts = self.partition_columns(name) or []
-        df = cut_lineage(self._as_stored(df, name))
+        df = self._as_stored(df, name)
+        text = [f.name for f in df.schema.fields if f.name in parts and isinstance(f.dataType, StringType)]
+        df = cut_lineage(df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text}))
         old = self.read(name)
         touched = bool(parts) and set(parts) <= set(keys)
         if touched:
-            old = old.join(df.select(*parts).distinct(), parts, "left_semi")
-        keep = old.join(df.select(*keys), keys, "left_anti")
+            old = _null_safe_join(old, df.select(*parts).distinct(), parts, "left_semi")
+        keep = _null_safe_join(old, df.select(*keys), keys, "left_anti")
         rows = cut_lineage(keep.unionByName(df, allowMissingColumns=True))
         return self._write(rows, name, "overwrite", parts, "dynamic" if touched else "static")
 
@@ -137,6 +146,11 @@ class TableStore:
         return self.spark.table(name.lower()).count()
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    right = right.select(*[F.col(f"`{c}`").alias(f"_right_{i}") for i, c in enumerate(on)])
+    return left.join(right, reduce(Column.__and__, [left[f"`{c}`"].eqNullSafe(F.col(f"_right_{i}")) for i, c in enumerate(on)]), how)
+
+
 def guard_empty(df: DataFrame, policy: str) -> bool:
     """True when the write should go ahead: ``skip`` keeps the old table,
     ``write_empty_typed`` writes the typed empty frame, ``fail`` raises."""

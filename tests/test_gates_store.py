@@ -131,3 +131,16 @@ def test_store_run_dates_and_absent_tables(spark):
     st.save_append_merge(spark.createDataFrame([(1,)], "v int"), "fresh")
     st.save_append_merge(spark.createDataFrame([(2, "b")], "v int, w string"), "fresh")
     assert _rows(st.read("fresh"), "v", "w") == [("1", "None"), ("2", "b")]
+
+
+def test_upsert_keeps_null_partitions_and_null_keys(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="cw-store-"))
+    schema = "v int, part string"
+    st.write_overwrite(spark.createDataFrame([(1, "a"), (2, None), (3, None), (None, "a")], schema), "t", ["part"])
+    st.upsert(spark.createDataFrame([(4, None)], schema), "t", ["v", "part"])
+    assert _rows(st.read("t"), "v", "part") == [("1", "a"), ("2", "None"), ("3", "None"), ("4", "None"), ("None", "a")]
+    st.upsert(spark.createDataFrame([(2, ""), (None, "a"), (5, "b")], schema), "t", ["v", "part"])
+    assert _rows(st.read("t"), "v", "part") == [("1", "a"), ("2", "None"), ("3", "None"), ("4", "None"), ("5", "b"), ("None", "a")]
+    st.upsert(spark.createDataFrame([(1, None), (9, "b")], schema), "t", ["v"])
+    assert _rows(st.read("t"), "v", "part") == [("1", "None"), ("2", "None"), ("3", "None"), ("4", "None"), ("5", "b"),
+                                                ("9", "b"), ("None", "a")]

@@ -1,7 +1,9 @@
+import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F
 
+from costweave.sources.store import TableStore
 from costweave.streaming import streams as S
 from tests.conftest import SF001
 
@@ -33,19 +35,53 @@ def test_daily_cost_stream_matches_batch(spark):
     assert batch.count() - got.count() <= 10   # windows ending after the watermark (last 2 days x 5 types) stay open
 
 
-def test_sessions_and_gate_batches(spark):
+def test_sessions(spark):
     base = tempfile.mkdtemp(prefix="cw-stream-")
     ev = S.read_folder(spark, SF001, _events_schema(spark), glob="events.parquet")
     _run(S.stream_activity_sessions(ev), base + "/sessions")
     s = spark.read.parquet(base + "/sessions")
     total = spark.read.parquet(f"{SF001}/events.parquet").count()
     assert 0 < s.agg(F.sum("events")).first()[0] <= total
-    q = (S.read_folder(spark, SF001, _events_schema(spark), glob="events.parquet").writeStream
-         .foreachBatch(S.gate_batches(base + "/gates")).option("checkpointLocation", base + "/gates_ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    rep = spark.read.parquet(base + "/gates").collect()
-    assert rep and rep[0].status == "STALE" and rep[0].rows == total
+
+
+def test_gate_report_survives_replay_and_carries_state(spark):
+    base = tempfile.mkdtemp(prefix="cw-stream-")
+    store = TableStore(spark, base + "/store")
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    batches = [[("a", at(1, 0)), ("a", at(1, 5)), ("b", at(1, 2))], [("a", at(1, 6)), ("b", at(1, 9))], [], [("a", at(1, 8)), ("c", at(2, 0))]]
+    frames = [spark.createDataFrame(b, "k string, ts timestamp") for b in batches]
+    handle = S.gate_batches(store, "gates", ["k"], "ts", F.lit("2024-01-05").cast("timestamp"), max_days=2)
+    report = lambda: {r.batch_id: (r.rows, r.keys, r.newest, r.freshness, r.gap_keys, r.continuity) for r in store.read("gates").collect()}
+    want = {0: (3, 2, at(1, 5), "STALE", 0, "CONTINUOUS"), 1: (2, 2, at(1, 9), "STALE", 1, "GAP"),
+            2: (0, 0, at(1, 9), "STALE", 0, "CONTINUOUS"), 3: (2, 2, at(2, 0), "STALE", 1, "GAP")}
+    for n, frame in enumerate(frames):
+        handle(frame, n)
+        handle(frame, n)                                       # the same batch again
+        assert report() == {k: v for k, v in want.items() if k <= n}
+    assert store.read("gates").count() == 4
+    assert sorted((r.batch_id, r.k) for r in store.read("gates_gaps").collect()) == [(1, "b"), (3, "a")]
+    fresh = S.gate_batches(store, "other", ["k"], "ts", F.lit("2024-01-03").cast("timestamp"), max_days=2)
+    fresh(frames[3], 0)
+    assert store.read("other").first().freshness == "FRESH"
+
+
+def test_newest_row_per_key_out_of_order_and_across_a_restart(spark):
+    from costweave.operators.windows import latest_per_key
+    base = tempfile.mkdtemp(prefix="cw-stream-")
+    schema = "k string, hour timestamp, v double, snap timestamp"
+    hour = dt.datetime(2024, 1, 1)
+    rows = [(f"k{i % 7}", hour + dt.timedelta(hours=i % 5), float(i), hour + dt.timedelta(hours=(i * 37) % 60)) for i in range(200)]
+    rows += [("k0", hour, 1.0, hour + dt.timedelta(hours=70)), ("k0", hour, 2.0, hour + dt.timedelta(hours=70)), ("k9", hour, None, hour)]
+    store = TableStore(spark, base + "/store")
+    sink = S.newest_sink(store, "newest", ["day", "k", "hour"], ["day"])
+    for part in (rows[::2], rows[1::2][:30], rows[1::2][30:]):      # three landings, each drained by a new query
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(base + "/in")
+        stream = S.stream_latest_snapshot(S.read_folder(spark, base + "/in", spark.createDataFrame([], schema).schema),
+                                          ["k", "hour"], ["snap"], "snap", "5 days")
+        S.drain(stream.withColumn("day", F.to_date("hour")), base + "/ckpt", sink, "update")
+    want = latest_per_key(spark.createDataFrame(rows, schema), ["k", "hour"], ["snap", "v"])
+    read = lambda df: sorted((r.k, r.hour, str(r.v), r.snap) for r in df.collect())
+    assert read(store.read("newest")) == read(want)
 
 
 def test_dedupe_snapshots(spark):
