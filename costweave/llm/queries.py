@@ -122,14 +122,21 @@ def op5_embedding_near_dedup(spark, sf_dir):
     return near_vectors.near_links(read_table(spark, sf_dir, "embeddings"))
 
 
-@query("op6_line_dedup", sql="""
+@query("op6_line_dedup", sql=r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-g AS (SELECT doc_id, p, list_slice(ls, p, p + 2) AS win
+x AS (SELECT doc_id, i, ls[i] AS line, regexp_matches(ls[i], '^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){3}[^\x20\x09-\x0D]') AS content
+      FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM d)),
+n AS (SELECT *, max(CASE WHEN content THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS above,
+             min(CASE WHEN content THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS below FROM x),
+g AS (SELECT doc_id, i AS lo, i AS hi, [line] AS win FROM n WHERE content
+      UNION ALL SELECT n.doc_id, i, i, list_slice(ls, above, i) FROM n JOIN d USING (doc_id) WHERE NOT content AND above IS NOT NULL
+      UNION ALL SELECT n.doc_id, i, i, list_slice(ls, i, below) FROM n JOIN d USING (doc_id) WHERE NOT content AND below IS NOT NULL),
+r AS (SELECT doc_id, p AS lo, p + 2 AS hi, list_slice(ls, p, p + 2) AS win
       FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls) - 2)) AS p FROM d WHERE len(ls) >= 3)),
-h AS (SELECT doc_id, p, row_number() OVER (PARTITION BY win ORDER BY doc_id, p) AS nth FROM g
-      WHERE list_bool_or(list_transform(win, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))),
-cut AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 2)) AS i FROM h WHERE nth > 1),
-x AS (SELECT doc_id, ls[i] AS line, i FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM d)),
+h AS (SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY win ORDER BY doc_id, lo) AS nth FROM g
+      UNION ALL SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY win ORDER BY doc_id, lo) FROM r
+      WHERE list_bool_or(list_transform(win, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))),
+cut AS (SELECT DISTINCT doc_id, unnest(generate_series(lo, hi)) AS i FROM h WHERE nth > 1),
 k AS (SELECT x.doc_id, count(*) AS n_lines, count(cut.i) AS n_removed,
              string_agg(x.line, chr(10) ORDER BY x.i) FILTER (cut.i IS NULL) AS kept
       FROM x LEFT JOIN cut ON x.doc_id = cut.doc_id AND x.i = cut.i GROUP BY x.doc_id)

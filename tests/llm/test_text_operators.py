@@ -274,21 +274,38 @@ def test_repeated_rows_keep_their_words(spark):
     assert substring.remove_repeats(docs.limit(0)).count() == 0
 
 
-def brute_lines(rows, run=3):
-    seen, out = set(), {}
-    for doc, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+def brute_lines(rows, run=3, content=4):
+    docs = sorted({(i, t) for i, t in rows if i is not None}, key=lambda r: r[0])
+    seen, gone, out = set(), set(), {}
+
+    def window(doc, lo, hi, key, marks):
+        if key in seen:
+            gone.update((doc, m) for m in marks)
+        seen.add(key)
+
+    for doc, text in docs:
+        ls = [] if text is None else text.split("\n")
+        full = [len(words(x)) >= content for x in ls]
+        for i, line in enumerate(ls):
+            if full[i]:
+                window(doc, i, i, ("one", line), [i])
+                continue
+            above = next((k for k in range(i, -1, -1) if full[k]), None)
+            below = next((k for k in range(i, len(ls)) if full[k]), None)
+            if above is not None:
+                window(doc, above, i, ("after", *ls[above:i + 1]), [i])
+            if below is not None:
+                window(doc, i, below, ("before", *ls[i:below + 1]), [i])
+        for p in range(len(ls) - run + 1):
+            if any(words(x) for x in ls[p:p + run]):
+                window(doc, p, p + run - 1, ("run", *ls[p:p + run]), range(p, p + run))
+    for doc, text in docs:
         if text is None:
             out[doc] = (0, 0, None)
             continue
         ls = text.split("\n")
-        gone = [False] * len(ls)
-        for p in range(len(ls) - run + 1):
-            key = tuple(ls[p:p + run])
-            if any(x.strip(" \t\n\x0b\x0c\r") for x in key):
-                if key in seen:
-                    gone[p:p + run] = [True] * run
-                seen.add(key)
-        out[doc] = (len(ls), sum(gone), "\n".join(x for x, g in zip(ls, gone) if not g))
+        kept = [x for i, x in enumerate(ls) if (doc, i) not in gone]
+        out[doc] = (len(ls), len(ls) - len(kept), "\n".join(kept))
     return out
 
 
@@ -296,7 +313,8 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     from costweave.llm import common
     monkeypatch.setattr(common, "BATCH_BYTES", 300)
     rng = random.Random(2)
-    rows = [(i, "\n".join(rng.choices(["a", "b", "c", "", " ", "long line"], k=rng.randint(0, 14)))) for i in range(150)]
+    kinds = ["a", "b", "c", "", " ", "long line", *(f"content line of {k}" for k in "xyz"), "  four words\tin here "]
+    rows = [(i, "\n".join(rng.choices(kinds, k=rng.randint(0, 14)))) for i in range(150)]
     rows += [(r[0] + 1000 if r[0] else None, r[1]) for r in odd_rows() if r[0] != 4]
     docs = documents(spark, rows).repartition(4).withColumn("n_lines", F.lit("clash"))
     got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in lines.remove_lines(docs).collect()}
@@ -306,6 +324,16 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     assert lines.remove_lines(docs.limit(0)).count() == 0
 
 
+def test_single_lines_and_blocks_go_later(spark):
+    licence = "Released under the MIT License."
+    rows = [(1, f"One text of its own.\n{licence}\nyes"), (2, f"Another text, not the same.\n{licence}\nno"),
+            (3, f"Third of these few texts.\nHead\n{licence}\nyes\nand"), (4, f"Fourth of these few texts.\nHead\n{licence}\nyes"), (5, "yes"),
+            (6, licence), (7, "Twice in here it is.\n\nTwice in here it is.\n\nlast")]
+    got = {r["doc_id"]: r["text"] for r in lines.remove_lines(documents(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "Another text, not the same.\nno", 3: "Third of these few texts.\nHead\nand",
+                   4: "Fourth of these few texts.", 5: "yes", 6: "", 7: "Twice in here it is.\n\nlast"}
+
+
 # -- 8 near-duplicates -----------------------------------------------------------------------------
 
 def lcs(a, b):
@@ -407,23 +435,42 @@ def test_near_duplicates_of_odd_rows(spark):
 # -- 9 shards, 10 languages ------------------------------------------------------------------------
 
 def test_shards_are_balanced_and_contiguous(spark):
-    rows = [(i if i % 50 else None, "é" * (i % 37), None) for i in range(400)] + [(77, None), (77, None)]
-    out = sharding.shard(sharding.sized_documents(documents(spark, rows)), 7).collect()
-    assert len(out) == len(rows)
-    size = {}
-    for r in out:
-        size.setdefault(r["shard"], []).append(r)
-    total = sum(r["size"] for r in out)
-    order = []
-    for k in sorted(size):
-        own = sorted(size[k], key=lambda r: r["slot"])
-        assert [r["slot"] for r in own] == list(range(len(own)))
-        assert abs(sum(r["size"] for r in own) - total / 7) <= max(r["size"] for r in out)
-        order += [(-1 if r["doc_id"] is None else r["doc_id"], r["size"]) for r in own]
-    assert order == sorted(order) and set(size) == set(range(7))
+    rows = [(i if i % 50 else None, f"{i // 4} " + "é" * (i % 37 // 4), None) for i in range(1600)] + [(77, None), (77, None)]
+    rows += [(5000, "long " * 3000)]
+    sized = sharding.sized_documents(documents(spark, rows))
+    for group, slack in (("text_group", 1 / sharding.WHOLE), (None, 0)):
+        out = sharding.shard(sized, 7, group=group).collect()
+        assert len(out) == len(rows)
+        size = {}
+        for r in out:
+            size.setdefault(r["shard"], []).append(r)
+        total = sum(r["size"] for r in out)
+        order = []
+        for k in sorted(size):
+            own = sorted(size[k], key=lambda r: r["slot"])
+            assert [r["slot"] for r in own] == list(range(len(own)))
+            assert abs(sum(r["size"] for r in own) - total / 7) <= max(r["size"] for r in out) + 2 * slack * total / 7
+            order += [(r["text_group"], -1 if r["doc_id"] is None else r["doc_id"], r["size"]) for r in own]
+        assert order == sorted(order) and set(size) <= set(range(7))
+        if group:
+            places = {}
+            for r in out:
+                places.setdefault(r["text_group"], set()).add(r["shard"])
+            assert all(len(p) == 1 for p in places.values())
     assert sharding.shard(sharding.sized_documents(documents(spark, []))).count() == 0
 
 
+def test_shards_of_a_hot_group_and_clashing_names(spark):
+    rows = [(i, "the same text") for i in range(900)] + [(1000 + i, f"text {i}") for i in range(900)]
+    sized = sharding.sized_documents(documents(spark, rows)).selectExpr(
+        "*", "doc_id + 1 AS part_", "doc_id + 2 AS row_", "doc_id + 3 AS start_", "'x' AS shard", "doc_id + 4 AS home_")
+    out = sharding.shard(sized, 8).collect()
+    assert len(out) == 1800 and {r["shard"] for r in out} == set(range(8))
+    assert all((r["part_"], r["row_"], r["start_"], r["home_"]) == tuple(r["doc_id"] + k for k in (1, 2, 3, 4)) for r in out)
+    size = [sum(r["size"] for r in out if r["shard"] == k) for k in range(8)]
+    assert max(size) - min(size) <= 2 * sum(size) / 8 / sharding.WHOLE + 14
+
+
 def test_shard_query(spark):
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, SF001, "documents").collect()}
     rows = queries.QUERIES["op9_sharding"](spark, SF001).collect()
