@@ -28,7 +28,7 @@ PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("base", pa.in
 PACKED_DDL = "bucket int, kind int, base long, data binary"
 FOUND = pa.schema([("doc_id", pa.int64()), ("kind", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
 FOUND_DDL = "doc_id long, kind int, lo int, hi int"
-BUCKETS_PER_TASK = 6             # evens out how buckets fall on tasks
+BUCKETS_PER_TASK = 6             # evens out how buckets fall on tasks; a task holds one at a time
 _RECORD = 8 + 6 + 8 + 4 + 2
 
 
@@ -131,22 +131,11 @@ def pack_entries(entries, buckets: int, within: bool, context: bool):
         yield record_batch(PACKED, list(zip(*rows)))
 
 
-def _reduce(batches, within: bool, context: bool):
-    """All entries of a task's buckets -> ranges that repeat or need a closer look."""
-    blocks = []
-    for batch in batches:
-        kinds, bases, datas = (batch.column(i) for i in (1, 2, 3))
-        for i in range(batch.num_rows):
-            kind, data = kinds[i].as_py(), datas[i].as_py()
-            if kind == ENTRY:
-                blocks.append(_unpack(bases[i].as_py(), data))
-            else:
-                doc, lo, hi = np.frombuffer(data, np.int64).reshape(3, -1)
-                yield record_batch(FOUND, (doc, np.full(len(doc), kind, np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+def _settle(blocks, within: bool, context: bool):
+    """All entries of one bucket -> ranges that repeat or need a closer look."""
     if not blocks:
         return
     cols = [np.concatenate(c) for c in zip(*blocks)]
-    blocks.clear()
     _, some = _sorted(*cols)
     if not len(some):
         return
@@ -161,6 +150,24 @@ def _reduce(batches, within: bool, context: bool):
                                        lo[s].astype(np.int32), hi[s].astype(np.int32)))
 
 
+def _reduce(batches, within: bool, context: bool):
+    """Rows sorted by bucket: one bucket is held at a time, the sort is Spark's and spills."""
+    blocks, current = [], None
+    for batch in batches:
+        buckets, kinds, bases, datas = (batch.column(i) for i in range(4))
+        for i in range(batch.num_rows):
+            kind, data = kinds[i].as_py(), datas[i].as_py()
+            if kind == ENTRY:
+                if buckets[i].as_py() != current:
+                    yield from _settle(blocks, within, context)
+                    blocks, current = [], buckets[i].as_py()
+                blocks.append(_unpack(bases[i].as_py(), data))
+            else:
+                doc, lo, hi = np.frombuffer(data, np.int64).reshape(3, -1)
+                yield record_batch(FOUND, (doc, np.full(len(doc), kind, np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+    yield from _settle(blocks, within, context)
+
+
 def find_repeats(frame: DataFrame, entries_of, within: bool = False, context: bool = False) -> DataFrame:
     """``entries_of(batches)`` yields entry arrays; returns (doc_id, kind, lo, hi)."""
     width = shuffle_width(frame.sparkSession)
@@ -173,7 +180,7 @@ def find_repeats(frame: DataFrame, entries_of, within: bool = False, context: bo
     def found(batches):
         yield from _reduce(batches, within, context)
 
-    packed = frame.mapInArrow(emit, PACKED_DDL).repartition(width, F.col("bucket"))
+    packed = frame.mapInArrow(emit, PACKED_DDL).repartition(width, F.col("bucket")).sortWithinPartitions("bucket")
     return packed.mapInArrow(found, FOUND_DDL)
 
 

@@ -9,8 +9,11 @@ solved in it on a bounded sample of ``SAMPLE`` labelled texts per language
 
 A text's kernel values with all landmarks, times the regression
 coefficients, is one product of its n-gram presence vector with a matrix
-(n-gram, language).  Tasks score Arrow batches by these products.  N-grams
-are hashed into ``BINS`` cells, the same everywhere.
+(n-gram, language).  Tasks score batches of texts by one product of the batch's
+sparse presence matrix with it; the matrix holds only n-grams of the landmarks, so its size
+doesn't depend on ``BINS`` times the number of languages.  N-grams are hashed into ``BINS``
+cells, the same everywhere.  Training texts are learnt from up to ``LEARNT`` characters,
+which bounds what reaches the driver (``SAMPLE`` times ``LEARNT`` a language).
 
 The score ranks the learnt languages and says nothing about others: the values
 of K languages sum to about 2 - K, so the best score is hardly below 1/K, and a
@@ -49,6 +52,8 @@ LOW = 0.01
 SLACK = 3.0
 FOREIGN = 0.5
 SNIPPET = 80
+LEARNT = 1 << 15
+VALUES = 1 << 22                              # numbers held at once by a batch's product
 UNKNOWN = "und"
 _MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 _tables: dict = {}                            # of a Python worker
@@ -101,46 +106,54 @@ class Model:
     def __init__(self, languages: list[str], cells: np.ndarray, weights: np.ndarray, low=(0.0, 0.0)):
         self.languages, self.cells, self.weights, self.low = languages, cells, weights, low
 
-    def evidence(self, text: str, dense: np.ndarray, known: np.ndarray) -> tuple[int, float, float]:
-        """Number of distinct n-grams of letters, the share the landmarks have, the margin."""
-        cell = grams(spoken(text))
-        f = np.sort(dense[cell].sum(0) / np.sqrt(len(cell)))
-        return len(cell), float(known[cell].mean()), float(f[-1] - f[-2]) if len(f) > 1 else 0.0
-
-    def known(self) -> np.ndarray:
-        out = np.zeros(BINS, bool)
-        out[self.cells] = True
+    def lookup(self) -> tuple[np.ndarray, np.ndarray]:
+        """Row of the weights for every cell, and the weights with a last row of
+        zeros for cells that no landmark has."""
+        row = np.full(BINS, len(self.cells), np.int32)
+        row[self.cells] = np.arange(len(self.cells), dtype=np.int32)
+        return row, np.vstack([self.weights, np.zeros((1, len(self.languages)))])
+
+    def product(self, sets: list[np.ndarray], table) -> np.ndarray:
+        """Presence vectors (normalised) times the weights, a row for each text; no set is empty."""
+        row, weights = table
+        out, at = np.zeros((len(sets), len(self.languages))), 0
+        while at < len(sets):
+            end, size = at, 0
+            while end < len(sets) and (end == at or (size + len(sets[end])) * len(self.languages) <= VALUES):
+                size += len(sets[end])
+                end += 1
+            lens = np.array([len(c) for c in sets[at:end]])
+            values = weights[row[np.concatenate(sets[at:end])]]
+            out[at:end] = np.add.reduceat(values, np.cumsum(lens) - lens, axis=0) / np.sqrt(lens)[:, None]
+            at = end
         return out
 
-    def shown(self, texts: list[str | None], dense: np.ndarray, known: np.ndarray) -> list[bool]:
-        """Whether each text shows one of the languages."""
-        out = []
-        for text in texts:
-            if not self.languages or text is None or not has_letter(text):
-                out.append(False)
-                continue
-            n, share, margin = self.evidence(text, dense, known)
-            slack = SLACK * np.sqrt(self.low[0] * (1 - self.low[0]) / n)
-            out.append(bool(share >= self.low[0] - slack
-                            or (margin >= self.low[1] and share >= FOREIGN * self.low[0])))
-        return out
+    def evidence(self, texts: list[str], table) -> list[tuple[int, float, float]]:
+        """For each text the number of distinct n-grams of letters, the share the landmarks have, the margin."""
+        sets = [grams(spoken(t)) for t in texts]
+        f = np.sort(self.product(sets, table), axis=1)
+        margin = f[:, -1] - f[:, -2] if f.shape[1] > 1 else np.zeros(len(sets))
+        return [(len(c), float((table[0][c] < len(self.cells)).mean()), float(m)) for c, m in zip(sets, margin)]
 
-    def dense(self) -> np.ndarray:
-        out = np.zeros((BINS, len(self.languages)))
-        out[self.cells] = self.weights
+    def shown(self, texts: list[str | None], table) -> list[bool]:
+        """Whether each text shows one of the languages."""
+        out = [False] * len(texts)
+        use = [i for i, t in enumerate(texts) if self.languages and t is not None and has_letter(t)]
+        if use:
+            for i, (n, share, margin) in zip(use, self.evidence([texts[i] for i in use], table)):
+                slack = SLACK * np.sqrt(self.low[0] * (1 - self.low[0]) / n)
+                out[i] = bool(share >= self.low[0] - slack or (margin >= self.low[1] and share >= FOREIGN * self.low[0]))
         return out
 
-    def score(self, texts: list[str | None], dense: np.ndarray | None = None):
+    def score(self, texts: list[str | None], table=None):
         """Predicted languages and scores of a batch."""
-        dense = self.dense() if dense is None else dense
         best, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        for i, text in enumerate(texts):
-            if not self.languages or text is None or not has_letter(text):
-                continue
-            cell = grams(text)
-            f = dense[cell].sum(0) / np.sqrt(len(cell))
-            k = int(f.argmax())
-            best[i], score[i] = self.languages[k], float(min(1.0, max(0.0, (f[k] + 1) / 2)))
+        use = [i for i, t in enumerate(texts) if self.languages and t is not None and has_letter(t)]
+        if use:
+            f = self.product([grams(texts[i]) for i in use], self.lookup() if table is None else table)
+            top = f.argmax(1)
+            for i, k, v in zip(use, top.tolist(), f[np.arange(len(use)), top].tolist()):
+                best[i], score[i] = self.languages[k], min(1.0, max(0.0, (v + 1) / 2))
         return best, score
 
 
@@ -171,9 +184,8 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     alpha = np.linalg.solve(system, kernel.T @ target)
     model = Model(languages, cells, phi @ alpha)
     others = sorted(set(range(len(texts))) - set(landmark)) or landmark
-    dense, known = model.dense(), model.known()
-    begun = [spoken(texts[i])[:SNIPPET] for i in others]
-    seen = np.array([model.evidence(t, dense, known)[1:] for t in begun if has_letter(t)] or [(0.0, 0.0)])
+    begun = [t for t in (spoken(texts[i])[:SNIPPET] for i in others) if has_letter(t)]
+    seen = np.array([e[1:] for e in model.evidence(begun, model.lookup())] if begun else [(0.0, 0.0)])
     model.low = (float(np.quantile(seen[:, 0], LOW)), float(np.quantile(seen[:, 1], LOW)))
     return model
 
@@ -184,12 +196,13 @@ def held_out(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns on up to SAMPLE texts of each language, chosen by a hash of the
-    id among documents that are not held out."""
+    """Learns on up to SAMPLE texts of each language (the first LEARNT characters), chosen by
+    a hash of the id among documents that are not held out."""
     text = F.col(f"`{text_col}`")
     known = docs.filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()
                         & (~held_out(id_col)) & text.rlike(r"\p{L}"))
-    known = known.select(F.col(f"`{id_col}`").alias("i"), text.alias("t"), F.col(f"`{lang_col}`").alias("l"))
+    known = known.select(F.col(f"`{id_col}`").alias("i"), F.substring(text, 1, LEARNT).alias("t"), F.col(f"`{lang_col}`").alias("l"))
+    known = known.filter(F.col("t").rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in known.groupBy("l").count().collect()}          # one row a language
     scale, share = 1 << 30, F.lit(0)
     for lang, n in counts.items():
@@ -214,13 +227,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang: str =
     at = names.index(text_col)
 
     def run(batches):
-        dense, known = model.dense(), model.known()
+        table = model.lookup()
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            best, value = model.score(texts, dense)
+            best, value = model.score(texts, table)
             more = [pa.array(best, pa.string()), pa.array(value, pa.float64())]
             if sure:
-                more.append(pa.array(model.shown(texts, dense, known), pa.bool_()))
+                more.append(pa.array(model.shown(texts, table), pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*names, *added])
 
     added = [lang, score] + ([sure] if sure else [])

@@ -488,7 +488,7 @@ def test_languages_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_kernel_regression_equals_dense_form():
+def test_kernel_regression_equals_dense_form(monkeypatch):
     """The collapsed n-gram weights score as kernel values times coefficients do."""
     texts = ["the cat sat", "the dog ran", "le chat noir", "un chien brun", "the end", "la fin"]
     langs = ["en", "en", "fr", "fr", "en", "fr"]
@@ -499,9 +499,13 @@ def test_kernel_regression_equals_dense_form():
     order = range(6)
     system = kernel.T @ kernel + langid.RIDGE * kernel + 1e-8 * np.eye(6)
     want = kernel @ np.linalg.solve(system, kernel.T @ target)
-    dense = model.dense()
-    got = np.array([dense[langid.grams(texts[i])].sum(0) / np.sqrt(len(sets[i])) for i in order])
+    table = model.lookup()
+    got = model.product([langid.grams(texts[i]) for i in order], table)
     assert np.allclose(got, want, atol=1e-6)
+    monkeypatch.setattr(langid, "VALUES", 30)                  # several products a batch
+    assert np.allclose(model.product([langid.grams(texts[i]) for i in order], table), want, atol=1e-6)
+    both = model.score([None, *texts, "12 34"], table)
+    assert both[0][0] == both[0][-1] == "und" and [model.score([t])[0][0] for t in texts] == both[0][1:-1]
 
 
 def test_languages_of_odd_rows(spark):
