@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from costweave.plans import registry
-    from costweave.session import get_spark
+    from costweave.session import clean_scratch, get_spark
     registry.load_all()
     spark = get_spark(app="costweave-bench", master=f"local[{cpus}]",
                       shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus)))),
@@ -58,6 +58,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     result["sf"] = float(m.group(1)) if m else sf_dir
     print(json.dumps(result))
+    clean_scratch(spark)
     spark.stop()
 
 

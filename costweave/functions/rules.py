@@ -73,3 +73,17 @@ def parse_iso_ts(text) -> Column:
     with_colon = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
     stamp = F.when(t.contains(":"), with_colon).otherwise(t)
     return F.when(t.rlike(_ISO), stamp.try_cast("timestamp"))
+
+
+def parse_iso_strict(text) -> Column:
+    """As ``parse_iso_ts``, but text that is no ISO time fails the job (null stays null)."""
+    t = _c(text)
+    parsed = parse_iso_ts(t)
+    return F.when(t.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("not an ISO time: "), t)).cast("timestamp")).otherwise(parsed)
+
+
+def horizon_label(ds, today) -> Column:
+    """``FY2026 actual``, ``FY2026 to go`` (rest of the current fiscal year) or ``FY2027 plan``."""
+    d, t = _c(ds), _c(today)
+    part = F.when(d <= t, "actual").when(fiscal_year(d) == fiscal_year(t), "to go").otherwise("plan")
+    return F.concat(F.lit("FY"), fiscal_year(d).cast("string"), F.lit(" "), part)

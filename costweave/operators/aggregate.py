@@ -33,12 +33,18 @@ def count_sum_by(df: DataFrame, keys: list[str], value: str, digits: int | None
 
 def distinct_stats(df: DataFrame, key: str, distinct_cols: list[str], value: str | None = None,
                    approx: bool = False) -> DataFrame:
-    """Rows and exact distinct counts per key (``approx`` -> HLL sketch)."""
-    dc = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    aggs = [F.count(F.lit(1)).alias("rows")] + [dc(c).alias(f"distinct_{c}") for c in distinct_cols]
-    if value:
-        aggs.append(_dbl(F.sum(F.col(value).cast("decimal(38,6)"))).alias(f"total_{value}"))
-    return df.groupBy(key).agg(*aggs)
+    """Rows and exact distinct counts per key (``approx`` -> HLL sketch).  Several exact
+    distinct counts copy every row once for each of them, so rows are first
+    reduced to the combinations that occur."""
+    total = [_dbl(F.sum("_value")).alias(f"total_{value}")] if value else []
+    if approx:
+        rows, n = df.withColumn("_value", F.col(value).cast("decimal(38,6)")) if value else df, F.count(F.lit(1))
+        counts = [F.approx_count_distinct(c).alias(f"distinct_{c}") for c in distinct_cols]
+    else:
+        sums = [F.sum(F.col(value).cast("decimal(38,6)")).alias("_value")] if value else []
+        rows, n = df.groupBy(key, *distinct_cols).agg(F.count(F.lit(1)).alias("_rows"), *sums), F.sum("_rows")
+        counts = [F.count_distinct(c).alias(f"distinct_{c}") for c in distinct_cols]
+    return rows.groupBy(key).agg(n.alias("rows"), *counts, *total)
 
 
 def coverage_stats(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:

@@ -111,3 +111,24 @@ def all_empty_report(rows: DataFrame, table_col: str, expected: list[str]) -> Da
     out = names.join(n, "table_name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     # a row for each expected table
     return out.withColumn("all_empty", F.sum("rows").over(Window.partitionBy()) == 0)
+
+
+def contract_report(df: DataFrame, table: str, contract: list[tuple]) -> DataFrame:
+    """``contract``: (column, type, least, most), bounds as SQL literals or None.  One row a column: rows,
+    nulls and values out of bounds counted in one pass over the table, and a status:
+    missing, wrong_type, nulls, out_of_range or ok (the first that applies)."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    aggs, rows = [F.count(F.lit(1)).alias("rows")], []
+    for i, (name, kind, least, most) in enumerate(contract):
+        if name in types:
+            bad = [b for b in (f"`{name}` < {least}" if least is not None else None, f"`{name}` > {most}" if most is not None else None) if b]
+            aggs += [F.count_if(F.col(f"`{name}`").isNull()).alias(f"n{i}"),
+                     F.count_if(F.expr(" OR ".join(bad)) if bad else F.lit(False)).alias(f"b{i}")]
+        rows.append(F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
+                             F.lit(types.get(name)).alias("live_type"), F.lit(kind).alias("expected_type"),
+                             (F.col(f"n{i}") if name in types else F.lit(None).cast("long")).alias("nulls"),
+                             (F.col(f"b{i}") if name in types else F.lit(None).cast("long")).alias("out_of_range")))
+    out = df.agg(*aggs).select("rows", F.explode(F.array(*rows)).alias("c")).select("rows", "c.*")
+    status = (F.when(F.col("live_type").isNull(), "missing").when(F.col("live_type") != F.col("expected_type"), "wrong_type")
+              .when(F.col("nulls") > 0, "nulls").when(F.col("out_of_range") > 0, "out_of_range").otherwise("ok"))
+    return out.withColumn("status", status)

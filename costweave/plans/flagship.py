@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tags import with_hierarchy_cols
 from ..operators import hierarchy as H
+from ..session import cut_lineage
 from ..sources.fixtures import focus
 from .oracle_adapters import FLAGSHIP_CTES, FOCUS, DAILY_SERVICE, FILLED, SERVICE_ID_EXPR, with_ctes
 from .registry import query
@@ -37,7 +38,7 @@ def q_service_id(spark, root):
 @query("scaffold_zero_fill", with_ctes(("focus", FOCUS), ("daily", DAILY_SERVICE)) +
        f"SELECT service_id, ds, CAST(y AS DOUBLE) AS y FROM ({FILLED})")
 def q_zero_fill(spark, root):
-    z = H.zero_fill(H.daily_by_service(focus(spark, root)))
+    z = H.zero_fill(cut_lineage(H.daily_by_service(focus(spark, root))))     # feeds three branches
     return z.select("service_id", "ds", F.col("y").cast("double").alias("y"))
 
 

@@ -3,8 +3,6 @@ hierarchy series, each with DuckDB oracle SQL."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from ..functions.tags import LEVELS, with_hierarchy_cols
 from ..operators import aggregate as A
 from ..operators import windows as W
 from ..operators.hierarchy import daily_by_key, hierarchy_bridge, hierarchy_series
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, scratch_path
 from ..sources.fixtures import focus
 from ..sources.store import TableStore
 from . import oracle_adapters as O
@@ -272,6 +270,17 @@ def q_pivot_metric(spark, root):
     return w.groupBy("level").pivot("model_id", ["SeasonalNaive", "WeekdayMedian"]).agg(F.first("wape"))
 
 
+@query("pivot_bucket", _BT + f"""
+SELECT level, model_id, max(CASE WHEN horizon_bucket = '01-28d' THEN wape END) AS "01-28d",
+       max(CASE WHEN horizon_bucket = '29-91d' THEN wape END) AS "29-91d", max(CASE WHEN horizon_bucket = '92-182d' THEN wape END) AS "92-182d"
+FROM (SELECT level, model_id, horizon_bucket, {_WAPE_SQL} AS wape FROM cvl WHERE level IN ('total', 'division') GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+def q_pivot_bucket(spark, root):
+    """WAPE by horizon bucket as columns, for the total and the divisions."""
+    cv = _backtest(spark, root).filter(F.col("level").isin("total", "division"))
+    w = A.wape(cv, ["level", "model_id", "horizon_bucket"])
+    return w.groupBy("level", "model_id").pivot("horizon_bucket", [b for _, _, b in HORIZON_BUCKETS]).agg(F.first("wape"))
+
+
 @query("best_per_level", _BT + f"""
 SELECT level, model_id, wape FROM (
   SELECT *, row_number() OVER (PARTITION BY level ORDER BY wape, model_id) AS rn
@@ -298,7 +307,7 @@ def _accuracy(spark, cv):
     m = m.select("level", "model_id", "metric", "horizon_bucket", "value", F.lit(B.BT_HORIZON_DAYS).alias("bt_horizon_days"),
                  F.lit(B.N_WINDOWS).alias("n_windows"), F.lit(B.STEP_SIZE_DAYS).alias("step_size_days"),
                  F.lit(RUN_DATE).cast("date").alias("run_date"))
-    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store = TableStore(spark, scratch_path(spark, "stores"))
     store.replace_run_date(m, "forecast_accuracy")
     return store.read("forecast_accuracy")
 

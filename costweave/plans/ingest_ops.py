@@ -264,6 +264,18 @@ def q_select_dim(spark, root):
                         F.col("item_kind").alias("Item Kind"))
 
 
+@query("select_dims", w(("capacities", O.CAPACITIES), ("workspaces", O.WORKSPACES)) + """
+SELECT 'capacity' AS dim, capacity_id AS "Id", capacity_name AS "Name", sku AS "Kind" FROM capacities
+UNION ALL SELECT 'workspace', workspace_id, workspace_name, NULL FROM workspaces""")
+def q_select_dims(spark, root):
+    """The other two dimensions under their display names, stacked by name."""
+    dims = X.capacity_dims(spark, root)
+    c = dims["capacities"].select(F.lit("capacity").alias("dim"), F.col("capacity_id").alias("Id"),
+                                  F.col("capacity_name").alias("Name"), F.col("sku").alias("Kind"))
+    ws = dims["workspaces"].select(F.lit("workspace").alias("dim"), F.col("workspace_id").alias("Id"), F.col("workspace_name").alias("Name"))
+    return c.unionByName(ws, allowMissingColumns=True)
+
+
 @query("dedupe_dim", w(("items", O.ITEMS)) + """
 SELECT item_id, item_name, item_kind, "Timestamp" FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY "Timestamp" DESC, item_name DESC) AS rn FROM items)

@@ -3,14 +3,12 @@ external files, tables that may be missing, month modes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from ..operators import datasets as D
 from ..operators import landing as L
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources import fixtures as X
 from ..sources.tables import read_external, scan_or_empty, scan_table
 from . import oracle_adapters as O
@@ -22,7 +20,7 @@ TENANTS = {"tenant-a": "Tenant A", "tenant-b": "Tenant B"}
 
 
 def _folder(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    return scratch_path(spark, "landing")
 
 
 def _write_pages(pages, spark):

@@ -3,6 +3,7 @@ and chargeback designs, multi-provider union and history synthesis."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,13 +193,17 @@ FROM direct d JOIN tot t ON d.month = t.month LEFT JOIN pool p ON d.month = p.mo
 def q_department_chargeback(spark, root):
     """Direct cost by department (division) and cost centre (platform); the
     Untagged pool is shared in proportion to direct cost each month."""
-    f = X.focus(spark, root).select(_month().alias("month"), service_id("Tags").alias("sid"), "EffectiveCost")
-    tagged = f.filter(F.col("sid") != UNTAGGED_ID).select("month", *split_path("sid", ["department", "cost_centre"]),
-                                                          "EffectiveCost")
-    direct = tagged.groupBy("month", "department", "cost_centre").agg(F.sum("EffectiveCost").alias("direct_cost"))
-    pool = f.filter(F.col("sid") == UNTAGGED_ID).groupBy("month").agg(F.sum("EffectiveCost").alias("shared_pool"))
-    tot = direct.groupBy("month").agg(F.sum("direct_cost").alias("total_direct"))
-    j = direct.join(tot, "month").join(pool, "month", "left")
+    # month x Service_ID once; pool and totals are windows over its few rows of a month
+    f = X.focus(spark, root).groupBy(_month().alias("month"), service_id("Tags").alias("sid")).agg(F.sum("EffectiveCost").alias("cost"))
+    untagged = F.col("sid") == UNTAGGED_ID
+    g = f.withColumn("department", F.when(~untagged, F.split("sid", "/")[0])).withColumn(
+        "cost_centre", F.when(~untagged, F.split("sid", "/")[1]))
+    g = g.groupBy("month", "department", "cost_centre").agg(F.sum("cost").alias("direct_cost"))
+    own = Window.partitionBy("month")
+    shared = F.col("department").isNull()
+    g = g.withColumns({"shared_pool": F.sum(F.when(shared, F.col("direct_cost"))).over(own),
+                       "total_direct": F.sum(F.when(~shared, F.col("direct_cost"))).over(own)})
+    j = g.filter(~shared)
     sp = _d(F.coalesce(F.col("shared_pool"), F.lit(0)))
     alloc = sp * _d("direct_cost") / _d("total_direct")
     return j.select("month", "department", "cost_centre", _d("direct_cost").alias("direct_cost"),
@@ -215,8 +220,8 @@ _RULES_SQL = " UNION ALL ".join(f"SELECT '{s}' AS service, '{b}' AS bu_id, CAST(
 _BU_SQL = " UNION ALL ".join(f"SELECT '{b}' AS bu_id, '{n}' AS bu_name" for b, n in BUSINESS_UNITS)
 
 
-def _rules(spark):
-    r = spark.createDataFrame(ALLOCATION_RULES, "service string, bu_id string, share string")
+def _rules(spark, rules=ALLOCATION_RULES):
+    r = spark.createDataFrame(rules, "service string, bu_id string, share string")
     return r.select("service", "bu_id", F.col("share").cast("decimal(3,2)").alias("share"))
 
 
@@ -235,17 +240,34 @@ def q_allocate_by_rule(spark, root):
         _d(F.sum(F.col("EffectiveCost") * F.col("share"))).alias("allocated_cost"))
 
 
-@query("allocation_rule_check", w(("focus", O.FOCUS)) + f"""
-SELECT s.service, CAST(coalesce(sum(r.share), 0) AS DOUBLE) AS share_total
-FROM (SELECT DISTINCT ServiceName AS service FROM focus) s LEFT JOIN ({_RULES_SQL}) r ON s.service = r.service
-GROUP BY 1 HAVING coalesce(sum(r.share), 0) <> 1""")
+# A draft of the rules with one share mistyped and one service forgotten, for the check.
+DRAFT_RULES = [r if r != ("A", "BU1", "0.60") else ("A", "BU1", "0.06") for r in ALLOCATION_RULES if r[0] != "N"]
+_DRAFT_SQL = " UNION ALL ".join(f"SELECT '{s}' AS service, '{b}' AS bu_id, CAST({x} AS DECIMAL(3,2)) AS share" for s, b, x in DRAFT_RULES)
+
+
+def _rule_check(rules):
+    return f"""SELECT s.service, CAST(coalesce(sum(r.share), 0) AS DOUBLE) AS share_total, CAST(s.cost AS DOUBLE) AS cost
+FROM (SELECT ServiceName AS service, sum(EffectiveCost) AS cost FROM focus GROUP BY 1) s LEFT JOIN ({rules}) r ON s.service = r.service
+GROUP BY 1, 3 HAVING coalesce(sum(r.share), 0) <> 1"""
+
+
+def _check_rules(spark, root, rules):
+    svc = X.focus(spark, root).groupBy(F.col("ServiceName").alias("service")).agg(F.sum("EffectiveCost").alias("cost"))
+    s = svc.join(_rules(spark, rules), "service", "left").groupBy("service", "cost").agg(F.coalesce(F.sum("share"), F.lit(0)).alias("t"))
+    return s.filter(F.col("t") != 1).select("service", _d("t").alias("share_total"), _d("cost").alias("cost"))
+
+
+@query("allocation_rule_check", w(("focus", O.FOCUS)) + _rule_check(_RULES_SQL))
 def q_allocation_rule_check(spark, root):
     """Services billed in the fact whose rule shares do not sum to 1 (cost
-    would be dropped or duplicated)."""
-    svc = X.focus(spark, root).select(F.col("ServiceName").alias("service")).distinct()
-    s = svc.join(_rules(spark), "service", "left").groupBy("service").agg(
-        F.coalesce(F.sum("share"), F.lit(0)).alias("t"))
-    return s.filter(F.col("t") != 1).select("service", _d("t").alias("share_total"))
+    would be dropped or duplicated), and the cost at stake."""
+    return _check_rules(spark, root, ALLOCATION_RULES)
+
+
+@query("allocation_draft_check", w(("focus", O.FOCUS)) + _rule_check(_DRAFT_SQL))
+def q_allocation_draft_check(spark, root):
+    """The same check on a draft that has two faults."""
+    return _check_rules(spark, root, DRAFT_RULES)
 
 
 @query("enrich_org", w(("focus", O.FOCUS)) + """

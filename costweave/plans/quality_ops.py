@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,8 +10,7 @@ from ..operators import edges as E
 from ..operators import gates as G
 from ..operators import landing as L
 from ..operators.hierarchy import hierarchy_series
-from ..operators.joins import schema_contract, schema_frame
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, scratch_path
 from ..sources import fixtures as X
 from ..sources.store import TableStore, row_count_match, written_counts
 from ..sources.tables import scan_table
@@ -171,6 +168,19 @@ def q_continuity_gate(spark, root):
                              ["subscription_id"], "hour_utc", "1 HOUR")
 
 
+@query("continuity_gate_days", w(("usage", O.USAGE_HOURLY)) + """
+SELECT p.subscription_id, p.prior_max, n.new_min
+FROM (SELECT subscription_id, max(hour_utc) AS prior_max FROM usage WHERE hour_utc < TIMESTAMP '2024-01-11' GROUP BY 1) p
+JOIN (SELECT subscription_id, min(hour_utc) AS new_min FROM usage WHERE hour_utc >= TIMESTAMP '2024-01-13' GROUP BY 1) n
+  ON p.subscription_id = n.subscription_id WHERE n.new_min > p.prior_max + INTERVAL 3 DAY""")
+def q_continuity_gate_days(spark, root):
+    """The same by days: an extract that begins two days after the one before, gaps of more than three days."""
+    u = X.usage_hourly(spark, root)
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    return G.continuity_gate(u.filter(F.col("hour_utc") < at("2024-01-11")), u.filter(F.col("hour_utc") >= at("2024-01-13")),
+                             ["subscription_id"], "hour_utc", "3 DAYS")
+
+
 @query("length_gate", _UL + """
 SELECT subscription_id, usage_day, total_hours, len(charges) AS array_length FROM packed WHERE total_hours <> len(charges)""")
 def q_length_gate(spark, root):
@@ -199,21 +209,42 @@ def q_freshness_gate(spark, root):
     return G.freshness_gate(X.capacity_fact(spark, root), "usage_date", X.CAPACITY_AS_OF, 2, "capacity")
 
 
-# Expected capacity fact contract; one expected name differs from the live
-# schema on purpose ("cu_seconds" vs "cu_s") so the gate has a finding.
-CAPACITY_CONTRACT = ["capacity_id", "workspace_id", "item_id", "operation_name", "usage_date", "cu_seconds",
-                     "duration_s", "operation_count", "success_count", "failure_count", "throttling_s", "user_count"]
+# Expected capacity fact; it deviates on purpose in a name ("cu_seconds" for "cu_s"), a type and
+# a bound, so that the gate has findings.
+CAPACITY_CONTRACT = [
+    ("capacity_id", "string", None, None), ("workspace_id", "string", None, None), ("item_id", "string", None, None),
+    ("operation_name", "string", None, None), ("usage_date", "date", "DATE '1992-01-01'", "DATE '2010-12-31'"),
+    ("cu_seconds", "decimal(18,2)", "0", None), ("duration_s", "decimal(18,2)", "0", None), ("operation_count", "bigint", "1", None),
+    ("success_count", "bigint", "0", "1"), ("failure_count", "int", "0", "1"), ("throttling_s", "decimal(6,2)", "0", "0.05"),
+    ("user_count", "bigint", "1", None)]
+_LIVE = {"capacity_id": "string", "workspace_id": "string", "item_id": "string", "operation_name": "string", "usage_date": "date",
+         "duration_s": "decimal(18,2)", "operation_count": "bigint", "success_count": "bigint", "failure_count": "bigint",
+         "throttling_s": "decimal(6,2)", "user_count": "bigint"}
+
 
+def _contract_sql(name, kind, least, most):
+    live = _LIVE.get(name)
+    bad = " OR ".join(b for b in (f"{name} < {least}" if least else "", f"{name} > {most}" if most else "") if b) or "false"
+    nulls, out = (f"count(*) FILTER ({name} IS NULL)", f"count(*) FILTER ({bad})") if live else ("NULL", "NULL")
+    status = ("'missing'" if live is None else "'wrong_type'" if live != kind else
+              f"CASE WHEN {nulls} > 0 THEN 'nulls' WHEN {out} > 0 THEN 'out_of_range' ELSE 'ok' END")
+    text = f"'{live}'" if live else "NULL"
+    return (f"SELECT 'capacity_fact' AS table_name, '{name}' AS column_name, {text} AS live_type, '{kind}' AS expected_type, "
+            f"count(*) AS rows, CAST({nulls} AS BIGINT) AS nulls, CAST({out} AS BIGINT) AS out_of_range, {status} AS status FROM fact")
 
-@query("schema_contract", w(("fact", O.CAPACITY_FACT)) + """
-SELECT e.table_name, e.column_name FROM (SELECT 'capacity_fact' AS table_name, unnest(['""" +
-       "', '".join(CAPACITY_CONTRACT) + """']) AS column_name) e
-WHERE e.column_name NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM fact))""")
+
+@query("schema_contract", w(("fact", O.CAPACITY_FACT)) + " UNION ALL ".join(_contract_sql(*c) for c in CAPACITY_CONTRACT))
 def q_schema_contract(spark, root):
-    expected = spark.createDataFrame([("capacity_fact", c) for c in CAPACITY_CONTRACT],
-                                     "table_name string, column_name string")
-    live = schema_frame(spark, {"capacity_fact": X.capacity_fact(spark, root)}).drop("data_type")
-    return schema_contract(expected, live)
+    """The fact against its contract: columns, types, nulls and bounds, over all rows in one pass."""
+    return G.contract_report(X.capacity_fact(spark, root), "capacity_fact", CAPACITY_CONTRACT)
+
+
+@query("contract_gate", w(("fact", O.CAPACITY_FACT)) + "SELECT table_name, column_name, status FROM (" +
+       " UNION ALL ".join(_contract_sql(*c) for c in CAPACITY_CONTRACT) + ") WHERE status <> 'ok'")
+def q_contract_gate(spark, root):
+    """Columns that break the contract; any row fails the gate."""
+    r = G.contract_report(X.capacity_fact(spark, root), "capacity_fact", CAPACITY_CONTRACT)
+    return r.filter(F.col("status") != "ok").select("table_name", "column_name", "status")
 
 
 # ------------------------------------------------------------------ rule reports
@@ -343,12 +374,22 @@ def q_lineage_counts(spark, root):
     return a.unionByName(b).unionByName(g)
 
 
+@query("lineage_counts_since", w(("usage", O.USAGE_HOURLY)) + """
+SELECT 'bronze' AS layer, 'usage' AS table_name, snapshot_date, count(*) AS rows, max(ingestion_timestamp) AS latest
+FROM usage WHERE ingestion_timestamp >= TIMESTAMP '2024-01-30' GROUP BY 3""")
+def q_lineage_counts_since(spark, root):
+    """Rows of each snapshot ingested since the start of a run's day."""
+    u = X.usage_hourly(spark, root).filter(F.col("ingestion_timestamp") >= F.lit("2024-01-30").cast("timestamp_ntz"))
+    return u.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"), F.max("ingestion_timestamp").alias("latest")).select(
+        F.lit("bronze").alias("layer"), F.lit("usage").alias("table_name"), "snapshot_date", "rows", "latest")
+
+
 # ------------------------------------------------------------------ written tables
 def _written_orders(spark, root):
     """Orders by year, and the same as a partitioned table written and read again."""
     orders = scan_table(spark, root, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"]).withColumn(
         "year", F.year("o_orderdate"))
-    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store = TableStore(spark, scratch_path(spark, "stores"))
     store.replace_partition(orders, "orders", ["year"])
     return orders, store.read("orders")
 
@@ -380,7 +421,7 @@ def q_upsert(spark, root):
     status = F.nullif(F.col("o_orderstatus"), F.lit("P"))
     old = scan_table(spark, root, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]).select(
         "o_orderkey", status.alias("status"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderdate")
-    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store = TableStore(spark, scratch_path(spark, "stores"))
     store.write_overwrite(old.drop("o_orderdate"), "orders", ["status"])
     late = old.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     corrected = late.select("o_orderkey", "status", (F.col("price") + 1).cast("decimal(18,2)").alias("price"))

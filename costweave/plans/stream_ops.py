@@ -4,11 +4,9 @@ sink holds at the end is the result."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources import fixtures as X
 from ..sources.store import TableStore
 from ..sources.tables import scan_table
@@ -20,7 +18,7 @@ w = O.with_ctes
 
 
 def _base(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return scratch_path(spark, "streams")
 
 
 def _land(rows, extract: int, base: str):

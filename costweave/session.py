@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -94,6 +95,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_scratch: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder name under the shared checkpoint folder, remembered for
+    ``clean_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete every intermediate this application wrote; returns how many there were.  For
+    the end of a job: frames that still read one of them fail afterwards."""
+    sc = spark.sparkContext
+    paths = _scratch.pop(sc.applicationId, [])
+    for path in paths:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def cut_lineage(df):
     """Write an intermediate as a Parquet table under the session's shared
     checkpoint folder and continue from the written table.
@@ -104,8 +127,6 @@ def cut_lineage(df):
     a replay of the lineage.  A columnar table (rather than an RDD
     checkpoint of serialized rows) is faster to write and lets later reads
     prune columns.  Never a local (executor-memory) checkpoint."""
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "tables")
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .tables import scan_table
 
 MONEY = "decimal(18,2)"
@@ -381,8 +382,9 @@ def usage_packed(spark: SparkSession, root: str, seeded: bool = True) -> DataFra
     ``seeded``: the declared count is wrong (23) for users % 7 = 0 on 2024-01-15.
     Groups are bounded: at most 24 values per subscription-day."""
     u = usage_hourly(spark, root)
-    latest = u.groupBy("subscription_id", "hour_utc").agg(F.max("snapshot_date").alias("snapshot_date"))
-    u = u.join(latest, ["subscription_id", "hour_utc", "snapshot_date"])
+    u = u.groupBy("subscription_id", "hour_utc").agg(
+        F.max_by(F.struct("tenant_id", "hourly_charge"), "snapshot_date").alias("u")).select("subscription_id", "hour_utc", "u.*")
+    u = cut_lineage(u)                      # feeds the days and the filled slots
     days = u.select("tenant_id", "subscription_id", F.to_date("hour_utc").alias("usage_day")).distinct()
     slots = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
     slots = slots.withColumn("hour_utc", F.col("usage_day").cast("timestamp_ntz") + F.make_interval(hours=F.col("h")))

@@ -10,7 +10,8 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from costweave.session import local_spark
+    from costweave.session import clean_scratch, local_spark
     s = local_spark()
     yield s
+    clean_scratch(s)
     s.stop()

@@ -74,3 +74,20 @@ def test_iso_timestamps_with_fractions_and_offsets(spark):
         "i", parse_iso_ts("t").cast("string").alias("ts")).orderBy("i").collect()
     assert [r["ts"] for r in rows] == ["2024-03-01 10:20:30.123456", "2024-03-01 10:20:30", "2024-03-01 10:20:30.5",
                                       "2024-03-01 10:20:30", "2024-03-01 00:00:00", None, None, None]
+
+
+def test_strict_iso_and_horizon_label(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+    from costweave.functions.rules import horizon_label, parse_iso_strict
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), (None,)], "t string")
+    assert [str(r[0]) for r in df.select(parse_iso_strict("t").cast("timestamp_ntz")).collect()] == ["2024-01-02 03:04:05", "None"]
+    try:
+        spark.createDataFrame([("yesterday",)], "t string").select(parse_iso_strict("t")).collect()
+        raised = False
+    except PySparkException as e:
+        raised = "not an ISO time: yesterday" in str(e)
+    assert raised
+    days = spark.createDataFrame([("2025-08-31",), ("2025-09-01",), ("2025-12-31",), ("2026-08-31",), ("2026-09-01",)], "d string").select(F.to_date("d").alias("d"))
+    got = [r[0] for r in days.select(horizon_label("d", F.lit("2025-12-01").cast("date"))).collect()]
+    assert got == ["FY2025 actual", "FY2026 actual", "FY2026 to go", "FY2026 to go", "FY2027 plan"]

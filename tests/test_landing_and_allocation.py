@@ -118,3 +118,26 @@ def test_orphan_endpoints(spark):
     src = {"orders": spark.createDataFrame([("o1", "C1"), ("o2", "C7")], "order_id string, customer_id string")}
     edges = E.build_tagged(src, "b", "2024-01-01 00:00:00", ["order_customer"])
     assert sorted((r.endpoint, r.node_id) for r in E.orphan_edges(edges, nodes).collect()) == [("source", "o2"), ("target", "c7")]
+
+
+def test_contract_report(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, None, 50)], "id int, name string, n int")
+    contract = [("id", "int", None, None), ("name", "string", None, None), ("n", "int", "0", "10"), ("gone", "int", None, None), ("id", "bigint", None, None)]
+    got = [(r.column_name, r.status, r.rows, r.nulls, r.out_of_range) for r in G.contract_report(df, "t", contract).collect()]
+    assert got == [("id", "ok", 2, 0, 0), ("name", "nulls", 2, 1, 0), ("n", "out_of_range", 2, 0, 1), ("gone", "missing", 2, None, None),
+                   ("id", "wrong_type", 2, 0, 0)]
+
+
+def test_scratch_is_remembered_and_removed(spark, tmp_path):
+    import os
+    from costweave import session
+    before = dict(session._scratch)
+    session._scratch.clear()
+    try:
+        df = session.cut_lineage(spark.range(5))
+        path = session._scratch[spark.sparkContext.applicationId][0]
+        local = path.removeprefix("file://").removeprefix("file:")
+        assert df.count() == 5 and os.path.isdir(local)
+        assert session.clean_scratch(spark) == 1 and not os.path.exists(local) and session.clean_scratch(spark) == 0
+    finally:
+        session._scratch.update(before)
