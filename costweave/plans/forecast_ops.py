@@ -517,12 +517,17 @@ def q_cost_anomalies(spark, root):
 
 
 # ------------------------------------------------------------------ reconciliation
+# Base forecasts have four decimals, and a reconciled one can equal its base but for rounding:
+# the shift keeps exact halves of a cent off the edge, where the last bit would decide.
+OFF_EDGE = 0.00003
+
+
 def _cents(df):
-    return df.withColumn("yhat", F.round("yhat", 2))
+    return df.withColumn("yhat", F.round(F.col("yhat") + OFF_EDGE, 2))
 
 
 @query("wls_reconcile", _FC + _LEAVES_SQL + _wls_sql("r", "fc", "wleaf", "unique_id", "ds, model_id") + """
-SELECT unique_id, ds, model_id || '/WLS' AS model_id, round(yhat, 2) AS yhat FROM rout""")
+SELECT unique_id, ds, model_id || '/WLS' AS model_id, round(yhat + 0.00003, 2) AS yhat FROM rout""")
 def q_wls_reconcile(spark, root):
     """Base forecasts of all levels reconciled by structural WLS on the tree."""
     h = _hist(spark, root)
@@ -530,7 +535,7 @@ def q_wls_reconcile(spark, root):
 
 
 @query("wls_var", _FC + _FIT_SQL + _wls_sql("r", "fc", "wvar", "unique_id, model_id", "ds, model_id", True) + """
-SELECT unique_id, ds, model_id || '/WLS' AS model_id, round(yhat, 2) AS yhat FROM rout""")
+SELECT unique_id, ds, model_id || '/WLS' AS model_id, round(yhat + 0.00003, 2) AS yhat FROM rout""")
 def q_wls_var(spark, root):
     """min_trace(wls_var), non-negative: weights are each node's own residual variance."""
     h = _hist(spark, root)
