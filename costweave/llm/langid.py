@@ -53,7 +53,7 @@ SLACK = 3.0
 FOREIGN = 0.5
 SNIPPET = 80
 LEARNT = 1 << 15
-VALUES = 1 << 22                              # numbers held at once by a batch's product
+VALUES = 1 << 20                              # numbers held at once by a batch's product
 UNKNOWN = "und"
 _MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 _tables: dict = {}                            # of a Python worker
@@ -113,27 +113,35 @@ class Model:
         row[self.cells] = np.arange(len(self.cells), dtype=np.int32)
         return row, np.vstack([self.weights, np.zeros((1, len(self.languages)))])
 
-    def product(self, sets: list[np.ndarray], table) -> np.ndarray:
-        """Presence vectors (normalised) times the weights, a row for each text; no set is empty."""
+    def product(self, sets, table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Presence vectors (normalised) times the weights, a row for each text; also the number
+        of its n-grams and the share of them that the landmarks have.  ``sets`` may be a
+        generator: only as many are held as one product takes.  No set is empty."""
         row, weights = table
-        out, at = np.zeros((len(sets), len(self.languages))), 0
-        while at < len(sets):
-            end, size = at, 0
-            while end < len(sets) and (end == at or (size + len(sets[end])) * len(self.languages) <= VALUES):
-                size += len(sets[end])
-                end += 1
-            lens = np.array([len(c) for c in sets[at:end]])
-            values = weights[row[np.concatenate(sets[at:end])]]
-            out[at:end] = np.add.reduceat(values, np.cumsum(lens) - lens, axis=0) / np.sqrt(lens)[:, None]
-            at = end
-        return out
+        parts, held, size = [], [], 0
+
+        def multiply():
+            lens = np.array([len(c) for c in held])
+            at, starts = row[np.concatenate(held)], np.cumsum(lens) - lens
+            known = np.add.reduceat((at < len(self.cells)).astype(np.int64), starts)
+            parts.append((np.add.reduceat(weights[at], starts, axis=0) / np.sqrt(lens)[:, None], lens, known / lens))
+
+        for cells in sets:
+            if held and (size + len(cells)) * len(self.languages) > VALUES:
+                multiply()
+                held, size = [], 0
+            held.append(cells)
+            size += len(cells)
+        if held:
+            multiply()
+        return tuple(np.concatenate(p) for p in zip(*parts))
 
     def evidence(self, texts: list[str], table) -> list[tuple[int, float, float]]:
         """For each text the number of distinct n-grams of letters, the share the landmarks have, the margin."""
-        sets = [grams(spoken(t)) for t in texts]
-        f = np.sort(self.product(sets, table), axis=1)
-        margin = f[:, -1] - f[:, -2] if f.shape[1] > 1 else np.zeros(len(sets))
-        return [(len(c), float((table[0][c] < len(self.cells)).mean()), float(m)) for c, m in zip(sets, margin)]
+        f, n, share = self.product((grams(spoken(t)) for t in texts), table)
+        f = np.sort(f, axis=1)
+        margin = f[:, -1] - f[:, -2] if f.shape[1] > 1 else np.zeros(len(f))
+        return list(zip(n.tolist(), share.tolist(), margin.tolist()))
 
     def shown(self, texts: list[str | None], table) -> list[bool]:
         """Whether each text shows one of the languages."""
@@ -150,7 +158,7 @@ class Model:
         best, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
         use = [i for i, t in enumerate(texts) if self.languages and t is not None and has_letter(t)]
         if use:
-            f = self.product([grams(texts[i]) for i in use], self.lookup() if table is None else table)
+            f = self.product((grams(texts[i]) for i in use), self.lookup() if table is None else table)[0]
             top = f.argmax(1)
             for i, k, v in zip(use, top.tolist(), f[np.arange(len(use)), top].tolist()):
                 best[i], score[i] = self.languages[k], min(1.0, max(0.0, (v + 1) / 2))

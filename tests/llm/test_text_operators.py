@@ -500,10 +500,11 @@ def test_kernel_regression_equals_dense_form(monkeypatch):
     system = kernel.T @ kernel + langid.RIDGE * kernel + 1e-8 * np.eye(6)
     want = kernel @ np.linalg.solve(system, kernel.T @ target)
     table = model.lookup()
-    got = model.product([langid.grams(texts[i]) for i in order], table)
+    got, n, share = model.product([langid.grams(texts[i]) for i in order], table)
+    assert n.tolist() == [len(s) for s in sets] and (share == 1).all()
     assert np.allclose(got, want, atol=1e-6)
     monkeypatch.setattr(langid, "VALUES", 30)                  # several products a batch
-    assert np.allclose(model.product([langid.grams(texts[i]) for i in order], table), want, atol=1e-6)
+    assert np.allclose(model.product((langid.grams(texts[i]) for i in order), table)[0], want, atol=1e-6)
     both = model.score([None, *texts, "12 34"], table)
     assert both[0][0] == both[0][-1] == "und" and [model.score([t])[0][0] for t in texts] == both[0][1:-1]
 
