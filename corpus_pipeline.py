@@ -5,8 +5,8 @@ it as Parquet and reads it again as the next one's ``docs``.  All but the last
 return the columns of ``documents``.
 
 1. language ID drops documents that show none of the learnt languages;
-2. line dedup cuts repeated runs of lines, and drops documents of which
-   nothing is left;
+2. line dedup cuts repeated lines of four or more words, the shorter lines that repeat
+   beside them and repeated runs, and drops documents of which nothing is left;
 3. MinHash near-dedup keeps the smallest doc_id of each class;
 4. substring dedup cuts words covered by 13-word windows that a smaller
    doc_id has, and drops documents of which nothing is left;
@@ -17,15 +17,13 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costweave.llm import langid, lines, minhash, substring
 from costweave.llm.common import read_table
 from costweave.llm.queries import packed_documents
-from costweave.session import ensure_checkpoint_dir
+from costweave.session import scratch_path
 
 #: DuckDB SQL for run()'s rows: the stages learn and tokenise, SQL can't.
 ORACLE_SQL = None
@@ -79,7 +77,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the checkpoint folder and reread."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}_{name}"
