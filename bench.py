@@ -21,7 +21,7 @@ HEADLINE = [
     "latest_snapshot", "hourly_demand", "seat_utilisation", "grain_reconcile", "star_enrich",
     "capacity_chargeback", "edge_report", "orphan_edges", "seasonal_naive", "accuracy_table",
     "budget_vs_forecast", "cost_anomalies", "changepoints", "wls_reconcile", "department_chargeback",
-    "mstl_forecast", "mint_shrink",
+    "mstl_forecast", "wls_var",
 ]
 
 
