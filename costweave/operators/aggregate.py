@@ -97,16 +97,18 @@ def mape_rmse(df: DataFrame, keys: list[str], y: str = "y", yhat: str = "yhat")
 
 
 def accuracy(df: DataFrame, keys: list[str], bucket: str, y: str = "y", yhat: str = "yhat") -> DataFrame:
-    """WAPE, MAPE and RMSE by keys (null bucket) and by keys and bucket, one
-    grouping-sets pass; rows without an actual don't count, nor a null bucket."""
+    """WAPE, MAPE and RMSE by keys (null bucket) and by keys and bucket; rows without an
+    actual don't count, nor a null bucket.  Rows are summed once by keys and bucket; the
+    grouping sets run over those few sums, so no row is copied for the overall figures."""
     err = F.col(yhat) - F.col(y)
     ape = F.try_divide(F.abs(err), F.abs(F.col(y)))
-    den = F.sum(_exact(F.abs(F.col(y)))).cast("double")
-    g = df.groupingSets([keys, [*keys, bucket]], *keys, bucket).agg(
-        F.when(den != 0, F.sum(_exact(F.abs(err))).cast("double") / den).alias("wape"),
-        (F.sum(_exact(ape, 10)).cast("double") / F.count(ape)).alias("mape"),
-        F.sqrt(F.sum(_exact(err * err)).cast("double") / F.count(err)).alias("rmse"),
-        F.grouping(bucket).alias("_overall"))
+    sums = df.groupBy(*keys, bucket).agg(
+        F.sum(_exact(F.abs(err))).alias("_e"), F.sum(_exact(F.abs(F.col(y)))).alias("_y"), F.sum(_exact(ape, 10)).alias("_a"),
+        F.count(ape).alias("_na"), F.sum(_exact(err * err)).alias("_q"), F.count(err).alias("_n"))
+    total = lambda c: F.sum(c).cast("double")
+    g = sums.groupingSets([keys, [*keys, bucket]], *keys, bucket).agg(
+        F.when(total("_y") != 0, total("_e") / total("_y")).alias("wape"), F.try_divide(total("_a"), F.sum("_na")).alias("mape"),
+        F.sqrt(F.try_divide(total("_q"), F.sum("_n"))).alias("rmse"), F.grouping(bucket).alias("_overall"))
     return g.filter((F.col("_overall") == 1) | F.col(bucket).isNotNull()).drop("_overall")
 
 
