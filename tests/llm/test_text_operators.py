@@ -126,6 +126,20 @@ def test_split_character_decodes_to_replacement(spark):
     assert out[1]["text"] == "🙂" and "�" in out[2]["text"] and out[3]["text"] == "" and out[4]["text"] is None
 
 
+def test_special_token_strings_are_ordinary_text():
+    tok = bpe.tokenizer_from_json(queries.JSON_50K)
+    text = "a<|endoftext|> b"
+    ids = tok.encode(text, add_special_tokens=False).ids
+    assert 50256 not in ids and tok.decode(ids, skip_special_tokens=False) == text
+
+
+def test_bpe_of_an_empty_table(spark):
+    import public_tokenizers
+    none = documents(spark, [])
+    coded = bpe.encode(none, queries.RANKS_50K, public_tokenizers.PATTERN)
+    assert coded.count() == 0 and bpe.decode(coded, queries.RANKS_50K, public_tokenizers.PATTERN).count() == 0
+
+
 def test_bpe_query(spark):
     enc = tiktoken_encoding()
     texts = {r["doc_id"]: r["text"] or "" for r in table(spark, SF001, "documents").collect()}
