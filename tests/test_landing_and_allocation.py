@@ -141,3 +141,25 @@ def test_scratch_is_remembered_and_removed(spark, tmp_path):
         assert session.clean_scratch(spark) == 1 and not os.path.exists(local) and session.clean_scratch(spark) == 0
     finally:
         session._scratch.update(before)
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("RepartitionByExpression"), df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_edges_are_exchanged_once_and_without_their_hash(spark):
+    src = {"lineitems": spark.createDataFrame([("L|1", "O1", "P1", "S1"), ("l|1", "o1", None, ""), (None, "O1", "P1", "S1"), ("", "O1", "P1", "S1"),
+                                               ("", "o1", "P2", None), ("|x", "O1", "P1", "S1"), (None, None, None, None)],
+                                              "line_id string, order_id string, part_id string, supplier_id string"),
+           "orders": spark.createDataFrame([("o", "C|1"), ("o|C", "1"), ("o2", None), ("", "|x|c")], "order_id string, customer_id string")}
+    names = ["lineitem_order", "lineitem_part", "lineitem_supplier", "order_customer"]
+    for clean in (True, False):
+        one = E.tagged_union(E.build_all(src, "b", "2024-01-01 00:00:00", names, clean))
+        tagged = E.build_tagged(src, "b", "2024-01-01 00:00:00", names, clean, keep_place=True)
+        columns = [*E.EDGE_COLUMNS, "edge_table"]
+        assert sorted(map(str, one.select(*columns).collect())) == sorted(map(str, tagged.select(*columns).collect()))
+        # the report needs no further exchange of edges: one to their place, one of sums by table
+        assert _exchanges(E.edge_report(tagged)) == (1, 2)
+        assert sorted(map(str, E.edge_report(tagged).collect())) == sorted(map(str, E.edge_report(one).collect()))
+    assert _exchanges(E.build_tagged(src, "b", "2024-01-01 00:00:00", names)) == (1, 1)
