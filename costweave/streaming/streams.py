@@ -10,6 +10,7 @@ one write leaves.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -78,48 +79,75 @@ def stream_dedupe_snapshots(rows: DataFrame, keys: list[str], ts: str, lateness:
 
 
 class KeepNewest(StatefulProcessor):
-    """State of a key: its newest row so far (times as microseconds).  A newer row
-    replaces it and is emitted; an event-time timer drops the state ``keep_ms`` after
-    the row's own time."""
+    """State of a bucket of keys: the newest row so far of each (times as microseconds).  A newer
+    row replaces its key's and is emitted; an event-time timer drops rows from the state
+    ``keep_ms`` after their own time.
 
-    def __init__(self, schema: StructType, order: list[str], ts: str, keep_ms: int):
-        self.schema, self.ts, self.keep_ms = schema, ts, keep_ms
+    A call from Python into the state costs far more than the work on a row, so keys share
+    one: a bucket's state is read and written once a batch, as one binary value, and has one timer at the time
+    its first row goes."""
+
+    def __init__(self, schema: StructType, keys: list[str], order: list[str], ts: str, keep_ms: int):
+        self.names, self.keep_ms = schema.names, keep_ms
         names = schema.names
+        self.ts = names.index(ts)
+        self.keys = [names.index(c) for c in keys]
         # equal in all ordering columns: the larger row, so that any order of arrival ends alike
         self.rank = [names.index(c) for c in [*order, *[n for n in names if n not in order]]]
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.newest = handle.getValueState("newest", self.schema)
+        self.newest = handle.getValueState("newest", "rows binary")
+
+    def _read(self) -> dict:
+        held = self.newest.get()
+        return {} if held is None else {tuple(row[i] for i in self.keys): row for row in pickle.loads(bytes(held[0]))}
+
+    def _write(self, rows: dict) -> None:
+        if rows:
+            self.newest.update((pickle.dumps(list(rows.values()), protocol=5),))
+        else:
+            self.newest.clear()
 
     def _order(self, row):
         return [(row[i] is not None, row[i]) if row[i] is not None else (False,) for i in self.rank]
 
     def _expiry(self, row) -> int | None:
-        at = row[self.schema.names.index(self.ts)]
-        return None if at is None else at // 1000 + self.keep_ms
+        return None if row[self.ts] is None else row[self.ts] // 1000 + self.keep_ms
+
+    def _first_expiry(self, rows: dict) -> int | None:
+        return min((x for x in map(self._expiry, rows.values()) if x is not None), default=None)
 
     def handleInputRows(self, key, rows, timerValues):
-        had = self.newest.get()
-        best = had = None if had is None else tuple(had)
+        best, changed, at = self._read(), {}, None
+        before = self._first_expiry(best)
         for row in rows:
-            row = tuple(row[c] for c in self.schema.names)
-            if best is None or self._order(row) > self._order(best):
-                best = row
-        if best != had:
-            self.newest.update(best)
-            # one timer a key: a timer that finds a newer row moves on to that row's time
-            if (had is None or self._expiry(had) is None) and self._expiry(best) is not None:
-                self.handle.registerTimer(self._expiry(best))
-            yield Row(**dict(zip(self.schema.names, best)))
+            at = at or [row.__fields__.index(c) for c in self.names]
+            row = tuple(row)
+            row = tuple([row[i] for i in at])
+            k = tuple([row[i] for i in self.keys])
+            had = best.get(k)
+            if had is None or (row != had and self._order(row) > self._order(had)):
+                best[k] = changed[k] = row
+        if changed:
+            self._write(best)
+            # a timer that finds only newer rows moves on to their time; one before it is needed for an older row
+            first = self._first_expiry(best)
+            if first is not None and (before is None or first < before):
+                self.handle.registerTimer(first)
+        for row in changed.values():
+            yield Row(**dict(zip(self.names, row)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        row = self.newest.get()
-        expiry = None if row is None else self._expiry(tuple(row))
-        if expiry is not None and expiry > expiredTimerInfo.getExpiryTimeInMs():
-            self.handle.registerTimer(expiry)
-        else:
-            self.newest.clear()
+        now, rows = expiredTimerInfo.getExpiryTimeInMs(), self._read()
+        # every row whose time has come by now, not only those of this timer
+        now = max(now, timerValues.getCurrentWatermarkInMs())
+        kept = {k: row for k, row in rows.items() if self._expiry(row) is None or self._expiry(row) > now}
+        if len(kept) < len(rows):
+            self._write(kept)
+        first = self._first_expiry(kept)
+        if first is not None:
+            self.handle.registerTimer(first)
         return iter(())
 
     def close(self) -> None:
@@ -127,17 +155,19 @@ class KeepNewest(StatefulProcessor):
 
 
 def stream_latest_snapshot(rows: DataFrame, keys: list[str], order: list[str], ts: str,
-                           lateness: str = "3 days", keep_ms: int = 4 * 86_400_000) -> DataFrame:
+                           lateness: str = "3 days", keep_ms: int = 4 * 86_400_000, buckets: int = 16_384) -> DataFrame:
     """The newest row of each key as it changes (update mode): the streaming
     form of ``latest_per_key``.  ``ts`` is the time a snapshot was taken; rows more than
-    ``lateness`` behind the newest one are late and dropped, state goes after ``keep_ms``."""
+    ``lateness`` behind the newest one are late and dropped, state goes after ``keep_ms``.
+    ``buckets`` (keys by hash) share a state value; a checkpoint keeps to the number it began with."""
     times = {f.name: f.dataType for f in rows.schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))}
     plain = rows.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in times})
     schema = plain.schema
     # arbitrary state lives in RocksDB: on disk, so not bounded by the executors' memory
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     stream = plain.withColumn("_event_time", F.timestamp_micros(ts)).withWatermark("_event_time", lateness)
-    out = stream.groupBy(*keys).transformWithState(KeepNewest(schema, order, ts, keep_ms), schema, "Update", "eventTime")
+    stream = stream.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    out = stream.groupBy("_bucket").transformWithState(KeepNewest(schema, keys, order, ts, keep_ms), schema, "Update", "eventTime")
     return out.withColumns({c: F.timestamp_micros(c).cast(t) for c, t in times.items()})
 
 

@@ -94,3 +94,57 @@ def test_dedupe_snapshots(spark):
     st = spark.readStream.schema(df.schema).parquet(src)
     _run(S.stream_dedupe_snapshots(st, ["sub", "hour"], "hour"), base + "/out")
     assert spark.read.parquet(base + "/out").count() == 2
+
+
+def test_newest_rows_share_state_and_lose_it_one_by_one(spark):
+    """Keys in one bucket: dates and decimals outlive a restart, a key's state ends by its own time."""
+    import decimal
+    base = tempfile.mkdtemp(prefix="cw-stream-")
+    schema = "k string, d date, v decimal(18,4), n long, snap timestamp"
+    at = lambda day, h=0: dt.datetime(2024, 1, day, h)
+    row = lambda k, day, v, n=None: (k, dt.date(2024, 1, day), decimal.Decimal(v), n, at(day))
+    landings = [[row("a", 1, "1.5"), row("b", 3, "2", 2**53 + 1), row(None, 3, "7"), row("c", 3, "4")],
+                [row("a", 2, "2.5"), row("b", 2, "9"), row("c", 3, "4"), row("c", 3, "3"), row("d", 9, "1")],     # the watermark moves to day 7
+                [row("b", 8, "5", 1), row("d", 7, "6"), row("e", 9, "8")]]
+    seen = []
+    for part in landings:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(base + "/in")
+        read = S.read_folder(spark, base + "/in", spark.createDataFrame([], schema).schema)
+        stream = S.stream_latest_snapshot(read, ["k"], ["d"], "snap", "2 days", 3 * 86_400_000, buckets=1)
+        out = []
+        S.drain(stream, base + "/ckpt", lambda b, i, out=out: out.extend(map(tuple, b.collect())), "update")
+        seen.append(sorted(out, key=str))
+    assert seen == [sorted(landings[0], key=str), sorted([row("a", 2, "2.5"), row("d", 9, "1")], key=str),
+                    sorted([row("b", 8, "5", 1), row("e", 9, "8")], key=str)]
+
+
+def test_calls_into_the_state_do_not_grow_with_the_keys():
+    """A bucket's rows are read and written once and share a timer."""
+    from collections import Counter
+    from pyspark.sql import Row
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    calls, held = Counter(), {}
+
+    class State:
+        def get(self): calls["get"] += 1; return held.get("v")
+        def update(self, v): calls["update"] += 1; held["v"] = v
+        def clear(self): calls["clear"] += 1; held.pop("v", None)
+
+    class Handle:
+        def getValueState(self, name, schema): return State()
+        def registerTimer(self, ms): calls["timer"] += 1; held["timer"] = ms
+
+    class At:
+        def __init__(self, ms): self.ms = ms
+        def getExpiryTimeInMs(self): return self.ms
+        def getCurrentWatermarkInMs(self): return self.ms
+
+    schema = StructType([StructField("k", StringType()), StructField("t", LongType())])
+    keep = S.KeepNewest(schema, ["k"], ["t"], "t", 10)
+    keep.init(Handle())
+    out = list(keep.handleInputRows((0,), iter([Row(_bucket=0, k=f"k{i}", t=1000 * (100 + i)) for i in range(500)]), None))
+    assert len(out) == 500 and calls == {"get": 1, "update": 1, "timer": 1} and held["timer"] == 110
+    list(keep.handleExpiredTimer((0,), At(359), At(359)))
+    assert len(keep._read()) == 250 and held["timer"] == 360       # those up to 349 + 10 are gone, the next one's time is set
+    list(keep.handleExpiredTimer((0,), At(1000), At(1000)))
+    assert not keep._read() and "v" not in held
