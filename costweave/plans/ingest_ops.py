@@ -551,13 +551,18 @@ def _lineage(spark, root):
     """((month, pipeline_name, work_item_id, units), cost): each resource's monthly cost, by its
     run tag, shared over the run's work items.  Only left joins, so nothing is lost."""
     tags = X.resource_tags(spark, root).select("ResourceId", F.get_json_object("tags", "$.pipeline_run_id").alias("run"))
-    work = X.pipeline_items(spark, root).select(F.col("run_id").cast("string").alias("run"), "pipeline_name", "work_item_id").distinct()
-    mine = Window.partitionBy("run")                       # the work items of one run
+    # by the run's own id, by which the items come out of their join: the distinct rows, the window and
+    # the join with the tags need no further exchange of them
+    work = X.pipeline_items(spark, root).select("run_id", "pipeline_name", "work_item_id").distinct()
+    mine = Window.partitionBy("run_id")                    # the work items of one run
     work = work.withColumn("nth", F.row_number().over(mine.orderBy("work_item_id"))).withColumn("n", F.count(F.lit(1)).over(mine))
+    # a tag names a run if it is the run's id as text ("7", not "07")
+    tags = tags.withColumn("run_id", F.col("run").try_cast(work.schema["run_id"].dataType)).filter(F.col("run_id").cast("string") == F.col("run"))
+    # BilledCost has four decimals, so a row's units are whole and add up as long
     cost = X.focus(spark, root).groupBy("ResourceId", F.to_date(F.date_trunc("month", "ChargePeriodStart")).alias("month")).agg(
-        (F.sum("BilledCost") * 10000).cast("long").alias("units"))
+        F.sum((F.col("BilledCost") * 10000).cast("long")).alias("units"))
     # a resource without a usable tag joins no run: null never equals, and no window sees it
-    owners = tags.join(work, "run").select("ResourceId", "pipeline_name", "work_item_id", "nth", "n")
+    owners = tags.join(work, "run_id").select("ResourceId", "pipeline_name", "work_item_id", "nth", "n")
     share = F.expr("(units - pmod(units, n)) div n") + (F.col("nth") <= F.pmod("units", "n")).cast("long")
     shared = cost.join(owners, "ResourceId", "left").select(
         "month", F.coalesce("pipeline_name", F.lit(UNALLOCATED)).alias("pipeline_name"), "work_item_id",
