@@ -163,3 +163,17 @@ def test_edges_are_exchanged_once_and_without_their_hash(spark):
         assert _exchanges(E.edge_report(tagged)) == (1, 2)
         assert sorted(map(str, E.edge_report(tagged).collect())) == sorted(map(str, E.edge_report(one).collect()))
     assert _exchanges(E.build_tagged(src, "b", "2024-01-01 00:00:00", names)) == (1, 1)
+
+
+def test_orphans_of_written_edges_and_null_ids(spark):
+    src = {"orders": spark.createDataFrame([("o1", "C1"), ("O1", "c1"), ("o2", "C7"), ("o|C", "1"), ("o", "C|1")], "order_id string, customer_id string")}
+    nodes = spark.createDataFrame([("order", "o1"), ("customer", "c1")], "label string, node_id string")
+    read = lambda df: sorted((r.edge_id or "", r.endpoint, r.node_id or "") for r in df.collect())
+    plain, kept = (E.build_tagged(src, "b", "2024-01-01 00:00:00", ["order_customer"], written=w) for w in (False, True))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
+    found = E.orphan_edges(kept, nodes)
+    assert read(found) == read(E.orphan_edges(plain, nodes)) and len(read(found)) == 4
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan                             # edges and missing nodes are read where they were written
+    raw = E.raw_edges(spark.createDataFrame([(None, "C1")], "order_id string, customer_id string"), E.select_specs(["order_customer"])[0], "b", "2024-01-01 00:00:00")
+    assert [r.endpoint for r in E.orphan_edges({"order_customer": raw}, nodes).collect()] == ["source"]
