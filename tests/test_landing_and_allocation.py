@@ -177,3 +177,33 @@ def test_orphans_of_written_edges_and_null_ids(spark):
     assert "LogicalRDD" not in plan                             # edges and missing nodes are read where they were written
     raw = E.raw_edges(spark.createDataFrame([(None, "C1")], "order_id string, customer_id string"), E.select_specs(["order_customer"])[0], "b", "2024-01-01 00:00:00")
     assert [r.endpoint for r in E.orphan_edges({"order_customer": raw}, nodes).collect()] == ["source"]
+
+
+def test_stored_edges_lie_by_source_and_take_less_room(spark, tmp_path):
+    import re
+
+    from costweave.plans import registry
+    from tests.conftest import SF001
+    registry.load_all()
+    names = ["lineitem_order", "lineitem_part", "lineitem_supplier", "order_customer"]
+    schema = "line_id string, order_id string, part_id string, supplier_id string"
+    n = F.col("id") * 7919 % 30000 + 100000                   # lines and their orders come in no order
+    lines = spark.range(30000).select(F.concat(F.lit("LI-"), n.cast("string")), F.concat(F.lit("ORD-"), (n / 4).cast("long").cast("string")),
+                                      F.concat(F.lit("PART-"), (n * 31 % 1999).cast("string")), F.concat(F.lit("SUPP-"), (n * 31 % 97).cast("string")))
+    odd = spark.createDataFrame([("L|1", "O1", "P1", "S1"), ("l|1", "o1", None, ""), (None, "O1", "P1", "S1"), ("", "O1", "P1", "S1"),
+                                 ("|x", "O1", "P1", "S1"), ("|X", "o1", "P2", "S1"), ("LI-100001", "ORD-25000", "", None), ("li-100001", "ord-25000", "P", "S")], schema)
+    src = {"lineitems": odd.union(lines), "orders": spark.createDataFrame([("o", "C|1"), ("o|C", "1"), ("O", "c|1"), ("", "C")], "order_id string, customer_id string")}
+    plain, kept = (E.build_tagged(src, "b", "2024-01-01 00:00:00", names, ordered=x) for x in (False, True))
+    assert re.findall(r"Exchange (\w+)", kept._jdf.queryExecution().executedPlan().toString()) == ["rangepartitioning"]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
+    # the partitions are ranges
+    ends = kept.filter(F.col("edge_table").startswith("lineitem") & ~F.col("source_id").contains("|")).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min("source_id_normalized").alias("low"), F.max("source_id_normalized").alias("high")).orderBy("low").collect()
+    assert len(ends) > 2 and all(a.high < b.low for a, b in zip(ends, ends[1:]))
+
+    def room(df, name):
+        df.drop("edge_id").write.option("compression", "snappy").parquet(str(tmp_path / name))
+        return sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    assert room(kept, "kept") < 0.9 * room(plain, "plain")
+    # the query stores its edges so
+    assert "rangepartitioning" in registry.QUERIES["build_edges"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
